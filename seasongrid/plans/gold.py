@@ -242,7 +242,7 @@ def fact_team(standings: DataFrame, calendar: DataFrame, block: Column | None =
         "Team_Key",
         "Race_Key",
         F.when(first_copy, F.col("gained"))
-        .otherwise(clamped_delta(F.col("Season_Points"), F.col("Season_Points")))
+        .when(F.col("Season_Points").isNotNull(), F.lit(0.0).cast("float"))
         .alias("Race_Points"),
         "Season_Points",
         "World_Position",

@@ -11,6 +11,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from seasongrid.session import fresh_dir, shared_root
+
 
 def balanced(df: DataFrame, by: Sequence[str]) -> DataFrame:
     """Bring rows of a partition together for few files.
@@ -32,6 +34,21 @@ def overwrite_table(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared folder and read back.
+
+    For a result that several later steps read: it is computed once, survives
+    lost executors, and those steps prune its columns and plan on its real
+    size.  Without a shared folder ``df`` is returned as it is.
+    """
+    spark = df.sparkSession
+    if shared_root(spark) is None:
+        return df
+    path = fresh_dir(spark, name)
+    overwrite_table(df, path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def date_ordered(df: DataFrame, season: str = "year", order: Sequence[str] = ("date_start", "meeting_key")) -> DataFrame:
     """Ready for a season-partitioned write with date order in each file.
 

@@ -15,7 +15,7 @@ _CUTOFF = "TIMESTAMP '1998-06-01 00:00:00'"
 
 VIEWS: dict[str, str] = {
     "per_race": """
-        SELECT l_suppkey AS driver_number, CAST(year(l_shipdate) AS INTEGER) AS year,
+        SELECT CAST(l_suppkey AS INTEGER) AS driver_number, CAST(year(l_shipdate) AS INTEGER) AS year,
                CAST(year(l_shipdate) * 100 + month(l_shipdate) AS BIGINT) AS meeting_key,
                sum(CASE WHEN l_returnflag = 'R' THEN l_quantity END) AS pts,
                sum(CASE WHEN l_tax >= 0.06 THEN l_quantity ELSE 0 END) AS pen

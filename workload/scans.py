@@ -13,7 +13,7 @@ from seasongrid.session import fresh_dir
 from seasongrid.sources import landing, sinks
 from seasongrid.sources.tables import read_table, register_star
 from workload.registry import query
-from workload.standins import ASSETS, Standins, loaded_at
+from workload.standins import ASSETS, Standins, loaded_at, race_folder
 
 ORDER_SCHEMA = T.StructType(
     [
@@ -237,22 +237,22 @@ def sort_before_write(s: Standins) -> DataFrame:
 def _landed(s: Standins, entity: str, records: DataFrame, folder: bool = True) -> DataFrame:
     """Land records of one entity and scan them back."""
     root = f"{fresh_dir(s.spark, entity)}/bronze"
-    _land(s, root, entity, records, folder)
+    _land(root, entity, records, folder)
     return landing.accepted(landing.scan_entity(s.spark, root, entity))
 
 
-def _land(s: Standins, root: str, entity: str, records: DataFrame, folder: bool = True) -> None:
+def _land(root: str, entity: str, records: DataFrame, folder: bool = True) -> None:
     placed = records.withColumn("season", F.col("year"))
     if folder:
-        sinks.land_json(placed.drop("year").join(s.folders, "meeting_key"), root, entity, FOLDERS)
+        placed = placed.withColumn("race_folder", race_folder(F.col("meeting_key")))
+        sinks.land_json(placed.drop("year"), root, entity, FOLDERS)
     else:
         sinks.land_json(placed, root, entity, ["season"])
 
 
 def _meeting_records(s: Standins) -> DataFrame:
     """The calendar plus, per January, a test and a meeting without a name."""
-    named = s.meetings.drop("month")
-    january = s.meetings.where("month = 1").drop("month")
+    january = s.meetings.where("meeting_key % 100 = 1")
     test = january.withColumns(
         {
             "meeting_key": F.col("meeting_key") + 50,
@@ -262,7 +262,7 @@ def _meeting_records(s: Standins) -> DataFrame:
     unnamed = january.withColumns(
         {"meeting_key": F.col("meeting_key") + 60, "meeting_name": F.lit(None).cast("string")}
     )
-    return named.unionByName(test).unionByName(unnamed)
+    return s.meetings.unionByName(test).unionByName(unnamed)
 
 
 @query
@@ -304,14 +304,15 @@ def incremental_season_load(s: Standins) -> DataFrame:
     bronze, last = f"{root}/bronze", max(SEASONS)
     doubled = F.when(F.col("year") == last, F.col("points_current") * 2).otherwise(F.col("points_current"))
     roster = s.roster_records.drop("pts", "pen")
-    _land(s, bronze, "drivers_standings", s.driver_records.withColumn("points_current", doubled))
-    _land(s, bronze, "teams_standings", s.team_records)
-    _land(s, bronze, "drivers", roster)
-    _land(s, bronze, "circuits", _meeting_records(s), folder=False)
+    _land(bronze, "drivers_standings", s.driver_records.withColumn("points_current", doubled))
+    _land(bronze, "teams_standings", s.team_records)
+    _land(bronze, "drivers", roster)
+    _land(bronze, "circuits", _meeting_records(s), folder=False)
     job.run(s.spark, SEASONS, root, "season={year}", ASSETS, loaded_at())
 
     def corrected(records: DataFrame) -> DataFrame:
-        return records.where(F.col("year") == last).drop("year").join(s.folders, "meeting_key")
+        season = records.where(F.col("year") == last).drop("year")
+        return season.withColumn("race_folder", race_folder(F.col("meeting_key")))
 
     sinks.replace_season(
         {

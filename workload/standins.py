@@ -12,8 +12,11 @@ What the operators have to cope with occurs in the data itself:
 * nations of the third region pad their team name from July on;
 * race names of a quarter's last month differ by season and share a code.
 
-Sizes: results are one row per (supplier, month); the calendar has one row per
-month.  The month of a timestamp has fewer than 120,000 values, and team names
+``lineitem`` is read once per query: its results, one row per supplier and month,
+and the entrants are written to the shared folder, as the typed tables of a
+load would be, and the later steps read them there.
+
+The calendar has one row per month.  The month of a timestamp has fewer than 120,000 values, and team names
 come from the fixed ``nation`` and ``region`` tables, so the calendar is safe to
 broadcast whatever the size of ``lineitem``.  Entrants are not.
 """
@@ -26,9 +29,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from seasongrid.config import Assets
-from seasongrid.functions.text import folder_name
+from seasongrid.functions.text import default_if_blank, folder_name, hex_colour
 from seasongrid.plans import gold, silver, star
-from seasongrid.sources.landing import SOURCE_PATH
+from seasongrid.sources.sinks import stored
 
 ASSETS = Assets(default_photo="assets/portrait.png", logo_base="assets/teams/")
 LOADED_AT = "2024-01-01 00:00:00"
@@ -38,6 +41,21 @@ def loaded_at() -> Column:
     return F.lit(LOADED_AT).cast("timestamp_ntz")
 
 
+def _first_day(meeting_key: Column) -> Column:
+    return F.make_date((meeting_key / 100).cast("int"), (meeting_key % 100).cast("int"), F.lit(1))
+
+
+def meeting_name(meeting_key: Column) -> Column:
+    first = _first_day(meeting_key)
+    cup = F.concat(F.date_format(first, "MMMM"), F.lit(" Cup "), F.year(first).cast("string"))
+    prix = F.concat(F.date_format(first, "MMMM"), F.lit(" Prix"))
+    return F.when(F.month(first) % 3 == 0, cup).otherwise(prix)
+
+
+def race_folder(meeting_key: Column) -> Column:
+    return folder_name((meeting_key % 100).cast("int"), meeting_name(meeting_key))
+
+
 class Standins:
     def __init__(self, spark: SparkSession, sf_dir: str) -> None:
         self.spark = spark
@@ -57,7 +75,7 @@ class Standins:
         per_race = (
             self.table("lineitem")
             .groupBy(
-                F.col("l_suppkey").alias("driver_number"),
+                F.col("l_suppkey").cast("int").alias("driver_number"),
                 year.alias("year"),
                 (year * 100 + month).cast("long").alias("meeting_key"),
             )
@@ -71,7 +89,7 @@ class Standins:
             .orderBy("meeting_key")
             .rowsBetween(Window.unboundedPreceding, Window.currentRow)
         )
-        return per_race.withColumn("cp", F.sum("pts").over(so_far))
+        return stored(per_race.withColumn("cp", F.sum("pts").over(so_far)), "results")
 
     @cached_property
     def driver_records(self) -> DataFrame:
@@ -89,52 +107,37 @@ class Standins:
     @cached_property
     def meetings(self) -> DataFrame:
         """The calendar: every month in which anything was shipped."""
-        months = (
-            self.table("lineitem")
-            .groupBy(F.year("l_shipdate").alias("year"), F.month("l_shipdate").alias("month"))
-            .agg(F.count(F.lit(1)).alias("lines"))
-        )
-        first = F.make_date("year", "month", F.lit(1))
-        named = months.select(
-            (F.col("year") * 100 + F.col("month")).cast("long").alias("meeting_key"),
-            F.col("month").cast("long").alias("circuit_key"),
-            F.date_format(first, "MMMM").alias("month_name"),
-            F.date_format(first, "EEEE").alias("day_name"),
-            first.cast("timestamp_ntz").alias("date_start"),
-            "year",
-            "month",
-        )
-        cup = F.concat("month_name", F.lit(" Cup "), F.col("year").cast("string"))
-        prix = F.concat("month_name", F.lit(" Prix"))
+        months = self.raw_results.select("meeting_key").distinct()
+        key = F.col("meeting_key")
+        month_name = F.date_format(_first_day(key), "MMMM")
+        day_name = F.date_format(_first_day(key), "EEEE")
         return F.broadcast(
-            named.select(
+            months.select(
                 "meeting_key",
-                "circuit_key",
-                F.when(F.col("month") % 3 == 0, cup).otherwise(prix).alias("meeting_name"),
-                F.col("day_name").alias("location"),
-                F.col("month_name").alias("country_name"),
-                F.upper(F.substring("month_name", 1, 3)).alias("country_code"),
-                F.concat("day_name", F.lit(" Ring")).alias("circuit_short_name"),
-                "date_start",
-                "year",
-                "month",
+                (key % 100).alias("circuit_key"),
+                meeting_name(key).alias("meeting_name"),
+                day_name.alias("location"),
+                month_name.alias("country_name"),
+                F.upper(F.substring(month_name, 1, 3)).alias("country_code"),
+                F.concat(day_name, F.lit(" Ring")).alias("circuit_short_name"),
+                _first_day(key).cast("timestamp_ntz").alias("date_start"),
+                F.year(_first_day(key)).alias("year"),
             )
         )
 
-    @cached_property
-    def folders(self) -> DataFrame:
-        return self.meetings.select(
-            "meeting_key", folder_name(F.col("month"), F.col("meeting_name")).alias("race_folder")
-        )
-
     @cached_property
     def roster_records(self) -> DataFrame:
         """Who raced for whom, one row per entrant and race."""
         nation = self.table("nation").select(F.col("n_nationkey").alias("s_nationkey"), "n_name", "n_regionkey")
         region = self.table("region").select(F.col("r_regionkey").alias("n_regionkey"), "r_name")
         home = F.broadcast(nation.join(F.broadcast(region), "n_regionkey"))
-        supplier = self.table("supplier").where("s_acctbal >= -500").join(home, "s_nationkey")
-        entries = self.raw_results.join(supplier, F.col("driver_number") == F.col("s_suppkey"))
+        supplier = (
+            self.table("supplier")
+            .where("s_acctbal >= -500")
+            .withColumn("driver_number", F.col("s_suppkey").cast("int"))
+            .join(home, "s_nationkey")
+        )
+        entries = self.raw_results.join(supplier, "driver_number")
         balance = F.col("s_acctbal")
         second_half = F.col("meeting_key") % 100 >= 7
         squad = F.when((balance >= 9000) & second_half, F.col("r_name")).otherwise(F.col("n_name"))
@@ -194,23 +197,32 @@ class Standins:
 
     # -- silver shape ---------------------------------------------------------
 
-    def _with_path(self, records: DataFrame, entity: str, folder: bool = True) -> DataFrame:
-        """Give records the source path they would have in the landing zone."""
-        if not folder:
-            path = F.concat(F.lit("bronze/"), F.col("year").cast("string"), F.lit(f"/{entity}.json"))
-            return records.withColumn(SOURCE_PATH, path)
-        path = F.concat_ws("/", F.lit("bronze"), F.col("year").cast("string"), F.col("race_folder"), F.lit(f"{entity}.json"))
-        return records.join(self.folders, "meeting_key").withColumn(SOURCE_PATH, path)
+    # What the silver builders make of the landed records; the queries named
+    # silver_* take the way through landed files and arrive at the same rows.
 
     @cached_property
     def standings(self) -> DataFrame:
-        located = self._with_path(self.driver_records, "drivers_standings").drop("year")
-        return silver.driver_standings(located, loaded_at())
+        return self.driver_records.where("position_current IS NOT NULL").select(
+            F.col("position_current").cast("int").alias("position"),
+            F.col("points_current").cast("float").alias("points"),
+            "driver_number",
+            "session_key",
+            "meeting_key",
+            race_folder(F.col("meeting_key")).alias("race_folder_name"),
+            "year",
+            loaded_at().alias("ingestion_date"),
+        )
 
     @cached_property
     def team_standings(self) -> DataFrame:
-        located = self._with_path(self.team_records, "teams_standings").drop("year")
-        return silver.team_standings(located, loaded_at())
+        return self.team_records.where("position_current IS NOT NULL").select(
+            "meeting_key",
+            "team_name",
+            F.col("position_current").cast("int").alias("position"),
+            F.col("points_current").cast("float").alias("points"),
+            "year",
+            loaded_at().alias("ingestion_date"),
+        )
 
     @cached_property
     def calendar(self) -> DataFrame:
@@ -229,13 +241,22 @@ class Standins:
 
     @cached_property
     def roster(self) -> DataFrame:
-        return silver.roster(
-            self._with_path(self.roster_records, "drivers").drop("year"), ASSETS, loaded_at()
+        return self.roster_records.select(
+            "driver_number",
+            "full_name",
+            "name_acronym",
+            "team_name",
+            "country_code",
+            "year",
+            default_if_blank(F.col("headshot_url"), ASSETS.default_photo).alias("headshot_url"),
+            hex_colour(F.col("team_colour"), ASSETS.default_colour).alias("team_colour"),
+            loaded_at().alias("ingestion_date"),
+            race_folder(F.col("meeting_key")).alias("race_folder_name"),
         )
 
     @cached_property
     def entrants(self) -> DataFrame:
-        return silver.entrants(self.roster)
+        return stored(silver.entrants(self.roster), "entrants")
 
     @cached_property
     def teams(self) -> DataFrame:
