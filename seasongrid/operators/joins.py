@@ -44,18 +44,32 @@ def last_nonblank(
     return df.groupBy(*keys).agg(F.max(pair)["value"].alias(out))
 
 
-def day_index(calendar: DataFrame, season: str = "Year", race: str = "Race_Key", date: str = "Date") -> DataFrame:
-    """Calendar rows with the running number of their date within the season.
-
-    Races of one date share a number.  A season holds as many rows as it has
-    races, so the window groups are small by nature.
+def day_index(calendar: DataFrame, season: str | None, race: str, date: str) -> DataFrame:
+    """Calendar rows with the running number of their date and the highest number.
+
+    Numbers count within a season or, without ``season``, over the whole
+    calendar.  Races of one date share a number.  The window groups hold one
+    season's races; over the whole calendar, years are numbered apart and
+    moved up by the dates of the years before, so that no task orders more
+    than a year of races or one row per year.
     """
-    w = Window.partitionBy(season).orderBy(date)
-    return calendar.select(
-        season,
-        race,
-        date,
-        F.dense_rank().over(w).alias("_day"),
+    group = season or "_year"
+    dated = calendar if season else calendar.withColumn("_year", F.year(date))
+    ranked = dated.select(
+        group, race, date, F.dense_rank().over(Window.partitionBy(group).orderBy(date)).alias("_day")
+    )
+    if season:
+        return ranked.withColumn("_days", F.max("_day").over(Window.partitionBy(season)))
+    per_year = ranked.groupBy("_year").agg(F.max("_day").alias("_length"))
+    whole = Window.partitionBy(F.lit(0))
+    offsets = per_year.select(
+        "_year",
+        (F.sum("_length").over(whole.orderBy("_year")) - F.col("_length")).cast("int").alias("_before"),
+        F.sum("_length").over(whole).cast("int").alias("_days"),
+    )
+    # One row per year of the timestamp range, hence safe to broadcast.
+    return ranked.join(F.broadcast(offsets), "_year").select(
+        race, date, (F.col("_day") + F.col("_before")).alias("_day"), "_days"
     )
 
 
@@ -65,7 +79,7 @@ def forward_fill(
     keys: Sequence[str],
     value: str,
     out: str,
-    season: str = "Year",
+    season: str | None = "Year",
     race: str = "Race_Key",
     date: str = "Date",
     until: Column | None = None,
@@ -76,20 +90,20 @@ def forward_fill(
     ``facts`` carries ``keys``, ``season``, ``date`` and ``value``.  ``how`` is
     ``last`` (last known value) or ``max`` (running maximum).  Races before the
     first value of a key are kept with a null, races later than ``until`` are
-    left out, and no value crosses a season.
+    left out, and no value crosses a season.  With ``season=None`` the whole
+    calendar is one series.
 
     Each known value is turned into the range of days it holds for and the
     range is unfolded, so the window sorts only rows that exist.  The key ×
     race grid is never joined together; it appears only as the result.
     """
-    days = day_index(calendar, season, race, date)
-    if until is not None:
-        days = days.where(F.col(date) <= until)
-    length = F.max("_day").over(Window.partitionBy(season))
-    numbered = days.select(season, date, "_day", length.alias("_days")).distinct()
-    group = [*keys, season]
+    seasons = [season] if season else []
+    group = [*keys, *seasons]
+    visible = calendar if until is None else calendar.where(F.col(date) <= until)
+    days = day_index(visible, season, race, date)
+    numbered = days.select(*seasons, date, "_day", "_days").distinct()
     daily = (
-        facts.join(numbered, [season, date])
+        facts.join(numbered, [*seasons, date])
         .groupBy(*group, "_day", "_days")
         .agg(F.max(value).alias("_value"))
     )
@@ -109,7 +123,7 @@ def forward_fill(
         F.col(out).alias("_carried"),
         F.explode(F.sequence("_from", "_to")).alias("_day"),
     )
-    return cells.join(days, [season, "_day"]).select(
+    return cells.join(days.drop("_days"), [*seasons, "_day"]).select(
         *group,
         race,
         date,

@@ -75,12 +75,11 @@ def team_points_by_date(
     The running maximum is not confined to a season, so all visible races
     form one series; dates without a result show the value so far.
     """
-    whole = F.lit(0).alias("_all")
-    dates = _visible(dim_race, years).select(whole, "Date", F.col("Date").alias("_race")).distinct()
-    facts = _visible(star, years).select(whole, *by, "Date", _points().alias("_points"))
+    dates = _visible(dim_race, years).select("Date", F.col("Date").alias("_race")).distinct()
+    facts = _visible(star, years).select(*by, "Date", _points().alias("_points"))
     until = None if play_until is None else _moment(dim_race, play_until)
-    filled = forward_fill(facts, dates, by, "_points", "Team_Points", "_all", "_race", "Date", until, "max")
-    return filled.drop("_all", "_race").where(F.col("Team_Points").isNotNull())
+    filled = forward_fill(facts, dates, by, "_points", "Team_Points", None, "_race", "Date", until, "max")
+    return filled.drop("_race").where(F.col("Team_Points").isNotNull())
 
 
 def draw_team_points(

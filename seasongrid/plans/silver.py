@@ -1,8 +1,7 @@
 """Typed tables from landed records.
 
 Every builder takes accepted records of :mod:`seasongrid.sources.landing`.
-Casts yield null on bad input instead of failing the job.  ``loaded_at``
-defaults to the time of the run.
+``loaded_at`` is the load stamp, by default the time of the run.
 """
 
 from __future__ import annotations
@@ -13,70 +12,50 @@ from pyspark.sql import functions as F
 from seasongrid.config import Assets
 from seasongrid.functions.text import default_if_blank, folder_name, hex_colour, logo_url
 from seasongrid.operators.dedup import first_per_group
+from seasongrid.schemas import TYPED_COLUMNS
 from seasongrid.sources.landing import with_path_columns, with_season_by_pattern
 
 
-def _stamp(loaded_at: Column | None) -> Column:
-    return F.current_timestamp() if loaded_at is None else loaded_at
+def _typed(records: DataFrame, entity: str, *more: str | Column, loaded_at: Column | None) -> DataFrame:
+    """The typed columns of an entity, ``more`` columns and the load stamp.
+
+    A value that does not fit its type becomes null.
+    """
+    columns = [F.col(landed).try_cast(kind).alias(name) for landed, name, kind in TYPED_COLUMNS[entity]]
+    stamp = F.current_timestamp() if loaded_at is None else loaded_at
+    return records.select(*columns, *more, stamp.alias("ingestion_date"))
 
 
 def driver_standings(records: DataFrame, loaded_at: Column | None = None) -> DataFrame:
-    typed = with_path_columns(records).select(
-        F.col("position_current").try_cast("int").alias("position"),
-        F.col("points_current").try_cast("float").alias("points"),
-        F.col("driver_number").try_cast("int").alias("driver_number"),
-        F.col("session_key").try_cast("long").alias("session_key"),
-        F.col("meeting_key").try_cast("long").alias("meeting_key"),
-        "race_folder_name",
-        "year",
-        _stamp(loaded_at).alias("ingestion_date"),
-    )
+    """Entrant standings by race; a row needs an entrant and a position."""
+    located = with_path_columns(records)
+    typed = _typed(located, "drivers_standings", "race_folder_name", "year", loaded_at=loaded_at)
     return typed.na.drop(subset=["driver_number", "position"])
 
 
 def team_standings(records: DataFrame, loaded_at: Column | None = None) -> DataFrame:
-    typed = with_path_columns(records).select(
-        F.col("meeting_key").try_cast("long").alias("meeting_key"),
-        "team_name",
-        F.col("position_current").try_cast("int").alias("position"),
-        F.col("points_current").try_cast("float").alias("points"),
-        "year",
-        _stamp(loaded_at).alias("ingestion_date"),
-    )
+    """Team standings by race; a row needs a team and a position."""
+    typed = _typed(with_path_columns(records), "teams_standings", "year", loaded_at=loaded_at)
     return typed.na.drop(subset=["team_name", "position"])
 
 
+def is_race_meeting(name: Column) -> Column:
+    """Neither a test nor nameless: a null name fails the condition too."""
+    return ~name.contains("Testing")
+
+
 def calendar(records: DataFrame, loaded_at: Column | None = None) -> DataFrame:
-    """Meetings other than tests; one without a name is dropped as well."""
-    return records.where(~F.col("meeting_name").contains("Testing")).select(
-        F.col("meeting_key").try_cast("long").alias("meeting_key"),
-        F.col("circuit_key").try_cast("long").alias("circuit_key"),
-        F.col("meeting_name").alias("gp_name"),
-        F.col("location").alias("city"),
-        F.col("country_name").alias("country"),
-        F.col("country_code").alias("gp_code"),
-        F.col("circuit_short_name").alias("circuit"),
-        F.col("date_start").try_cast("timestamp").alias("date_start"),
-        F.col("year").try_cast("int").alias("year"),
-        _stamp(loaded_at).alias("ingestion_date"),
-    )
+    """Race meetings; the season is a value of the record, not of the path."""
+    races = records.where(is_race_meeting(F.col("meeting_name")))
+    return _typed(races, "circuits", loaded_at=loaded_at)
 
 
 def roster(records: DataFrame, assets: Assets = Assets(), loaded_at: Column | None = None) -> DataFrame:
-    """Typed roster records, one per race and entrant as landed."""
+    """Roster records, one per race and entrant as landed."""
     located = with_season_by_pattern(with_path_columns(records))
-    return located.select(
-        F.col("driver_number").try_cast("int").alias("driver_number"),
-        "full_name",
-        "name_acronym",
-        "team_name",
-        "country_code",
-        "year",
-        default_if_blank(F.col("headshot_url"), assets.default_photo).alias("headshot_url"),
-        hex_colour(F.col("team_colour"), assets.default_colour).alias("team_colour"),
-        _stamp(loaded_at).alias("ingestion_date"),
-        "race_folder_name",
-    )
+    photo = default_if_blank(F.col("headshot_url"), assets.default_photo).alias("headshot_url")
+    colour = hex_colour(F.col("team_colour"), assets.default_colour).alias("team_colour")
+    return _typed(located, "drivers", "race_folder_name", "year", photo, colour, loaded_at=loaded_at)
 
 
 def _roster_order() -> list[Column]:
@@ -136,7 +115,7 @@ def season_catalog(meetings: DataFrame, races: DataFrame) -> DataFrame:
     is the result of :func:`race_sessions`.
     """
     rounds = Window.partitionBy("year").orderBy("date_start", "meeting_key")
-    held = meetings.where(~F.col("meeting_name").contains("Testing")).join(races, "meeting_key")
+    held = meetings.where(is_race_meeting(F.col("meeting_name"))).join(races, "meeting_key")
     return held.withColumn("round", F.row_number().over(rounds)).select(
         "year",
         "round",

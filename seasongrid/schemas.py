@@ -59,6 +59,41 @@ _ENTITY_COLUMNS: dict[str, list[tuple[str, T.DataType]]] = {
 
 ENTITIES = tuple(_ENTITY_COLUMNS)
 
+# Landed column, column of the typed table, its type.
+TYPED_COLUMNS: dict[str, tuple[tuple[str, str, str], ...]] = {
+    "drivers_standings": (
+        ("position_current", "position", "int"),
+        ("points_current", "points", "float"),
+        ("driver_number", "driver_number", "int"),
+        ("session_key", "session_key", "long"),
+        ("meeting_key", "meeting_key", "long"),
+    ),
+    "teams_standings": (
+        ("meeting_key", "meeting_key", "long"),
+        ("team_name", "team_name", "string"),
+        ("position_current", "position", "int"),
+        ("points_current", "points", "float"),
+    ),
+    "circuits": (
+        ("meeting_key", "meeting_key", "long"),
+        ("circuit_key", "circuit_key", "long"),
+        ("meeting_name", "gp_name", "string"),
+        ("location", "city", "string"),
+        ("country_name", "country", "string"),
+        ("country_code", "gp_code", "string"),
+        ("circuit_short_name", "circuit", "string"),
+        ("date_start", "date_start", "timestamp"),
+        ("year", "year", "int"),
+    ),
+    "drivers": (
+        ("driver_number", "driver_number", "int"),
+        ("full_name", "full_name", "string"),
+        ("name_acronym", "name_acronym", "string"),
+        ("team_name", "team_name", "string"),
+        ("country_code", "country_code", "string"),
+    ),
+}
+
 
 def with_diagnostics(schema: T.StructType) -> T.StructType:
     """The record schema plus the error field and the corrupt-record column."""

@@ -46,11 +46,16 @@ def shared_root(spark: SparkSession) -> str | None:
 
 
 def fresh_dir(spark: SparkSession, name: str) -> str:
-    """A new folder for written tables; never reused between calls."""
+    """A new folder for written tables, below one folder per application.
+
+    Nothing is shared between calls, and whoever runs the cluster can drop an
+    application's folder once it has ended.
+    """
     root = shared_root(spark)
     if root is None:
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    application = spark.sparkContext.applicationId
+    return f"{root.rstrip('/')}/{application}/{name}-{uuid.uuid4().hex}"
 
 
 def can_checkpoint(spark: SparkSession) -> bool:

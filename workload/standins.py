@@ -107,7 +107,12 @@ class Standins:
     @cached_property
     def meetings(self) -> DataFrame:
         """The calendar: every month in which anything was shipped."""
-        months = self.raw_results.select("meeting_key").distinct()
+        if "raw_results" in vars(self):  # already written, and much smaller
+            months = self.raw_results.select("meeting_key").distinct()
+        else:
+            year, month = F.year("l_shipdate"), F.month("l_shipdate")
+            lines = self.table("lineitem").select((year * 100 + month).cast("long").alias("meeting_key"))
+            months = lines.distinct()
         key = F.col("meeting_key")
         month_name = F.date_format(_first_day(key), "MMMM")
         day_name = F.date_format(_first_day(key), "EEEE")
