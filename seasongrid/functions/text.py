@@ -38,14 +38,22 @@ def folder_name(round_number: Column, race_name: Column) -> Column:
     )
 
 
+def _unescaped(value: Column) -> Column:
+    """Undo the percent escapes of a path; a plus sign is just a plus sign."""
+    plus_kept = F.replace(value, F.lit("+"), F.lit("%2B"))
+    return F.coalesce(F.try_url_decode(plus_kept), value)
+
+
 def path_segment(path: Column, from_end: int) -> Column:
     """A segment counted from the end of a file path, null if there is none.
 
-    Spaces arrive escaped in file metadata; a Hive-style ``name=value``
-    segment yields its value.
+    File metadata escapes what a URI may not hold, such as spaces.  A segment
+    ``name=value`` written by a partitioned write yields its value, in which
+    that write has escaped characters once more.
     """
-    segment = F.try_element_at(F.split(path, "/"), F.lit(-from_end))
-    return F.regexp_replace(F.replace(segment, F.lit("%20"), F.lit(" ")), "^[A-Za-z_]+=", "")
+    segment = _unescaped(F.try_element_at(F.split(path, "/"), F.lit(-from_end)))
+    value = F.regexp_extract(segment, "^[A-Za-z_]+=(.*)$", 1)
+    return F.when(value == "", segment).otherwise(_unescaped(value))
 
 
 def folder_from_path(path: Column) -> Column:

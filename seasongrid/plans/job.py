@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from seasongrid.config import Assets
 from seasongrid.plans import gold, silver
 from seasongrid.sources import sinks
-from seasongrid.sources.landing import accepted, scan_entity
+from seasongrid.sources.landing import accepted, quarantined, scan_entity, with_season_by_pattern
 from seasongrid.sources.tables import read_table
 
 
@@ -20,11 +20,20 @@ def load_silver(
     seasons: Sequence[int],
     assets: Assets = Assets(),
     loaded_at: Column | None = None,
+    rejects_root: str | None = None,
 ) -> None:
-    """Rebuild the given seasons; other seasons are not touched."""
+    """Rebuild the given seasons; other seasons are not touched.
+
+    With ``rejects_root`` the records that were not accepted are written there,
+    one table per entity, with the season of their file.
+    """
 
     def landed(entity: str) -> DataFrame:
-        return accepted(scan_entity(spark, season_paths, entity))
+        scan = scan_entity(spark, season_paths, entity)
+        if rejects_root:
+            rejects = with_season_by_pattern(quarantined(scan))
+            sinks.overwrite_seasons(rejects, f"{rejects_root}/{entity}")
+        return accepted(scan)
 
     sinks.overwrite_seasons(
         silver.driver_standings(landed("drivers_standings"), loaded_at), f"{silver_root}/drivers_standings"
@@ -71,6 +80,7 @@ def run(
     season_dir: str = "{year}",
     assets: Assets = Assets(),
     loaded_at: Column | None = None,
+    rejects_root: str | None = None,
 ) -> None:
     """Load ``seasons`` from ``{root}/bronze`` and rebuild the star.
 
@@ -79,5 +89,5 @@ def run(
     to the star.
     """
     paths = [f"{root}/bronze/{season_dir.format(year=year)}" for year in seasons]
-    load_silver(spark, paths, f"{root}/silver", seasons, assets, loaded_at)
+    load_silver(spark, paths, f"{root}/silver", seasons, assets, loaded_at, rejects_root)
     load_gold(spark, f"{root}/silver", f"{root}/gold", assets.default_colour)

@@ -6,24 +6,29 @@ Every builder takes accepted records of :mod:`seasongrid.sources.landing`.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from seasongrid.config import Assets
+from seasongrid.functions.cast import to_type
 from seasongrid.functions.text import default_if_blank, folder_name, hex_colour, logo_url
 from seasongrid.operators.dedup import first_per_group
 from seasongrid.schemas import TYPED_COLUMNS
 from seasongrid.sources.landing import with_path_columns, with_season_by_pattern
 
 
-def _typed(records: DataFrame, entity: str, *more: str | Column, loaded_at: Column | None) -> DataFrame:
-    """The typed columns of an entity, ``more`` columns and the load stamp.
+def typed_columns(records: DataFrame, entity: str, *more: str | Column) -> DataFrame:
+    """The declared columns of an entity in their types, and ``more`` columns."""
+    casts = [to_type(F.col(landed), kind).alias(name) for landed, name, kind in TYPED_COLUMNS[entity]]
+    return records.select(*casts, *more)
 
-    A value that does not fit its type becomes null.
-    """
-    columns = [F.col(landed).try_cast(kind).alias(name) for landed, name, kind in TYPED_COLUMNS[entity]]
+
+def _typed(records: DataFrame, entity: str, *more: str | Column, loaded_at: Column | None) -> DataFrame:
+    """The same with the load stamp."""
     stamp = F.current_timestamp() if loaded_at is None else loaded_at
-    return records.select(*columns, *more, stamp.alias("ingestion_date"))
+    return typed_columns(records, entity, *more).withColumn("ingestion_date", stamp)
 
 
 def driver_standings(records: DataFrame, loaded_at: Column | None = None) -> DataFrame:
@@ -53,9 +58,13 @@ def calendar(records: DataFrame, loaded_at: Column | None = None) -> DataFrame:
 def roster(records: DataFrame, assets: Assets = Assets(), loaded_at: Column | None = None) -> DataFrame:
     """Roster records, one per race and entrant as landed."""
     located = with_season_by_pattern(with_path_columns(records))
-    photo = default_if_blank(F.col("headshot_url"), assets.default_photo).alias("headshot_url")
-    colour = hex_colour(F.col("team_colour"), assets.default_colour).alias("team_colour")
-    return _typed(located, "drivers", "race_folder_name", "year", photo, colour, loaded_at=loaded_at)
+    typed = _typed(located, "drivers", "race_folder_name", "year", loaded_at=loaded_at)
+    return typed.withColumns(
+        {
+            "headshot_url": default_if_blank(F.col("headshot_url"), assets.default_photo),
+            "team_colour": hex_colour(F.col("team_colour"), assets.default_colour),
+        }
+    )
 
 
 def _roster_order() -> list[Column]:
@@ -89,7 +98,19 @@ def teams(standings: DataFrame, assets: Assets = Assets()) -> DataFrame:
     )
 
 
-def race_sessions(sessions: DataFrame, order: list[str]) -> DataFrame:
+def meetings(records: DataFrame) -> DataFrame:
+    """All meetings of the calendar, for the season catalog."""
+    return typed_columns(records, "meetings")
+
+
+def sessions(records: DataFrame) -> DataFrame:
+    """Sessions of all kinds, for the season catalog."""
+    return typed_columns(records, "sessions")
+
+
+def race_sessions(
+    sessions: DataFrame, order: Sequence[str] = ("session_start", "session_key")
+) -> DataFrame:
     """The race session of each meeting: the last one under ``order`` counts."""
     return (
         sessions.where(F.col("session_type") == "Race")
@@ -111,8 +132,8 @@ def result_sessions(sessions: DataFrame) -> DataFrame:
 def season_catalog(meetings: DataFrame, races: DataFrame) -> DataFrame:
     """Meetings that have a race, numbered by date within their season.
 
-    ``meetings`` has meeting_key, meeting_name, date_start and year; ``races``
-    is the result of :func:`race_sessions`.
+    ``meetings`` is the result of :func:`meetings`, ``races`` of
+    :func:`race_sessions`.
     """
     rounds = Window.partitionBy("year").orderBy("date_start", "meeting_key")
     held = meetings.where(is_race_meeting(F.col("meeting_name"))).join(races, "meeting_key")

@@ -1,8 +1,9 @@
-"""Declared schemas of the landed JSON, one per entity.
+"""Declared columns of the landed JSON, one set per entity, and their typed form.
 
-Declaring them saves the inference pass over the data and keeps a scan
-working when a column is absent from every file.  ``detail`` is the field an
-error payload carries in place of records.
+Declaring them saves the inference pass over the data and keeps a scan working
+when a column is absent from every file.  Values are read as text, whether
+quoted or not, and get their type in the typed table, where a value that does
+not fit becomes null.  A typed scan would reject the whole array it stands in.
 """
 
 from __future__ import annotations
@@ -10,55 +11,9 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 CORRUPT = "_corrupt_record"
+# The field an error payload carries in place of records.
 ERROR_FIELD = "detail"
 
-_LONG, _DOUBLE, _TEXT = T.LongType(), T.DoubleType(), T.StringType()
-
-_ENTITY_COLUMNS: dict[str, list[tuple[str, T.DataType]]] = {
-    "drivers_standings": [
-        ("position_current", _LONG),
-        ("points_current", _DOUBLE),
-        ("driver_number", _LONG),
-        ("session_key", _LONG),
-        ("meeting_key", _LONG),
-    ],
-    "teams_standings": [
-        ("meeting_key", _LONG),
-        ("team_name", _TEXT),
-        ("position_current", _LONG),
-        ("points_current", _DOUBLE),
-    ],
-    "drivers": [
-        ("driver_number", _LONG),
-        ("full_name", _TEXT),
-        ("name_acronym", _TEXT),
-        ("team_name", _TEXT),
-        ("country_code", _TEXT),
-        ("headshot_url", _TEXT),
-        ("team_colour", _TEXT),
-    ],
-    "circuits": [
-        ("meeting_key", _LONG),
-        ("circuit_key", _LONG),
-        ("meeting_name", _TEXT),
-        ("location", _TEXT),
-        ("country_name", _TEXT),
-        ("country_code", _TEXT),
-        ("circuit_short_name", _TEXT),
-        ("date_start", _TEXT),
-        ("year", _LONG),
-    ],
-    "sessions": [
-        ("meeting_key", _LONG),
-        ("session_key", _LONG),
-        ("session_name", _TEXT),
-        ("session_type", _TEXT),
-        ("date_start", _TEXT),
-    ],
-}
-
-ENTITIES = tuple(_ENTITY_COLUMNS)
-
 # Landed column, column of the typed table, its type.
 TYPED_COLUMNS: dict[str, tuple[tuple[str, str, str], ...]] = {
     "drivers_standings": (
@@ -91,15 +46,34 @@ TYPED_COLUMNS: dict[str, tuple[tuple[str, str, str], ...]] = {
         ("name_acronym", "name_acronym", "string"),
         ("team_name", "team_name", "string"),
         ("country_code", "country_code", "string"),
+        ("headshot_url", "headshot_url", "string"),
+        ("team_colour", "team_colour", "string"),
+    ),
+    "meetings": (
+        ("meeting_key", "meeting_key", "long"),
+        ("meeting_name", "meeting_name", "string"),
+        ("date_start", "date_start", "timestamp"),
+        ("year", "year", "int"),
+    ),
+    "sessions": (
+        ("meeting_key", "meeting_key", "long"),
+        ("session_key", "session_key", "long"),
+        ("session_name", "session_name", "string"),
+        ("session_type", "session_type", "string"),
+        ("date_start", "session_start", "timestamp"),
     ),
 }
 
 
-def with_diagnostics(schema: T.StructType) -> T.StructType:
-    """The record schema plus the error field and the corrupt-record column."""
-    extra = [T.StructField(n, _TEXT) for n in (ERROR_FIELD, CORRUPT) if n not in schema.names]
-    return T.StructType(list(schema.fields) + extra)
+def text_schema(*columns: str) -> T.StructType:
+    return T.StructType([T.StructField(name, T.StringType()) for name in columns])
 
 
 def record_schema(entity: str) -> T.StructType:
-    return T.StructType([T.StructField(n, t) for n, t in _ENTITY_COLUMNS[entity]])
+    return text_schema(*[landed for landed, _, _ in TYPED_COLUMNS[entity]])
+
+
+def with_diagnostics(schema: T.StructType) -> T.StructType:
+    """The record schema plus the error field and the corrupt-record column."""
+    extra = [name for name in (ERROR_FIELD, CORRUPT) if name not in schema.names]
+    return T.StructType([*schema.fields, *text_schema(*extra).fields])

@@ -30,19 +30,18 @@ def build_session(app: str = "seasongrid", master: str | None = None, **conf: st
 
 
 def shared_root(spark: SparkSession) -> str | None:
-    """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
+    """The folder every executor can reach.
 
-    Only a local session without that setting falls back to a temporary
-    folder; a cluster without it has no shared folder and gets ``None``.
+    It is named by ``spark.checkpoint.dir`` or has been set on the context.
+    Only a local session without either falls back to a temporary folder; a
+    cluster without one has no shared folder and gets ``None``.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if root:
-        return root
-    if spark.sparkContext.master.startswith("local"):
-        root = tempfile.mkdtemp(prefix="seasongrid-")
-        spark.conf.set("spark.checkpoint.dir", root)
-        return root
-    return None
+    context = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not root and context.master.startswith("local"):
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="seasongrid-"))
+        root = context.getCheckpointDir()
+    return root or None
 
 
 def fresh_dir(spark: SparkSession, name: str) -> str:

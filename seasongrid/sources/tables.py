@@ -27,9 +27,18 @@ def read_table(spark: SparkSession, path: str, seasons: Sequence[int] | None = N
     return table if seasons is None else table.where(F.col("year").isin(list(seasons)))
 
 
+def _register(spark: SparkSession, root: str, names: Sequence[str], prefix: str) -> dict[str, DataFrame]:
+    tables = {name: spark.read.parquet(f"{root}/{name}") for name in names}
+    for name, table in tables.items():
+        table.createOrReplaceTempView(f"{prefix}_{name}")
+    return tables
+
+
+def register_silver(spark: SparkSession, silver_root: str) -> dict[str, DataFrame]:
+    """Expose the typed tables as views named ``silver_*``."""
+    return _register(spark, silver_root, SILVER_TABLES, "silver")
+
+
 def register_star(spark: SparkSession, gold_root: str) -> dict[str, DataFrame]:
-    """Expose the gold tables as views named ``gold_*``, read in place."""
-    star = {name: spark.read.parquet(f"{gold_root}/{name}") for name in GOLD_TABLES}
-    for name, table in star.items():
-        table.createOrReplaceTempView(f"gold_{name}")
-    return star
+    """Expose the star as views named ``gold_*``, read in place."""
+    return _register(spark, gold_root, GOLD_TABLES, "gold")

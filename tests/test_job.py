@@ -7,7 +7,7 @@ from pyspark.errors import AnalysisException
 from seasongrid.plans import job
 from seasongrid.session import fresh_dir
 from seasongrid.sources import sinks
-from seasongrid.sources.tables import GOLD_TABLES, read_table, register_star
+from seasongrid.sources.tables import GOLD_TABLES, SILVER_TABLES, read_table, register_silver, register_star
 
 
 def _land(make, root: str, year: int, totals: list[float]) -> None:
@@ -68,6 +68,23 @@ def test_the_star_covers_all_seasons(spark, loaded):
     assert tables["ui_play_timeline"].count() == 4
 
 
+def test_typed_tables_are_views(spark, loaded):
+    root, _ = loaded
+    assert set(register_silver(spark, f"{root}/silver")) == set(SILVER_TABLES)
+    assert rows(spark.sql("SELECT DISTINCT team_name, year FROM silver_teams")) == [("Alpha", 2023), ("Alpha", 2024)]
+
+
+def test_rejects_are_kept_per_season(spark, make):
+    root = fresh_dir(spark, "rejects")
+    _land(make, root, 2023, [1.0])
+    bad = make("detail string, race_folder string", ("try later", "01_R1"))
+    sinks.land_json(bad, f"{root}/bronze/2023", "drivers_standings", ["race_folder"])
+    job.run(spark, [2023], root, rejects_root=f"{root}/rejects")
+    kept = spark.read.parquet(f"{root}/rejects/drivers_standings")
+    assert rows(kept, "reason", "payload", "year") == [("error payload", "try later", 2023)]
+    assert read_table(spark, f"{root}/silver/drivers_standings").count() == 1
+
+
 def test_a_season_that_has_not_landed_fails_the_load(spark, loaded):
     root, _ = loaded
     with pytest.raises(AnalysisException):

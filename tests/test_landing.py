@@ -59,7 +59,7 @@ def bronze(tmp_path):
 
 def test_scan_takes_exactly_one_entity(spark, bronze):
     scan = scan_entity(spark, bronze, "drivers")
-    assert rows(accepted(scan), "driver_number", "team_name") == [(1, "Alpha "), (1, "Beta"), (2, None)]
+    assert rows(accepted(scan), "driver_number", "team_name") == [("1", "Alpha "), ("1", "Beta"), ("2", None)]
 
 
 def test_path_columns(spark, bronze):
@@ -144,10 +144,45 @@ def test_landed_by_spark_reads_like_files_put_by_hand(spark, make, tmp_path):
     again = make(record, (1, 7, "02_C"))
     sinks.replace_season({"drivers_standings": again}, season)
     scan = landing.with_path_columns(accepted(scan_entity(spark, season, "drivers_standings")))
-    assert rows(scan, "driver_number", "position_current", "race_folder_name", "year") == [(1, 7, "02_C", 2023)]
+    assert rows(scan, "driver_number", "position_current", "race_folder_name", "year") == [("1", "7", "02_C", 2023)]
     assert scan_entity(spark, season, "drivers").count() == 0
 
 
+def test_values_that_do_not_fit_become_null_and_reject_nothing(spark, tmp_path):
+    odd = [
+        {**_standing(1, 101), "points_current": "12.5", "position_current": "2"},
+        {**_standing(2, 101), "points_current": "many", "position_current": 3.0},
+        {**_standing(3, 101), "position_current": "first"},
+        {**_standing(4, 9007199254740993), "points_current": None},
+    ]
+    _put(tmp_path / "bronze" / "2023" / "01_X" / "drivers_standings.json", odd)
+    scan = scan_entity(spark, str(tmp_path), "drivers_standings")
+    assert quarantined(scan).count() == 0
+    assert rows(silver.driver_standings(accepted(scan)), "driver_number", "position", "points", "meeting_key") == [
+        (1, 2, 12.5, 101), (2, 3, None, 101), (4, 1, None, 9007199254740993)
+    ]
+
+
+@pytest.mark.parametrize("name", ["01_São Paulo", "02_A+B 100%", "03_Round #3: x=y", "04_a%20b"])
+def test_folder_names_survive_landing(spark, make, tmp_path, name):
+    by_hand, by_spark = tmp_path / "bronze" / "2023", str(tmp_path / "spark" / "bronze" / "2024")
+    _put(by_hand / name / "drivers.json", [_entry(1, "A")])
+    sinks.replace_season({"drivers": make("driver_number long, race_folder string", (2, name))}, by_spark)
+    scan = landing.with_path_columns(scan_entity(spark, [str(by_hand), by_spark], "drivers"))
+    assert rows(scan, "driver_number", "race_folder_name", "year") == [("1", name, 2023), ("2", name, 2024)]
+
+
+def test_catalog_from_landed_files(spark, bronze, tmp_path):
+    _put(tmp_path / "bronze" / "2023" / "01_São Paulo" / "sessions.json", [
+        {"meeting_key": 101, "session_key": 1010, "session_type": "Race", "date_start": "2023-11-03T14:30:00+00:00"},
+        {"meeting_key": 101, "session_key": 1009, "session_type": "Race", "date_start": "2023-11-04T14:30:00+00:00"},
+    ])
+    meetings = silver.meetings(accepted(scan_entity(spark, bronze, "circuits")))
+    sessions = silver.sessions(accepted(scan_entity(spark, bronze, "sessions")))
+    catalog = silver.season_catalog(meetings, silver.race_sessions(sessions))
+    assert rows(catalog, "year", "round", "session_key", "folder_name") == [(2023, 1, 1009, "01_São_Paulo_Prix")]
+
+
 def test_season_catalog_numbers_races_by_date(make):
     meetings = make(
         "meeting_key long, meeting_name string, date_start string, year int",
