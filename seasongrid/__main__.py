@@ -16,9 +16,19 @@ def main() -> None:
     parser.add_argument("--season-dir", default="{year}", help="name of a season's folder below bronze/")
     parser.add_argument("--default-photo", default=Assets.default_photo)
     parser.add_argument("--logo-base", default=Assets.logo_base)
+    parser.add_argument("--rejects", help="folder for records that were not accepted")
+    parser.add_argument("--format", default="parquet", help="format of the written tables")
     options = parser.parse_args()
     assets = Assets(options.default_photo, options.logo_base)
-    job.run(build_session("seasongrid-load"), options.seasons, options.root, options.season_dir, assets)
+    job.run(
+        build_session("seasongrid-load"),
+        options.seasons,
+        options.root,
+        options.season_dir,
+        assets,
+        rejects_root=options.rejects,
+        fmt=options.format,
+    )
 
 
 if __name__ == "__main__":

@@ -6,11 +6,11 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 
-from seasongrid.config import Assets
+from seasongrid.config import DEFAULT_COLOUR, Assets
 from seasongrid.plans import gold, silver
 from seasongrid.sources import sinks
 from seasongrid.sources.landing import accepted, quarantined, scan_entity, with_season_by_pattern
-from seasongrid.sources.tables import read_table
+from seasongrid.sources.tables import SILVER_TABLES, read_table
 
 
 def load_silver(
@@ -21,6 +21,7 @@ def load_silver(
     assets: Assets = Assets(),
     loaded_at: Column | None = None,
     rejects_root: str | None = None,
+    fmt: str = "parquet",
 ) -> None:
     """Rebuild the given seasons; other seasons are not touched.
 
@@ -32,45 +33,43 @@ def load_silver(
         scan = scan_entity(spark, season_paths, entity)
         if rejects_root:
             rejects = with_season_by_pattern(quarantined(scan))
-            sinks.overwrite_seasons(rejects, f"{rejects_root}/{entity}")
+            sinks.overwrite_seasons(rejects, f"{rejects_root}/{entity}", fmt=fmt)
         return accepted(scan)
 
-    sinks.overwrite_seasons(
-        silver.driver_standings(landed("drivers_standings"), loaded_at), f"{silver_root}/drivers_standings"
-    )
-    team_table = f"{silver_root}/teams_standings"
-    sinks.overwrite_seasons(silver.team_standings(landed("teams_standings"), loaded_at), team_table)
-    sinks.overwrite_seasons(
-        sinks.date_ordered(silver.calendar(landed("circuits"), loaded_at)),
-        f"{silver_root}/circuits",
-        arrange=False,
-    )
-    sinks.overwrite_seasons(
-        silver.entrants(silver.roster(landed("drivers"), assets, loaded_at)), f"{silver_root}/drivers"
-    )
-    sinks.overwrite_seasons(
-        silver.teams(read_table(spark, team_table, seasons), assets), f"{silver_root}/teams"
-    )
+    def save(table: DataFrame, name: str, arrange: bool = True) -> None:
+        sinks.overwrite_seasons(table, f"{silver_root}/{name}", arrange=arrange, fmt=fmt)
 
+    # Records of one season are written as they were read, without a shuffle.
+    # Tasks of a scan over several seasons would each write a file for every one.
+    mixed = len(seasons) > 1
+    save(silver.driver_standings(landed("drivers_standings"), loaded_at), "drivers_standings", mixed)
+    save(silver.team_standings(landed("teams_standings"), loaded_at), "teams_standings", mixed)
+    save(sinks.date_ordered(silver.calendar(landed("circuits"), loaded_at)), "circuits", arrange=False)
+    save(silver.entrants(silver.roster(landed("drivers"), assets, loaded_at)), "drivers")
+    standings = read_table(spark, f"{silver_root}/teams_standings", seasons, fmt=fmt)
+    save(silver.teams(standings, assets), "teams")
 
-def load_gold(spark: SparkSession, silver_root: str, gold_root: str, default_colour: str | None = None) -> None:
+
+def load_gold(
+    spark: SparkSession,
+    silver_root: str,
+    gold_root: str,
+    default_colour: str = DEFAULT_COLOUR,
+    fmt: str = "parquet",
+) -> None:
     """Rebuild the star over all seasons in the typed tables."""
-    standings = read_table(spark, f"{silver_root}/drivers_standings")
-    team_rows = read_table(spark, f"{silver_root}/teams_standings")
-    calendar = read_table(spark, f"{silver_root}/circuits")
-    entrants = read_table(spark, f"{silver_root}/drivers")
-    teams = read_table(spark, f"{silver_root}/teams")
-    colour = default_colour or Assets().default_colour
-    tables = {
+    typed = {name: read_table(spark, f"{silver_root}/{name}", fmt=fmt) for name in SILVER_TABLES}
+    standings, calendar, entrants = typed["drivers_standings"], typed["circuits"], typed["drivers"]
+    star = {
         "dim_driver": gold.dim_driver(entrants, standings, calendar),
-        "dim_team": gold.dim_team(teams, entrants, colour),
+        "dim_team": gold.dim_team(typed["teams"], entrants, default_colour),
         "dim_race": gold.dim_race(calendar),
         "fact_driver_results": gold.fact_driver(standings, calendar, entrants),
-        "fact_team_results": gold.fact_team(team_rows, calendar),
+        "fact_team_results": gold.fact_team(typed["teams_standings"], calendar),
         "ui_play_timeline": gold.timeline(calendar),
     }
-    for name, table in tables.items():
-        sinks.overwrite_table(table, f"{gold_root}/{name}")
+    for name, table in star.items():
+        sinks.overwrite_table(table, f"{gold_root}/{name}", fmt)
 
 
 def run(
@@ -81,13 +80,13 @@ def run(
     assets: Assets = Assets(),
     loaded_at: Column | None = None,
     rejects_root: str | None = None,
+    fmt: str = "parquet",
 ) -> None:
     """Load ``seasons`` from ``{root}/bronze`` and rebuild the star.
 
     Seasons do not depend on each other before the star, so they are read in
-    one pass; a season without landed files fails the load before any write
-    to the star.
+    one pass; a season without landed files fails the load before any write.
     """
     paths = [f"{root}/bronze/{season_dir.format(year=year)}" for year in seasons]
-    load_silver(spark, paths, f"{root}/silver", seasons, assets, loaded_at, rejects_root)
-    load_gold(spark, f"{root}/silver", f"{root}/gold", assets.default_colour)
+    load_silver(spark, paths, f"{root}/silver", seasons, assets, loaded_at, rejects_root, fmt)
+    load_gold(spark, f"{root}/silver", f"{root}/gold", assets.default_colour, fmt)

@@ -1,14 +1,15 @@
 """Writes: season partitions, whole tables, landed JSON.
 
 Partition overwrite is chosen per write, never through the session, and
-always on a path: a Parquet ``saveAsTable`` would replace every season.
+always on a path: a Parquet ``saveAsTable`` would replace every season.  ``fmt``
+is any file or table format the session has.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, DataFrameWriter
 from pyspark.sql import functions as F
 
 from seasongrid.session import fresh_dir, shared_root
@@ -23,15 +24,27 @@ def balanced(df: DataFrame, by: Sequence[str]) -> DataFrame:
     return df.hint("rebalance", *[F.col(c) for c in by])
 
 
-def overwrite_seasons(df: DataFrame, path: str, by: Sequence[str] = ("year",), arrange: bool = True) -> None:
+def _overwriting(df: DataFrame, fmt: str, scope: str) -> DataFrameWriter:
+    writer = df.write.format(fmt).mode("overwrite").option("partitionOverwriteMode", scope)
+    # Formats with a table schema of their own grow it on write; Parquet does on read.
+    return writer.option("mergeSchema", "true")
+
+
+def overwrite_seasons(
+    df: DataFrame,
+    path: str,
+    by: Sequence[str] = ("year",),
+    arrange: bool = True,
+    fmt: str = "parquet",
+) -> None:
     """Replace only the partitions present in ``df``."""
     rows = balanced(df, by) if arrange else df
-    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)
+    _overwriting(rows, fmt, "dynamic").partitionBy(*by).save(path)
 
 
-def overwrite_table(df: DataFrame, path: str) -> None:
+def overwrite_table(df: DataFrame, path: str, fmt: str = "parquet") -> None:
     """Replace the whole unpartitioned table."""
-    df.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
+    _overwriting(df, fmt, "static").save(path)
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:

@@ -18,27 +18,35 @@ GOLD_TABLES = (
 )
 
 
-def read_table(spark: SparkSession, path: str, seasons: Sequence[int] | None = None, merge_schema: bool = False) -> DataFrame:
-    """A Parquet table; ``seasons`` prunes partitions, ``merge_schema`` takes columns of every file."""
-    reader = spark.read
+def read_table(
+    spark: SparkSession,
+    path: str,
+    seasons: Sequence[int] | None = None,
+    merge_schema: bool = False,
+    fmt: str = "parquet",
+) -> DataFrame:
+    """A table; ``seasons`` prunes partitions, ``merge_schema`` takes columns of every file."""
+    reader = spark.read.format(fmt)
     if merge_schema:
         reader = reader.option("mergeSchema", "true")
-    table = reader.parquet(path)
+    table = reader.load(path)
     return table if seasons is None else table.where(F.col("year").isin(list(seasons)))
 
 
-def _register(spark: SparkSession, root: str, names: Sequence[str], prefix: str) -> dict[str, DataFrame]:
-    tables = {name: spark.read.parquet(f"{root}/{name}") for name in names}
+def _register(
+    spark: SparkSession, root: str, names: Sequence[str], prefix: str, fmt: str
+) -> dict[str, DataFrame]:
+    tables = {name: read_table(spark, f"{root}/{name}", fmt=fmt) for name in names}
     for name, table in tables.items():
         table.createOrReplaceTempView(f"{prefix}_{name}")
     return tables
 
 
-def register_silver(spark: SparkSession, silver_root: str) -> dict[str, DataFrame]:
+def register_silver(spark: SparkSession, silver_root: str, fmt: str = "parquet") -> dict[str, DataFrame]:
     """Expose the typed tables as views named ``silver_*``."""
-    return _register(spark, silver_root, SILVER_TABLES, "silver")
+    return _register(spark, silver_root, SILVER_TABLES, "silver", fmt)
 
 
-def register_star(spark: SparkSession, gold_root: str) -> dict[str, DataFrame]:
+def register_star(spark: SparkSession, gold_root: str, fmt: str = "parquet") -> dict[str, DataFrame]:
     """Expose the star as views named ``gold_*``, read in place."""
-    return _register(spark, gold_root, GOLD_TABLES, "gold")
+    return _register(spark, gold_root, GOLD_TABLES, "gold", fmt)

@@ -85,6 +85,14 @@ def test_rejects_are_kept_per_season(spark, make):
     assert read_table(spark, f"{root}/silver/drivers_standings").count() == 1
 
 
+def test_tables_in_another_format(spark, make):
+    root = fresh_dir(spark, "orc")
+    _land(make, root, 2023, [10.0, 25.0])
+    job.run(spark, [2023], root, fmt="orc")
+    fact = register_star(spark, f"{root}/gold", "orc")["fact_team_results"]
+    assert rows(fact, "Race_Key", "Race_Points") == [(202301, 10.0), (202302, 15.0)]
+
+
 def test_a_season_that_has_not_landed_fails_the_load(spark, loaded):
     root, _ = loaded
     with pytest.raises(AnalysisException):
