@@ -218,7 +218,9 @@ def fact_team(standings: DataFrame, calendar: DataFrame, block: Column | None =
 
     Repeated standings rows are kept.  Exact copies travel as one row with
     their number and are unfolded at the end: the first copy carries the
-    points gained, the others gain nothing.
+    points gained, the others gain nothing.  Should one race of a team have
+    very many different rows, let ``block`` cut the points as well, as
+    ``struct(date_start, meeting_key, floor(points / 1000))`` does.
     """
     slim = standings.select(
         F.trim("team_name").alias("team_name"), "year", "meeting_key", "points", "position"

@@ -21,7 +21,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from seasongrid.operators.joins import forward_fill, last_nonblank
+from seasongrid.operators.joins import broadcast_within, forward_fill, last_nonblank
 from seasongrid.operators.summaries import selected_value
 
 Moment = dt.datetime | dt.date | str
@@ -145,6 +145,34 @@ def team_ranks_by_race(
     return filled.where(F.col("Team_Ranks").isNotNull())
 
 
+def team_ranks_by_code(
+    star: DataFrame,
+    dim_race: DataFrame,
+    by: Sequence[str] = TEAM,
+    years: Sequence[int] | None = None,
+    play_until: Moment | None = None,
+) -> DataFrame:
+    """Ranks on an axis of display codes, which may recur in several seasons.
+
+    A code's cutoff is the date of its last visible, selected race.  The rank is
+    the last known one up to there within the seasons that hold the code: as of
+    the cutoff in its season, else the final rank of an earlier one.
+    """
+    races = _visible(dim_race, years)
+    cutoffs = _up_to(races, play_until).groupBy("GP_Display").agg(F.max("Date").alias("_cutoff"))
+    seasons = races.select("GP_Display", "Year").distinct().join(cutoffs, "GP_Display")
+    # Per code and season the last race date that counts: a few rows per season.
+    as_of = (
+        seasons.join(races.select("Year", "Date"), "Year")
+        .where(F.col("Date") <= F.col("_cutoff"))
+        .groupBy("GP_Display", "Year")
+        .agg(F.max("Date").alias("Date"))
+    )
+    filled = team_ranks_by_race(star, dim_race, by, years, play_until).withColumnRenamed("Team_Ranks", "_rank")
+    matched = filled.join(broadcast_within(as_of), ["Year", "Date"])
+    return last_nonblank(matched, [*by, "GP_Display"], "Date", "_rank", "Team_Ranks")
+
+
 def driver_ranks(
     star: DataFrame,
     dim_race: DataFrame,

@@ -120,5 +120,7 @@ def test_fact_team(make, data):
     got = rows(gold.fact_team(table, calendar), "Team_Key", "Race_Key", "Race_Points", "Season_Points", "World_Position")
     order = {"key": lambda r: [(v is not None, v) for v in r]}
     assert got == sorted(want, **order)
-    blocked = gold.fact_team(table, calendar, block=F.col("meeting_key"))
-    assert rows(blocked, "Team_Key", "Race_Key", "Race_Points", "Season_Points", "World_Position") == got
+    # Blocks of races, and blocks of points within a race.
+    for block in (F.col("meeting_key"), F.struct("date_start", "meeting_key", F.floor(F.col("points") / 4))):
+        blocked = gold.fact_team(table, calendar, block=block)
+        assert rows(blocked, "Team_Key", "Race_Key", "Race_Points", "Season_Points", "World_Position") == got

@@ -100,6 +100,33 @@ def test_team_ranks_do_not_leak_into_the_next_season(make, dim_race):
     assert rows(got, "Race_Key", "Team_Ranks") == [(3, 1), (5, 7)]
 
 
+def test_team_ranks_on_an_axis_of_recurring_codes(make):
+    races = make(
+        "Race_Key long, Year int, GP_Display string, Date timestamp",
+        (1, 2023, "X", day("2023-03-01")), (2, 2023, "Y", day("2023-04-01")), (3, 2023, "Z", day("2023-05-01")),
+        (4, 2024, "Y", day("2024-03-01")), (5, 2024, "X", day("2024-04-01")),
+    )
+    facts = make(
+        "Team string, Year int, Date timestamp, World_Position int",
+        ("A", 2023, day("2023-03-01"), 1), ("A", 2023, day("2023-05-01"), 2), ("A", 2024, day("2024-03-01"), 3),
+        ("B", 2023, day("2023-03-01"), 4), ("B", 2023, day("2023-05-01"), 5), ("B", 2024, day("2024-04-01"), 6),
+    )
+
+    def ranks(**context):
+        return rows(measures.team_ranks_by_code(facts, races, ["Team"], **context))
+
+    assert ranks() == [
+        ("A", "X", 3), ("A", "Y", 3), ("A", "Z", 2),
+        ("B", "X", 6), ("B", "Y", 5), ("B", "Z", 5),
+    ]
+    assert ranks(years=[2023]) == [
+        ("A", "X", 1), ("A", "Y", 1), ("A", "Z", 2), ("B", "X", 4), ("B", "Y", 4), ("B", "Z", 5)
+    ]
+    assert ranks(play_until=day("2024-03-15")) == [
+        ("A", "X", 1), ("A", "Y", 3), ("A", "Z", 2), ("B", "X", 4), ("B", "Y", 5), ("B", "Z", 5)
+    ]
+
+
 def test_races_of_one_day_share_the_larger_rank(make):
     races = make("Race_Key long, Year int, Date timestamp", (1, 2023, D1), (2, 2023, D1), (3, 2023, D2))
     facts = make("Team string, Year int, Date timestamp, World_Position int", ("A", 2023, D1, 4), ("A", 2023, D1, 6))

@@ -446,6 +446,13 @@ _QUERIES: dict[str, str] = {
     "measure_team_ranks_as_of": f"""
         SELECT Team_Key, arg_max(rank, Date) FILTER (WHERE Date <= {_CUTOFF}) AS Team_Ranks
         FROM team_daily WHERE Year = 1998 GROUP BY 1""",
+    "measure_team_ranks_by_code": f"""
+        SELECT Team, c.GP_Display, arg_max(s.rank, s.Date) AS Team_Ranks
+        FROM (SELECT GP_Display, max(Date) AS cutoff FROM dim_race WHERE Date <= {_CUTOFF} GROUP BY 1) c
+        JOIN (SELECT DISTINCT GP_Display, Year FROM dim_race) y ON y.GP_Display = c.GP_Display
+        JOIN (SELECT Team, Year, Date, max(World_Position) AS rank FROM full_team_star GROUP BY 1, 2, 3) s
+          ON s.Year = y.Year AND s.Date <= c.cutoff
+        GROUP BY 1, 2""",
     "measure_driver_ranks": """
         SELECT Driver_Key, max(CASE WHEN Date = (SELECT max(Date) FROM dim_race WHERE Year = 1998)
                                     THEN World_Position END) AS Driver_Ranks

@@ -99,6 +99,12 @@ def measure_team_ranks_as_of(s: Standins) -> DataFrame:
     return measures.team_ranks(s.team_star, years=[SEASON], play_until=CUTOFF)
 
 
+@query
+def measure_team_ranks_by_code(s: Standins) -> DataFrame:
+    named = s.team_star.join(s.dim_team.select("Team_Key", "Team"), "Team_Key")
+    return measures.team_ranks_by_code(named, s.dim_race, ["Team"], play_until=CUTOFF)
+
+
 @query
 def window_ffill_rank(s: Standins) -> DataFrame:
     return measures.team_ranks_by_race(s.team_star, s.dim_race)
