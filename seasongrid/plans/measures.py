@@ -193,12 +193,24 @@ def driver_ranks(
 
 def driver_ranks_by_race(
     star: DataFrame,
+    dim_race: DataFrame,
     by: Sequence[str] = DRIVER,
     axis: Sequence[str] = ("Race_Key",),
     years: Sequence[int] | None = None,
 ) -> DataFrame:
-    """Each race's own rank: on a race axis the last visible date is its date."""
-    return _visible(star, years).groupBy(*by, *axis).agg(F.max("World_Position").alias("Driver_Ranks"))
+    """Ranks on a race axis: each cell's last visible race date counts.
+
+    For a code held in several seasons that is its latest race; a driver who
+    raced there only before is blank.
+    """
+    last = _visible(dim_race, years).groupBy(*axis).agg(F.max("Date").alias("_last"))
+    at_last = F.when(F.col("Date") == F.col("_last"), F.struct("Race_Key", "World_Position"))
+    return (
+        _visible(star, years)
+        .join(last, list(axis))
+        .groupBy(*by, *axis)
+        .agg(F.max(at_last)["World_Position"].alias("Driver_Ranks"))
+    )
 
 
 # ---- team pictures and colours ----------------------------------------------

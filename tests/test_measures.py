@@ -139,10 +139,20 @@ def test_driver_ranks(drivers, dim_race):
     by = ["Driver"]
     assert rows(measures.driver_ranks(drivers, dim_race, by, [2023])) == [("D", 6), ("E", None)]
     assert rows(measures.driver_ranks(drivers, dim_race, by)) == [("D", None), ("E", None)]
-    own = measures.driver_ranks_by_race(drivers, by, ["GP_Display"], [2023])
+    own = measures.driver_ranks_by_race(drivers, dim_race, by, ["GP_Display"], [2023])
     assert rows(own.where("Driver = 'D'")) == [("D", "R1", 4), ("D", "R3", 6)]
 
 
+def test_driver_ranks_on_an_axis_of_recurring_codes(make):
+    races = make("Race_Key long, Year int, GP_Display string, Date timestamp", (1, 2023, "X", D1), (4, 2024, "X", D4))
+    facts = make("Driver string, Race_Key long, World_Position int", ("D", 1, 2), ("D", 4, 7), ("E", 1, 3))
+    star = facts.join(races, "Race_Key")
+    assert rows(measures.driver_ranks_by_race(star, races, ["Driver"], ["GP_Display"])) == [("D", "X", 7), ("E", "X", None)]
+    assert rows(measures.driver_ranks_by_race(star, races, ["Driver"], ["GP_Display"], [2023])) == [
+        ("D", "X", 2), ("E", "X", 3)
+    ]
+
+
 def test_actual_team_logo(drivers, dim_race, dim_team):
     def logos(**context):
         return dict(rows(measures.actual_team_logo(drivers, dim_race, dim_team, ["Driver"], **context)))

@@ -458,6 +458,11 @@ _QUERIES: dict[str, str] = {
                                     THEN World_Position END) AS Driver_Ranks
         FROM driver_star WHERE Year = 1998 GROUP BY 1""",
     "measure_driver_ranks_by_race": "SELECT Driver_Key, Race_Key, World_Position AS Driver_Ranks FROM fact_driver",
+    "measure_driver_ranks_by_code": """
+        SELECT Driver, GP_Display,
+               max(World_Position) FILTER (WHERE Date = (SELECT max(r.Date) FROM dim_race r
+                                                         WHERE r.GP_Display = s.GP_Display)) AS Driver_Ranks
+        FROM full_driver_star s WHERE s.Driver_Key IN (SELECT Driver_Key FROM dim_driver) GROUP BY 1, 2""",
     "measure_actual_team_logo": f"""
         SELECT k.Driver_Key, Team_Logo AS Actual_Team_Logo
         FROM (SELECT Driver_Key, arg_max(coalesce(Team_Key, ''), r.Date) FILTER (WHERE r.Date <= {_CUTOFF}) AS Team_Key

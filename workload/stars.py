@@ -117,7 +117,13 @@ def measure_driver_ranks(s: Standins) -> DataFrame:
 
 @query
 def measure_driver_ranks_by_race(s: Standins) -> DataFrame:
-    return measures.driver_ranks_by_race(s.driver_star)
+    return measures.driver_ranks_by_race(s.driver_star, s.dim_race)
+
+
+@query
+def measure_driver_ranks_by_code(s: Standins) -> DataFrame:
+    named = s.driver_star.join(s.dim_driver.select("Driver_Key", "Driver"), "Driver_Key")
+    return measures.driver_ranks_by_race(named, s.dim_race, ["Driver"], ["GP_Display"])
 
 
 @query
