@@ -112,7 +112,7 @@ class Standins:
         else:
             year, month = F.year("l_shipdate"), F.month("l_shipdate")
             lines = self.table("lineitem").select((year * 100 + month).cast("long").alias("meeting_key"))
-            months = lines.distinct()
+            months = stored(lines.distinct(), "months")
         key = F.col("meeting_key")
         month_name = F.date_format(_first_day(key), "MMMM")
         day_name = F.date_format(_first_day(key), "EEEE")
