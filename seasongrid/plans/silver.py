@@ -69,9 +69,14 @@ def roster(records: DataFrame, assets: Assets = Assets(), loaded_at: Column | No
 
 def _roster_order() -> list[Column]:
     """Which roster row speaks for an entrant: the latest race, then the first
-    team name; the other columns make the order total."""
+    team name; the other columns make the order total.
+
+    Races go by the round their folder name starts with, as a number.
+    """
+    folder = F.col("race_folder_name")
+    latest = [F.regexp_extract(folder, r"^(\d+)", 1).try_cast("int").desc_nulls_last(), folder.desc_nulls_last()]
     rest = ("team_name", "full_name", "name_acronym", "country_code", "headshot_url", "team_colour")
-    return [F.col("race_folder_name").desc_nulls_last()] + [F.col(c).asc_nulls_last() for c in rest]
+    return latest + [F.col(c).asc_nulls_last() for c in rest]
 
 
 def entrants(roster_rows: DataFrame) -> DataFrame:

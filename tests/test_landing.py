@@ -128,6 +128,13 @@ def test_roster_defaults_and_latest_row(spark, bronze):
     ]
 
 
+def test_rounds_are_compared_as_numbers(spark, tmp_path):
+    for folder, team in (("99_X", "Old"), ("100_Y", "New"), ("Extra", "None")):
+        _put(tmp_path / "bronze" / "2023" / folder / "drivers.json", [_entry(1, team)])
+    roster = silver.roster(accepted(scan_entity(spark, str(tmp_path), "drivers")))
+    assert rows(silver.entrants(roster), "team_name") == [("New",)]
+
+
 def test_teams_escape_spaces_only(spark, bronze):
     standings = silver.team_standings(accepted(scan_entity(spark, bronze, "teams_standings")))
     assert rows(silver.teams(standings, Assets(logo_base="logos/")), "team_name", "team_logo_url") == [
