@@ -6,49 +6,35 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from seasongrid.functions.text import code3
-from seasongrid.operators.joins import broadcast_within
 
 
-def names_per_code(
-    df: DataFrame, name: str, out: str = "Distinct_GPs", check_size: bool = False
-) -> DataFrame:
+def _names(df: DataFrame, name: str) -> DataFrame:
+    return df.select(F.col(name).alias("_name")).distinct().withColumn("_code", code3(F.col("_name")))
+
+
+def names_per_code(df: DataFrame, name: str, out: str = "Distinct_GPs") -> DataFrame:
     """Each row with the number of different names that share its code.
 
-    The names are counted per code first and joined back, since a window over
-    the code would hold every row of a popular code in one task.  Spark knows
-    the size of codes that come from a small table; with ``check_size`` they
-    are counted, so that a large ``df`` need not be shuffled by few codes.
+    Only the distinct names meet by code; rows are joined by their name, so a
+    popular code gathers no rows anywhere.
     """
-    coded = df.withColumn("Default_Code", code3(F.col(name)))
-    counts = coded.groupBy(F.col("Default_Code").alias("_code")).agg(
-        F.count_distinct(name).cast("int").alias(out)
-    )
-    counts = broadcast_within(counts) if check_size else counts
-    return coded.join(
-        counts, F.col("Default_Code").eqNullSafe(F.col("_code")), "left"
-    ).drop("_code")
-
-
-def display_code(
-    df: DataFrame,
-    name: str,
-    alternative: str,
-    out: str = "GP_Display",
-    check_size: bool = False,
-) -> DataFrame:
+    names = _names(df, name)
+    counts = names.groupBy(F.col("_code").alias("_shared")).agg(F.count("_name").cast("int").alias(out))
+    named = names.join(counts, F.col("_code").eqNullSafe(F.col("_shared")), "left").select("_name", out)
+    joined = df.withColumn("Default_Code", code3(F.col(name))).join(named, F.col(name).eqNullSafe(F.col("_name")), "left")
+    return joined.drop("_name")
+
+
+def display_code(df: DataFrame, name: str, alternative: str, out: str = "GP_Display") -> DataFrame:
     """The code of ``name``, or of ``alternative`` where several names share it.
 
     The check spans all seasons, so a new season can change codes of old ones.
     Whether a code is shared needs no count: its smallest and largest name differ.
     """
-    shared = (
-        df.groupBy(code3(F.col(name)).alias("_code"))
-        .agg((F.min(name) != F.max(name)).alias("_shared"))
-        .where("_shared")
-    )
-    shared = broadcast_within(shared) if check_size else shared
-    code = code3(F.col(name))
-    return df.join(shared, code == F.col("_code"), "left").select(
+    names = _names(df, name)
+    shared = names.groupBy("_code").agg((F.min("_name") != F.max("_name")).alias("_shared")).where("_shared")
+    named = names.join(shared, "_code").select("_name", "_shared")
+    return df.join(named, F.col(name) == F.col("_name"), "left").select(
         *df.columns,
-        F.when(F.col("_shared"), code3(F.col(alternative))).otherwise(code).alias(out),
+        F.when(F.col("_shared"), code3(F.col(alternative))).otherwise(code3(F.col(name))).alias(out),
     )

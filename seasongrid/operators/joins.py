@@ -1,4 +1,4 @@
-"""Join helpers: size-checked broadcast, as-of lookup, forward fill."""
+"""Join helpers: as-of lookup, forward fill."""
 
 from __future__ import annotations
 
@@ -7,23 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from seasongrid.session import can_checkpoint
-
-BROADCAST_ROWS = 200_000
-
-
-def broadcast_within(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast only for a side counted to be small.
-
-    The side is materialised once in the checkpoint folder, so counting it
-    costs no second computation.  A larger side, or a cluster without such a
-    folder, keeps the plain join and Spark chooses how to run it.
-    """
-    if not can_checkpoint(df.sparkSession):
-        return df
-    stored = df.checkpoint()
-    return F.broadcast(stored) if stored.count() <= max_rows else stored
-
 
 def last_nonblank(
     df: DataFrame,

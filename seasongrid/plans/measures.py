@@ -21,8 +21,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from seasongrid.operators.joins import broadcast_within, forward_fill, last_nonblank
+from seasongrid.operators.joins import forward_fill, last_nonblank
 from seasongrid.operators.summaries import selected_value
+from seasongrid.sources.sinks import stored
 
 Moment = dt.datetime | dt.date | str
 TEAM = ("Team_Key",)
@@ -169,7 +170,7 @@ def team_ranks_by_code(
         .agg(F.max("Date").alias("Date"))
     )
     filled = team_ranks_by_race(star, dim_race, by, years, play_until).withColumnRenamed("Team_Ranks", "_rank")
-    matched = filled.join(broadcast_within(as_of), ["Year", "Date"])
+    matched = filled.join(stored(as_of, "as-of"), ["Year", "Date"])
     return last_nonblank(matched, [*by, "GP_Display"], "Date", "_rank", "Team_Ranks")
 
 

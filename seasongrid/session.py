@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -29,40 +28,27 @@ def build_session(app: str = "seasongrid", master: str | None = None, **conf: st
     return builder.getOrCreate()
 
 
-def shared_root(spark: SparkSession) -> str | None:
-    """The folder every executor can reach.
+def shared_root(spark: SparkSession) -> str:
+    """The folder every executor can reach, for tables that are written and read again.
 
-    It is named by ``spark.checkpoint.dir`` or has been set on the context.
-    Only a local session without either falls back to a temporary folder; a
-    cluster without one has no shared folder and gets ``None``.
+    It is named by ``spark.checkpoint.dir``.  Where that is unset it lies below
+    the warehouse, which all executors share as well.
     """
-    context = spark.sparkContext
-    root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
-    if not root and context.master.startswith("local"):
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="seasongrid-"))
-        root = context.getCheckpointDir()
-    return root or None
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    return root or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
 
 
 def fresh_dir(spark: SparkSession, name: str) -> str:
-    """A new folder for written tables, below one folder per application.
+    """A new folder for written tables, below one folder per application."""
+    return f"{run_root(spark)}/{name}-{uuid.uuid4().hex}"
 
-    Nothing is shared between calls, and whoever runs the cluster can drop an
-    application's folder once it has ended.
-    """
-    root = shared_root(spark)
-    if root is None:
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    application = spark.sparkContext.applicationId
-    return f"{root.rstrip('/')}/{application}/{name}-{uuid.uuid4().hex}"
+
+def run_root(spark: SparkSession) -> str:
+    return f"{shared_root(spark).rstrip('/')}/{spark.sparkContext.applicationId}"
 
 
-def can_checkpoint(spark: SparkSession) -> bool:
-    """Make ``DataFrame.checkpoint`` usable if a shared folder is known."""
+def clear_run(spark: SparkSession) -> None:
+    """Delete what this application has written by :func:`fresh_dir`; call it at the end of a run."""
     context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        root = shared_root(spark)
-        if root is None:
-            return False
-        context.setCheckpointDir(root)
-    return True
+    path = context._jvm.org.apache.hadoop.fs.Path(run_root(spark))
+    path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)

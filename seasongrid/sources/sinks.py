@@ -12,7 +12,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, DataFrameWriter
 from pyspark.sql import functions as F
 
-from seasongrid.session import fresh_dir, shared_root
+from seasongrid.session import fresh_dir
 
 
 def balanced(df: DataFrame, by: Sequence[str]) -> DataFrame:
@@ -52,11 +52,9 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
     For a result that several later steps read: it is computed once, survives
     lost executors, and those steps prune its columns and plan on its real
-    size.  Without a shared folder ``df`` is returned as it is.
+    size, by which Spark decides about broadcasts.
     """
     spark = df.sparkSession
-    if shared_root(spark) is None:
-        return df
     path = fresh_dir(spark, name)
     overwrite_table(df, path)
     return spark.read.schema(df.schema).parquet(path)

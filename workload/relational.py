@@ -210,7 +210,7 @@ def distinct_count_window(s: Standins) -> DataFrame:
     regions = s.table("region").select(
         (-F.col("r_regionkey") - 1).cast("long").alias("id"), F.col("r_name").alias("gp_name")
     )
-    return names_per_code(names.unionByName(regions), "gp_name", check_size=True)
+    return names_per_code(names.unionByName(regions), "gp_name")
 
 
 @query
