@@ -70,15 +70,18 @@ def _least(h: np.ndarray, width: int) -> np.ndarray:
 
 
 def runs(b: np.ndarray, starts: np.ndarray, ends: np.ndarray, window: int = WINDOW, gram: int = GRAM) -> tuple[np.ndarray, ...]:
-    """Runs of equal keys: ``(text, first start, last start, key)`` with starts counted in ``b``.
+    """Runs of equal keys: ``(text, first start, last start, key, twice)``, starts counted in ``b``.
 
-    ``starts`` and ``ends`` are the texts in ``b``, one after the other.
+    ``starts`` and ``ends`` are the texts in ``b``, one after the other.  ``twice``
+    says whether the string of the key occurs more than once below the run, as it
+    must where windows of one run are equal.
     """
     long = np.flatnonzero(ends - starts >= window)
     none = np.zeros(0, np.int64)
     if not len(long):
-        return none, none, none, none
-    key = _least(_grams(b, gram), window - gram + 1)
+        return none, none, none, none, none.astype(bool)
+    hashes, width = _grams(b, gram), window - gram + 1
+    key = _least(hashes, width)
     first, last = starts[long], ends[long] - window
     valid = np.zeros(len(key) + 1, np.int8)
     np.add.at(valid, first, 1)
@@ -90,7 +93,10 @@ def runs(b: np.ndarray, starts: np.ndarray, ends: np.ndarray, window: int = WIND
     lo = np.flatnonzero(new)
     text = np.searchsorted(first, lo, "right") - 1
     hi = np.minimum(np.append(lo[1:] - 1, last[-1]), last[text])
-    return long[text], lo, hi, key[lo].view(np.int64)
+    below = np.lib.stride_tricks.sliding_window_view(hashes, width)
+    left, right = below[lo] == key[lo][:, None], below[hi] == key[lo][:, None]
+    twice = (left.sum(axis=1) > 1) | (right.sum(axis=1) > 1) | (lo + left.argmax(axis=1) != hi + right.argmax(axis=1))
+    return long[text], lo, hi, key[lo].view(np.int64), twice
 
 
 def _buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -106,14 +112,14 @@ def _runs_of(column: pa.Array, window: int) -> Iterator[tuple[np.ndarray, ...]]:
         starts, ends = offsets[a:b], offsets[a + 1 : b + 1]
         base = starts[0]
         if ends[-1] - base <= 2 * PART:
-            text, lo, hi, key = runs(data[base : ends[-1]], starts - base, ends - base, window)
-            yield text + a, lo - (starts - base)[text], hi - (starts - base)[text], key
+            text, lo, hi, key, twice = runs(data[base : ends[-1]], starts - base, ends - base, window)
+            yield text + a, lo - (starts - base)[text], hi - (starts - base)[text], key, twice
             continue
         for i in range(a, b):
             for at in range(0, max(1, int(offsets[i + 1] - offsets[i]) - window + 1), PART):
                 part = data[offsets[i] + at : min(offsets[i] + at + PART + window - 1, offsets[i + 1])]
-                text, lo, hi, key = runs(part, np.array([0]), np.array([len(part)]), window)
-                yield text + i, lo + at, hi + at, key
+                text, lo, hi, key, twice = runs(part, np.array([0]), np.array([len(part)]), window)
+                yield text + i, lo + at, hi + at, key, twice
 
 
 def _tag(hashes):
@@ -135,13 +141,13 @@ def _all_runs(docs: DataFrame, window: int) -> DataFrame:
             found = list(_runs_of(batch["text"], window))
             if not found:
                 continue
-            text, lo, hi, key = (np.concatenate(c) for c in zip(*found, strict=True))
-            order = np.argsort(key, kind="stable")
-            text, lo, hi, key = text[order], lo[order], hi[order], key[order]
+            columns = [np.concatenate(c) for c in zip(*found, strict=True)]
+            order = np.argsort(columns[3], kind="stable")
+            text, lo, hi, key, twice = (c[order] for c in columns)
             first = starts_of_runs(key)
             sizes = np.diff(np.append(first, len(key)))
-            many = np.repeat(sizes > 1, sizes)
-            extra = many.copy()
+            extra = np.repeat(sizes > 1, sizes)
+            many = extra | twice
             extra[first] = False
             to = key.copy()
             to[extra] = mix(key[extra].view(np.uint64), np.flatnonzero(extra).astype(np.uint64)).view(np.int64)
@@ -330,7 +336,7 @@ def _spread(contexts: DataFrame, window: int) -> DataFrame:
                         rows.append(tuple(row))
                         continue
                     one = np.array([0]), np.array([len(data)])
-                    for x, y, k in zip(*(c.tolist() for c in runs(np.frombuffer(data, np.uint8), *one, window, window)[1:]), strict=True):
+                    for x, y, k in zip(*(c.tolist() for c in runs(np.frombuffer(data, np.uint8), *one, window, window)[1:4]), strict=True):
                         rows.append((k, id_, hash_, lo + x, lo + y, data[x : y + window]))
                 first, again = _collapsed(rows)
                 yield _batch(first + again)
