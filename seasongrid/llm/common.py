@@ -24,7 +24,7 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     run of everything before, and gives Spark the true size.
     """
     path = fresh_dir(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

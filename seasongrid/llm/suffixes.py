@@ -17,10 +17,12 @@ starts earlier goes.  Three steps find the repeats of a corpus of any size:
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -123,8 +125,8 @@ def _runs_of(column: pa.Array, window: int) -> Iterator[tuple[np.ndarray, ...]]:
 
 
 def _tag(hashes):
-    """Ten bits of a text's hash: tells the runs of texts apart that wrongly have one id."""
-    return hashes & 1023
+    """Nine bits of a text's hash: tells the runs of texts apart that wrongly have one id."""
+    return hashes & 511
 
 
 def _all_runs(docs: DataFrame, window: int) -> DataFrame:
@@ -132,8 +134,9 @@ def _all_runs(docs: DataFrame, window: int) -> DataFrame:
 
     Of the runs of one key in a batch the first goes to the key's task; the
     others are known to be repeated, so they go anywhere, which spreads hot
-    keys.  ``span`` packs the first start, some bits of the text's hash, the
-    number of windows less one, and whether the key is known to be repeated.
+    keys.  ``span`` packs the first start, some bits of the text's hash, whether
+    the key's string is below the run twice, the number of windows less one, and
+    whether the key is known to be repeated.
     """
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -152,7 +155,7 @@ def _all_runs(docs: DataFrame, window: int) -> DataFrame:
             to = key.copy()
             to[extra] = mix(key[extra].view(np.uint64), np.flatnonzero(extra).astype(np.uint64)).view(np.int64)
             ids, tags = batch["id"].to_numpy()[text], _tag(batch["hash"].to_numpy())[text]
-            yield pa.RecordBatch.from_arrays([pa.array(to), pa.array(ids), pa.array(lo << 32 | tags << 22 | (hi - lo) << 1 | many)], ["to", "id", "span"])
+            yield pa.RecordBatch.from_arrays([pa.array(to), pa.array(ids), pa.array(lo << 32 | tags << 23 | twice.astype(np.int64) << 22 | (hi - lo) << 1 | many)], ["to", "id", "span"])
 
     return docs.select("id", "hash", "text").mapInArrow(find, "to long, id long, span long")
 
@@ -265,9 +268,9 @@ def repeats(contexts: list[bytes], window: int = WINDOW) -> list[list[tuple[int,
 
 # ---------------------------------------------------------------- the corpus
 
-_CONTEXT = "key long, id long, hash long, lo long, hi long, bytes binary"
+_CONTEXT = "key long, id long, hash long, lo long, hi long, twice boolean, bytes binary"
 _FIELDS = [f.split()[0] for f in _CONTEXT.split(", ")]
-_KINDS = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
+_KINDS = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.binary())
 
 
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
@@ -280,9 +283,9 @@ def _collapsed(rows: list[tuple]) -> tuple[list[tuple], list[tuple]]:
     first: dict[tuple, tuple] = {}
     again = []
     for row in sorted(rows, key=lambda r: r[1:4]):
-        one = first.setdefault((row[0], row[5]), row)
+        one = first.setdefault((row[0], row[6]), row)
         if one[1:4] != row[1:4]:  # else it is the same place of a repeated row
-            again.append((*row[:5], None))
+            again.append((row[1] ^ row[3], *row[1:6], None))
     return list(first.values()), again
 
 
@@ -302,8 +305,8 @@ def _contexts(docs: DataFrame, repeated: DataFrame, window: int) -> DataFrame:
                     for span in sorted(held):
                         lo = max(end + 1, span >> 32)
                         hi = min((span >> 32) + (span >> 1 & 0x1FFFFF), n - window)
-                        if lo <= hi and span >> 22 & 1023 == _tag(hash_):
-                            rows.append((0, id_, hash_, lo, hi, data[lo : hi + window]))
+                        if lo <= hi and span >> 23 & 511 == _tag(hash_):
+                            rows.append((0, id_, hash_, lo, hi, span >> 22 & 1 == 1, data[lo : hi + window]))
                             end = hi
                 first, again = _collapsed(rows)
                 yield _batch(again)
@@ -317,7 +320,7 @@ def _with_keys(rows: list[tuple], window: int) -> list[tuple]:
     """The key of each context anew: it depends on the bytes alone."""
     if not rows:
         return rows
-    data = np.frombuffer(b"".join(r[5][: max(window, GRAM)] for r in rows), np.uint8).reshape(len(rows), -1)
+    data = np.frombuffer(b"".join(r[6][:window] for r in rows), np.uint8).reshape(len(rows), -1)
     flat = _least(_grams(data.ravel()), window - GRAM + 1)[:: data.shape[1]].view(np.int64)
     return [(int(k), *r[1:]) for k, r in zip(flat[: len(rows)], rows, strict=True)]
 
@@ -331,13 +334,13 @@ def _spread(contexts: DataFrame, window: int) -> DataFrame:
             for a in range(0, batch.num_rows, 1000):
                 rows = []
                 for *row, hot in zip(*(c.to_pylist() for c in batch.slice(a, 1000).columns), strict=True):
-                    key, id_, hash_, lo, hi, data = row
+                    key, id_, hash_, lo, hi, twice, data = row
                     if hot is None:
                         rows.append(tuple(row))
                         continue
                     one = np.array([0]), np.array([len(data)])
                     for x, y, k in zip(*(c.tolist() for c in runs(np.frombuffer(data, np.uint8), *one, window, window)[1:4]), strict=True):
-                        rows.append((k, id_, hash_, lo + x, lo + y, data[x : y + window]))
+                        rows.append((k, id_, hash_, lo + x, lo + y, twice, data[x : y + window]))
                 first, again = _collapsed(rows)
                 yield _batch(first + again)
 
@@ -346,23 +349,25 @@ def _spread(contexts: DataFrame, window: int) -> DataFrame:
 
 
 def _found(contexts: DataFrame, window: int) -> DataFrame:
-    """``(id, hash, lo, hi)``: ranges of window starts that occur before."""
+    """``(id, hash, lo, hi)``: ranges of window starts that occur before.
+
+    A key with one context, whose string is there once, has no equal windows.
+    """
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in whole_runs(batches, ("key",), CONTEXTS):
-            first, again = _collapsed(list(zip(*(table[c].to_pylist() for c in _FIELDS), strict=True)))
-            out = [r[1:5] for r in again]
-            for (_, id_, hash_, lo, _, _), ranges in zip(first, repeats([r[5] for r in first], window), strict=True):
+            known = pc.is_null(table["bytes"])
+            again = list(zip(*(table.filter(known)[c].to_pylist() for c in _FIELDS), strict=True))
+            first, more = _collapsed(list(zip(*(table.filter(pc.invert(known))[c].to_pylist() for c in _FIELDS), strict=True)))
+            out = [r[1:5] for r in again + more]
+            met = Counter(r[0] for r in first)
+            sorted_ = [r for r in first if r[5] or met[r[0]] > 1]
+            for (_, id_, hash_, lo, *_), ranges in zip(sorted_, repeats([r[6] for r in sorted_], window), strict=True):
                 out += [(id_, hash_, lo + a, lo + b) for a, b in ranges]
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], ["id", "hash", "lo", "hi"])
 
-    met = contexts.where("bytes is not null").repartition("key").sortWithinPartitions("key")
-    return _ranges(contexts).union(met.mapInArrow(search, "id long, hash long, lo long, hi long"))
-
-
-def _ranges(contexts: DataFrame) -> DataFrame:
-    return contexts.where("bytes is null").select("id", "hash", "lo", "hi")
+    return contexts.repartition("key").sortWithinPartitions("key").mapInArrow(search, "id long, hash long, lo long, hi long")
 
 
 def repeated_ranges(docs: DataFrame, window: int = WINDOW, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
@@ -375,8 +380,9 @@ def repeated_ranges(docs: DataFrame, window: int = WINDOW, text: str = "text", d
     rows = _rows(docs, text, doc_id).where(F.octet_length("text") >= window)
     repeated = stored(_repeated_runs(_all_runs(rows, window)), "runs")
     contexts = stored(_contexts(rows, repeated, window), "contexts")
-    spread = stored(_spread(contexts.where("bytes is not null"), window), "contexts")
-    return _ranges(contexts).union(_found(spread, window)).groupBy("id", "hash").agg(F.collect_list(F.struct("lo", "hi")).alias("ranges"))
+    known = contexts.where("bytes is null").select("id", "hash", "lo", "hi")
+    found = _found(_spread(contexts.where("bytes is not null"), window), window)
+    return known.union(found).groupBy("id", "hash").agg(F.collect_list(F.struct("lo", "hi")).alias("ranges"))
 
 
 def _rows(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
