@@ -58,12 +58,15 @@ def tokens(docs: DataFrame, tokenizer: str, text: str, doc_id: str) -> DataFrame
     return stored(rows.mapInArrow(ids_of, "row long, doc_id long, ids array<int>"), "tokens")
 
 
-def _parts(batch: pa.RecordBatch, size: int = 2048) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
-    for at in range(0, batch.num_rows, size):
-        part = batch.slice(at, size)
-        lists = part["ids"]
-        offsets = lists.offsets.to_numpy().astype(np.int64)
-        yield part, offsets - offsets[0], lists.flatten().to_numpy()
+def _parts(batch: pa.RecordBatch, size: int) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+    """Documents of about ``size`` tokens at a time, a longer one alone."""
+    encoder.cache_clear()  # what a worker remembers from encoding is not needed any more
+    block = batch["ids"].offsets.to_numpy()[1:].astype(np.int64) // size
+    cuts = [0, *(np.flatnonzero(np.diff(block)) + 1).tolist(), batch.num_rows]
+    for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+        part = batch.slice(a, b - a)
+        offsets = part["ids"].offsets.to_numpy().astype(np.int64)
+        yield part, offsets - offsets[0], part["ids"].flatten().to_numpy()
 
 
 def bigram_counts(ids: DataFrame) -> DataFrame:
@@ -71,7 +74,7 @@ def bigram_counts(ids: DataFrame) -> DataFrame:
 
     def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for _, offsets, values in _parts(batch):
+            for _, offsets, values in _parts(batch, 1 << 20):
                 keys, n = np.unique(_keys(offsets, values), return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(n.astype(np.int64))], ["key", "n"])
 
@@ -83,7 +86,7 @@ def exploded(ids: DataFrame) -> DataFrame:
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part, offsets, values in _parts(batch, 512):
+            for part, offsets, values in _parts(batch, 1 << 18):
                 keys = _keys(offsets, values)
                 owner = np.repeat(np.arange(part.num_rows, dtype=np.int64), np.diff(offsets))
                 both, n = np.unique(owner << 2 * ID_BITS | keys, return_counts=True)

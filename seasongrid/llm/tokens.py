@@ -19,7 +19,7 @@ import pyarrow.compute as pc
 
 VOCABULARY = "word_bpe_49k.json"
 #: Stretches remembered for each worker; then it starts afresh. Bounds memory, not results.
-REMEMBERED = 500_000
+REMEMBERED = 300_000
 _SEPARATOR = "\x00"
 
 
