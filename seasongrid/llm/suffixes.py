@@ -245,6 +245,8 @@ def repeats(contexts: list[bytes], window: int = WINDOW) -> list[list[tuple[int,
 
     Before means in an earlier string, or further left in the same one.
     """
+    if not contexts:
+        return []
     t = np.frombuffer(b"\x00".join(contexts) + b"\x00", np.uint8)
     sizes = np.array([len(c) for c in contexts], np.int64)
     starts = np.cumsum(sizes + 1) - (sizes + 1)
