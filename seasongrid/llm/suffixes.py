@@ -330,6 +330,7 @@ def _with_keys(rows: list[tuple], window: int) -> list[tuple]:
 def _spread(contexts: DataFrame, window: int) -> DataFrame:
     """Contexts whose keys have more than ``HOT_KEY`` of them are cut into single windows, each its own key."""
     sizes = contexts.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > HOT_KEY).select(F.col("key").alias("hot"))
+    sizes = stored(sizes, "hot-keys")  # mostly none, and then no context travels for this join
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
