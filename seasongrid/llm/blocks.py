@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from seasongrid.llm.common import stored
+
 WIDTH = 2048
 
 
@@ -23,6 +25,7 @@ def in_blocks(members: DataFrame, cell: str, member: str, width: int = WIDTH) ->
     """
     sizes = members.groupBy(cell).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > width)
     large = sizes.select(F.col(cell).alias("_cell"), F.ceil(F.col("_n") / width).cast("int").alias("_blocks"))
+    large = stored(large, "large-cells")  # few, so that Spark mostly need not move the members for this join
     joined = members.join(large, members[cell] == large["_cell"], "left").drop("_cell")
     pairs = F.expr(
         "if(_blocks is null, array(0L), transform(filter(sequence(0, _blocks - 1), x -> x != part),"
