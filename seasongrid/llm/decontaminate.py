@@ -13,7 +13,10 @@ from pyspark.sql import functions as F
 
 from seasongrid.llm.common import only_ids, unique_name
 
-WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+#: What lies between words, once A-Z are lower case.
+BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+#: A character that lower() might change beside A-Z: any but ASCII and the small letters of Latin-1.
+OTHER = r"[^\x00-\x7F\xDF-\xFF]"
 WINDOW = 10
 #: The broadcast is used up to this many bytes of windows.
 BROADCAST_BYTES = 64 << 20
@@ -22,9 +25,10 @@ _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 def words(text: Column) -> Column:
     """Words of a text in order; a null text has none."""
-    line = F.regexp_replace(F.translate(F.coalesce(text.cast("string"), F.lit("")), _UPPER, _LOWER), r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+", " ")
-    line = F.trim(line)
-    return F.when(line == "", F.array().cast("array<string>")).otherwise(F.split(line, " "))
+    text = F.coalesce(text.cast("string"), F.lit(""))
+    # lower() is the same and faster where nothing but A-Z has a lower case
+    lowered = F.when(text.rlike(OTHER), F.translate(text, _UPPER, _LOWER)).otherwise(F.lower(text))
+    return F.array_remove(F.split(lowered, BETWEEN), "")
 
 
 def windows_of(words_: Column, size: int) -> Column:
