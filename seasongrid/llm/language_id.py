@@ -19,6 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from seasongrid.llm.common import unique_name
 from seasongrid.llm.tokens import groups
@@ -98,7 +99,13 @@ def fit(
     """
     known = labelled.select(F.col(lang).cast("string").alias("l"), F.col(text).cast("string").alias("t"), F.xxhash64(by).alias("h"))
     known = known.where(F.col("l").isNotNull() & F.col("t").isNotNull())
-    ranked = known.selectExpr("*", "row_number() over (partition by l order by h, t) as place").where(F.col("place") <= per_language)
+    # hashes alone are ranked; texts travel only for the chosen ones
+    place = F.row_number().over(Window.partitionBy("l").orderBy("h"))
+    bounds = known.select("l", "h").withColumn("place", place).where(F.col("place") <= per_language).groupBy(F.col("l").alias("of")).agg(F.max("h").alias("most"))
+    bounds = bounds.limit(MOST_LANGUAGES + 1)  # more is an error below
+    near = known.join(F.broadcast(bounds), (F.col("l") == F.col("of")) & (F.col("h") <= F.col("most")))
+    place = F.row_number().over(Window.partitionBy("l").orderBy("h", "t"))
+    ranked = near.withColumn("place", place).where(F.col("place") <= per_language)
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
