@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import zlib
 from collections.abc import Iterator, Sequence
 
@@ -41,6 +44,21 @@ def mix(a: np.ndarray, b: np.ndarray | None = None) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
+def release_memory() -> None:
+    """Give back what an earlier task of this worker process held; workers serve many stages."""
+    from seasongrid.llm.tokens import encoder
+
+    encoder.cache_clear()
+    trim_memory()
+
+
+def trim_memory() -> None:
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # only this allocator has the call
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
 def crc(ids: np.ndarray | bytes) -> int:
     """Unsigned crc32 of little-endian unsigned 32-bit integers."""
     return zlib.crc32(ids if isinstance(ids, bytes) else np.asarray(ids, "<u4").tobytes())

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from seasongrid.llm.common import unique_name
+from seasongrid.llm.common import release_memory, unique_name
 from seasongrid.llm.tokens import groups
 
 UNDETERMINED = "und"
@@ -108,6 +108,7 @@ def fit(
     ranked = near.withColumn("place", place).where(F.col("place") <= per_language)
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_memory()
         for batch in batches:
             for a, b in groups(batch["t"]):
                 part = batch.slice(a, b - a)

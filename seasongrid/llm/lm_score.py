@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from seasongrid.llm.common import stored
+from seasongrid.llm.common import release_memory, stored
 from seasongrid.llm.tokens import encoder, groups, tokenizer_path
 
 #: Bits of a token id in a bigram's key; a vocabulary must be smaller.
@@ -60,7 +60,6 @@ def tokens(docs: DataFrame, tokenizer: str, text: str, doc_id: str) -> DataFrame
 
 def _parts(batch: pa.RecordBatch, size: int) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
     """Documents of about ``size`` tokens at a time, a longer one alone."""
-    encoder.cache_clear()  # what a worker remembers from encoding is not needed any more
     block = batch["ids"].offsets.to_numpy()[1:].astype(np.int64) // size
     cuts = [0, *(np.flatnonzero(np.diff(block)) + 1).tolist(), batch.num_rows]
     for a, b in zip(cuts[:-1], cuts[1:], strict=True):
@@ -73,6 +72,7 @@ def bigram_counts(ids: DataFrame) -> DataFrame:
     """``(key, n)`` over all documents."""
 
     def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_memory()
         for batch in batches:
             for _, offsets, values in _parts(batch, 1 << 20):
                 keys, n = np.unique(_keys(offsets, values), return_counts=True)
@@ -85,6 +85,7 @@ def exploded(ids: DataFrame) -> DataFrame:
     """``(row, key, n)``: the bigrams of each document with their number in it."""
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_memory()
         for batch in batches:
             for part, offsets, values in _parts(batch, 1 << 18):
                 keys = _keys(offsets, values)

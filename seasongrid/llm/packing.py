@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from seasongrid.llm.common import crc
+from seasongrid.llm.common import crc, trim_memory
 from seasongrid.llm.tokens import encoder, groups, tokenizer_path, with_end
 
 TIERS = (256, 512, 1024, 2048, 4096)
@@ -129,6 +129,7 @@ def pack(
     path, keep_ids = tokenizer or tokenizer_path(), with_ids
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        trim_memory()
         encode, packer = encoder(path).encode, Packer(tiers)
         base = TaskContext.get().partitionId() * _PER_TASK
         number, per_tier = 0, {}

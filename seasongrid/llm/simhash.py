@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from seasongrid.llm.blocks import WIDTH, in_blocks
-from seasongrid.llm.common import starts_of_runs, stored, whole_runs
+from seasongrid.llm.common import release_memory, starts_of_runs, stored, whole_runs
 from seasongrid.llm.components import components
 
 SEED = 42
@@ -130,6 +130,7 @@ def links(points: DataFrame, distance: int, width: int = WIDTH) -> DataFrame:
     members = in_blocks(points.select("fp", cells.alias("cell")), "cell", "fp", width)
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_memory()
         for rows in whole_runs(batches, ("cell", "block")):
             ids = rows["fp"].to_numpy()
             bounds = np.append(starts_of_runs(rows["cell"].to_numpy(), rows["block"].to_numpy()), len(ids))

@@ -26,7 +26,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from seasongrid.llm.common import mix, starts_of_runs, stored, unique_name, whole_runs
+from seasongrid.llm.common import mix, release_memory, starts_of_runs, stored, unique_name, whole_runs
 from seasongrid.llm.tokens import groups
 
 WINDOW = 100
@@ -140,6 +140,7 @@ def _all_runs(docs: DataFrame, window: int) -> DataFrame:
     """
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_memory()
         for batch in batches:
             found = list(_runs_of(batch["text"], window))
             if not found:
@@ -164,6 +165,7 @@ def _repeated_runs(found: DataFrame) -> DataFrame:
     """``(id, span)`` of the runs whose key occurs more than once."""
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_memory()
         for rows in whole_runs(batches, ("to",)):
             to, span = rows["to"].to_numpy(), rows["span"].to_numpy()
             first = starts_of_runs(to)
@@ -296,6 +298,7 @@ def _contexts(docs: DataFrame, repeated: DataFrame, window: int) -> DataFrame:
     spans = repeated.groupBy("id").agg(F.collect_set("span").alias("spans")).withColumnRenamed("id", "of")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_memory()
         for batch in batches:
             for a, b in groups(batch["text"], 8 << 20):
                 part = batch.slice(a, b - a)
@@ -333,6 +336,7 @@ def _spread(contexts: DataFrame, window: int) -> DataFrame:
     sizes = stored(sizes, "hot-keys")  # mostly none, and then no context travels for this join
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_memory()
         for batch in batches:
             for a in range(0, batch.num_rows, 1000):
                 rows = []
@@ -358,6 +362,7 @@ def _found(contexts: DataFrame, window: int) -> DataFrame:
     """
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_memory()
         for table in whole_runs(batches, ("key",), CONTEXTS):
             known = pc.is_null(table["bytes"])
             again = list(zip(*(table.filter(known)[c].to_pylist() for c in _FIELDS), strict=True))

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from seasongrid.llm.common import crc
+from seasongrid.llm.common import crc, trim_memory
 from seasongrid.llm.tokens import encoder, groups, tokenizer_path, with_end
 
 SCHEMA = "doc_id long, n_tokens int, ids array<int>"
@@ -26,6 +26,7 @@ def encode(docs: DataFrame, tokenizer: str, end_id: int | None, text: str = "tex
     """``(doc_id, n_tokens, ids)`` of whole texts, with ``end_id`` after each; null counts as empty."""
 
     def ids_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        trim_memory()
         encode_ = encoder(tokenizer).encode
         for batch in batches:
             for a, b in groups(batch["t"]):
