@@ -166,6 +166,7 @@ def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
 
     @F.arrow_udf(returnType=T._parse_datatype_string(_RESULT))
     def found(column: pa.Array) -> pa.Array:
+        release_memory()
         parts = []
         for a, b in groups(column):
             lang, score, accepted = classify(model, column.slice(a, b - a).to_pylist())

@@ -53,6 +53,7 @@ def tokens(docs: DataFrame, tokenizer: str, text: str, doc_id: str) -> DataFrame
                 offsets, ids = encode(part["t"])
                 lists = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(ids.view(np.int32)))
                 yield pa.RecordBatch.from_arrays([part["row"], part["d"], lists], ["row", "doc_id", "ids"])
+        release_memory()
 
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(doc_id).cast("long").alias("d"), F.col(text).cast("string").alias("t"))
     return stored(rows.mapInArrow(ids_of, "row long, doc_id long, ids array<int>"), "tokens")

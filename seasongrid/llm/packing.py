@@ -161,7 +161,7 @@ def pack(
             yield pa.RecordBatch.from_arrays(arrays, [f.split()[0] for f in SCHEMA.split(",")])
 
         for batch in batches:
-            for a, b in groups(batch["t"]):
+            for a, b in groups(batch["t"], 2 << 20):
                 part = batch.slice(a, b - a)
                 offsets, ids = with_end(*encode(part["t"]), end_id)
                 data, at = ids.tobytes(), offsets.tolist()
@@ -171,6 +171,7 @@ def pack(
                 yield from rows()
         packer.finish()
         yield from rows()
+        trim_memory()
 
     source = docs.select(F.col(doc_id).cast("long").alias("d"), F.col(text).cast("string").alias("t"))
     out = source.mapInArrow(packed, SCHEMA)

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from seasongrid.llm.blocks import WIDTH, in_blocks
-from seasongrid.llm.common import release_memory, starts_of_runs, stored, whole_runs
+from seasongrid.llm.common import release_memory, starts_of_runs, stored, trim_memory, whole_runs
 from seasongrid.llm.components import components
 
 SEED = 42
@@ -54,6 +54,7 @@ def fingerprints(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", si
 
     @F.arrow_udf("long")
     def of(column: pa.Array) -> pa.Array:
+        trim_memory()
         found = np.fromiter((fingerprint(t.as_py(), size) for t in column), np.uint64, len(column))
         return pa.array(found.view(np.int64))
 

@@ -26,7 +26,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from seasongrid.llm.common import mix, release_memory, starts_of_runs, stored, unique_name, whole_runs
+from seasongrid.llm.common import mix, release_memory, starts_of_runs, stored, trim_memory, unique_name, whole_runs
 from seasongrid.llm.tokens import groups
 
 WINDOW = 100
@@ -425,6 +425,7 @@ def remove(docs: DataFrame, window: int = WINDOW, text: str = "text", doc_id: st
 
     @F.arrow_udf("kept binary, n_removed long, n_spans long")
     def cut(texts: pa.Array, ranges: pa.Array) -> pa.Array:
+        trim_memory()
         out = []
         for t, r in zip(texts, ranges, strict=True):
             data = t.as_py().encode()

@@ -34,6 +34,7 @@ def encode(docs: DataFrame, tokenizer: str, end_id: int | None, text: str = "tex
                 offsets, ids = with_end(*encode_(part["t"]), end_id)
                 lists = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(ids.view(np.int32)))
                 yield pa.RecordBatch.from_arrays([part["d"], pa.array(np.diff(offsets).astype(np.int32)), lists], ["doc_id", "n_tokens", "ids"])
+        trim_memory()
 
     rows = docs.select(F.col(doc_id).cast("long").alias("d"), F.col(text).cast("string").alias("t"))
     return rows.mapInArrow(ids_of, SCHEMA)
