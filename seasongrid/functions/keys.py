@@ -9,12 +9,13 @@ from seasongrid.config import ENTRANT_KEY_STRIDE
 
 
 def entrant_key(year: Column, number: Column, stride: int = ENTRANT_KEY_STRIDE) -> Column:
-    """Season and start number in one long.
+    """Season and start number in one long, unique for any number that is not negative.
 
-    Numbers at or above ``stride`` would meet keys of another season; pass a
-    larger stride for such data.
+    Numbers at or above ``stride`` would meet keys of another season; theirs are
+    negative, with the number before the season.
     """
-    return year.cast("long") * F.lit(stride).cast("long") + number.cast("long")
+    year, number, width = year.cast("long"), number.cast("long"), F.lit(stride).cast("long")
+    return F.when(number >= width, -(number * F.lit(10_000).cast("long") + year)).otherwise(year * width + number)
 
 
 def team_key(name: Column, year: Column) -> Column:

@@ -66,4 +66,4 @@ def season_from_path(path: Column) -> Column:
 
 def season_by_pattern(path: Column) -> Column:
     """The four digits below the ``bronze`` folder, null if there are none."""
-    return F.regexp_extract(path, r"bronze/(?:[a-z]+=)?(\d{4})/", 1).try_cast("int")
+    return F.regexp_extract(path, r"bronze/(?:[A-Za-z_]+=)?(\d{4})/", 1).try_cast("int")

@@ -23,7 +23,7 @@ def load_silver(
     rejects_root: str | None = None,
     fmt: str = "parquet",
 ) -> None:
-    """Rebuild the given seasons; other seasons are not touched.
+    """Rebuild the given seasons, also those that bring no record; other seasons are not touched.
 
     With ``rejects_root`` the records that were not accepted are written there,
     one table per entity, with the season of their file.
@@ -33,17 +33,14 @@ def load_silver(
         scan = scan_entity(spark, season_paths, entity)
         if rejects_root:
             rejects = with_season_by_pattern(quarantined(scan))
-            sinks.overwrite_seasons(rejects, f"{rejects_root}/{entity}", fmt=fmt)
+            sinks.overwrite_seasons(rejects, f"{rejects_root}/{entity}", fmt=fmt, seasons=seasons)
         return accepted(scan)
 
     def save(table: DataFrame, name: str, arrange: bool = True) -> None:
-        sinks.overwrite_seasons(table, f"{silver_root}/{name}", arrange=arrange, fmt=fmt)
+        sinks.overwrite_seasons(table, f"{silver_root}/{name}", arrange=arrange, fmt=fmt, seasons=seasons)
 
-    # Records of one season are written as they were read, without a shuffle.
-    # Tasks of a scan over several seasons would each write a file for every one.
-    mixed = len(seasons) > 1
-    save(silver.driver_standings(landed("drivers_standings"), loaded_at), "drivers_standings", mixed)
-    save(silver.team_standings(landed("teams_standings"), loaded_at), "teams_standings", mixed)
+    save(silver.driver_standings(landed("drivers_standings"), loaded_at), "drivers_standings")
+    save(silver.team_standings(landed("teams_standings"), loaded_at), "teams_standings")
     save(sinks.date_ordered(silver.calendar(landed("circuits"), loaded_at)), "circuits", arrange=False)
     save(silver.entrants(silver.roster(landed("drivers"), assets, loaded_at)), "drivers")
     standings = read_table(spark, f"{silver_root}/teams_standings", seasons, fmt=fmt)

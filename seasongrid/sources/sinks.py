@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, DataFrameWriter
+from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 
 from seasongrid.session import fresh_dir
@@ -36,12 +36,26 @@ def overwrite_seasons(
     by: Sequence[str] = ("year",),
     arrange: bool = True,
     fmt: str = "parquet",
+    seasons: Sequence[int] | None = None,
 ) -> None:
-    """Replace only the partitions present in ``df``."""
+    """Replace only the partitions present in ``df``, and all of ``seasons`` if they are given.
+
+    A given season without rows in ``df`` ends empty.  Its files go before the
+    write, so a load that fails in between has to be run again.
+    """
+    if seasons is not None:
+        _clear(df.sparkSession, path, [f"{by[0]}={season}" for season in seasons])
     rows = balanced(df, by) if arrange else df
     _overwriting(rows, fmt, "dynamic").partitionBy(*by).save(path)
 
 
+def _clear(spark: SparkSession, path: str, partitions: Sequence[str]) -> None:
+    context = spark.sparkContext
+    for partition in partitions:
+        folder = context._jvm.org.apache.hadoop.fs.Path(f"{path}/{partition}")
+        folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def overwrite_table(df: DataFrame, path: str, fmt: str = "parquet") -> None:
     """Replace the whole unpartitioned table."""
     _overwriting(df, fmt, "static").save(path)

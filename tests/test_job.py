@@ -85,6 +85,20 @@ def test_rejects_are_kept_per_season(spark, make):
     assert read_table(spark, f"{root}/silver/drivers_standings").count() == 1
 
 
+def test_a_reload_with_rejects_only_empties_its_season_and_a_clean_one_the_rejects(spark, make):
+    root = fresh_dir(spark, "reload")
+    for year in (2023, 2024):
+        _land(make, root, year, [1.0])
+    job.run(spark, [2023, 2024], root, rejects_root=f"{root}/rejects")
+    bad = make("detail string, race_folder string", ("try later", "01_R1"))
+    sinks.land_json(bad, f"{root}/bronze/2024", "drivers_standings", ["race_folder"], "append")
+    job.run(spark, [2024], root, rejects_root=f"{root}/rejects")
+    assert spark.read.parquet(f"{root}/rejects/drivers_standings").count() == 1
+    standings = read_table(spark, f"{root}/silver/drivers_standings")
+    sinks.overwrite_seasons(standings.where("false"), f"{root}/silver/drivers_standings", seasons=[2024])
+    assert rows(read_table(spark, f"{root}/silver/drivers_standings"), "year") == [(2023,)]
+
+
 def test_tables_in_another_format(spark, make):
     root = fresh_dir(spark, "orc")
     _land(make, root, 2023, [10.0, 25.0])

@@ -56,3 +56,20 @@ def test_paths(make):
 def test_bad_numbers_become_null(make):
     df = make("v string", ("12",), ("",), ("x",))
     assert [r[0] for r in df.select(F.col("v").try_cast("int")).collect()] == [12, None, None]
+
+
+def test_entrant_keys_are_unique_at_any_number(make):
+    from seasongrid.functions.keys import entrant_key
+
+    df = make("year int, number int", (2023, 44), (2023, 12345), (2024, 2345), (2024, 9999), (2025, 10000))
+    keys = [r[0] for r in df.select(entrant_key(F.col("year"), F.col("number"))).collect()]
+    assert keys[0] == 20230044 and len(set(keys)) == 5
+
+
+def test_season_by_pattern_and_by_place_agree(make):
+    from seasongrid.functions.text import season_by_pattern, season_from_path
+
+    paths = [f"file:/lake/bronze/{s}/01_R1/drivers-1.json" for s in ("2023", "year=2023", "Season=2023", "season_year=2023")]
+    df = make("p string", *[(p,) for p in paths])
+    got = df.select(season_by_pattern(F.col("p")), season_from_path(F.col("p"))).collect()
+    assert [tuple(r) for r in got] == [(2023, 2023)] * 4

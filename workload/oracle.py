@@ -112,11 +112,11 @@ VIEWS: dict[str, str] = {
         QUALIFY row_number() OVER (PARTITION BY full_name, year
                                    ORDER BY date_start DESC, meeting_key DESC, driver_number, rank_in_race) = 1""",
     "dim_driver": """
-        SELECT e.year * 10000 + CAST(driver_number AS BIGINT) AS Driver_Key, driver_number AS Number, e.year AS Year,
+        SELECT CASE WHEN driver_number >= 10000 THEN -(CAST(driver_number AS BIGINT) * 10000 + e.year) ELSE e.year * 10000 + CAST(driver_number AS BIGINT) END AS Driver_Key, driver_number AS Number, e.year AS Year,
                e.full_name AS Driver, headshot_url AS Driver_Photo, country_code AS Driver_Country,
                Final_Season_Rank AS Season_Rank_Sort
         FROM entrants e LEFT JOIN final_ranks r ON r.full_name = e.full_name AND r.year = e.year
-        QUALIFY row_number() OVER (PARTITION BY e.year * 10000 + CAST(driver_number AS BIGINT)
+        QUALIFY row_number() OVER (PARTITION BY CASE WHEN driver_number >= 10000 THEN -(CAST(driver_number AS BIGINT) * 10000 + e.year) ELSE e.year * 10000 + CAST(driver_number AS BIGINT) END
                                    ORDER BY e.year, driver_number) = 1""",
     "team_colours": """
         SELECT trim(team_name) AS team, year, max(team_colour) AS Hex_Color
@@ -139,13 +139,13 @@ VIEWS: dict[str, str] = {
                coalesce(lag(points) OVER (PARTITION BY driver_number, s.year ORDER BY date_start), 0) AS prev_points
         FROM standings s JOIN calendar c USING (meeting_key)""",
     "fact_driver": """
-        SELECT d.year * 10000 + CAST(d.driver_number AS BIGINT) AS Driver_Key,
+        SELECT CASE WHEN d.driver_number >= 10000 THEN -(CAST(d.driver_number AS BIGINT) * 10000 + d.year) ELSE d.year * 10000 + CAST(d.driver_number AS BIGINT) END AS Driver_Key,
                trim(team_name) || '-' || d.year AS Team_Key, meeting_key AS Race_Key,
                CAST(greatest(points - prev_points, 0) AS REAL) AS Race_Points,
                points AS Season_Points, position AS World_Position
         FROM driver_series d LEFT JOIN entrants e ON e.driver_number = d.driver_number AND e.year = d.year""",
     "fact_driver_at_race": """
-        SELECT d.year * 10000 + CAST(d.driver_number AS BIGINT) AS Driver_Key,
+        SELECT CASE WHEN d.driver_number >= 10000 THEN -(CAST(d.driver_number AS BIGINT) * 10000 + d.year) ELSE d.year * 10000 + CAST(d.driver_number AS BIGINT) END AS Driver_Key,
                trim(team_name) || '-' || d.year AS Team_Key, d.meeting_key AS Race_Key,
                CAST(greatest(points - prev_points, 0) AS REAL) AS Race_Points,
                points AS Season_Points, position AS World_Position
@@ -394,7 +394,7 @@ _QUERIES: dict[str, str] = {
         FROM customer""",
     "fn_load_stamp": "SELECT team_name, meeting_key, ingestion_date FROM team_standings",
     "fn_driver_key": """
-        SELECT driver_number, meeting_key, CAST(year AS BIGINT) * 10000 + driver_number AS Driver_Key FROM standings""",
+        SELECT driver_number, meeting_key, CASE WHEN driver_number >= 10000 THEN -(CAST(driver_number AS BIGINT) * 10000 + year) ELSE CAST(year AS BIGINT) * 10000 + driver_number END AS Driver_Key FROM standings""",
     "fn_coalesce_default": """
         SELECT session_key, coalesce(session_name, 'Unknown') AS session_name FROM session_records""",
     "fn_display_format": _display(),

@@ -26,7 +26,6 @@ ORDER_SCHEMA = T.StructType(
 ORDER_COLUMNS = ORDER_SCHEMA.names
 # ``season`` is in the path only; a calendar record has a ``year`` of its own.
 FOLDERS = ["season", "race_folder"]
-SEASONS = range(1995, 2002)
 
 
 def _orders(s: Standins) -> DataFrame:
@@ -301,14 +300,16 @@ def incremental_season_load(s: Standins) -> DataFrame:
     At first its points are delivered doubled; the second landing is right.
     """
     root = fresh_dir(s.spark, "load")
-    bronze, last = f"{root}/bronze", max(SEASONS)
+    # one number for each season of the calendar
+    seasons = sorted(r[0] for r in _meeting_records(s).select("year").distinct().collect())
+    bronze, last = f"{root}/bronze", seasons[-1]
     doubled = F.when(F.col("year") == last, F.col("points_current") * 2).otherwise(F.col("points_current"))
     roster = s.roster_records.drop("pts", "pen")
     _land(bronze, "drivers_standings", s.driver_records.withColumn("points_current", doubled))
     _land(bronze, "teams_standings", s.team_records)
     _land(bronze, "drivers", roster)
     _land(bronze, "circuits", _meeting_records(s), folder=False)
-    job.run(s.spark, SEASONS, root, "season={year}", ASSETS, loaded_at())
+    job.run(s.spark, seasons, root, "season={year}", ASSETS, loaded_at())
 
     def corrected(records: DataFrame) -> DataFrame:
         season = records.where(F.col("year") == last).drop("year")
