@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seasongrid.llm import chat, decontaminate, language_id, lattice, lm_score, packing, simhash, suffixes, token_counts, token_files
+from seasongrid.llm import chat, decontaminate, language_id, lattice, lm_score, oracle, packing, simhash, suffixes, token_counts, token_files
 from seasongrid.llm.common import stored, table
 from seasongrid.session import fresh_dir
 
@@ -77,4 +77,9 @@ QUERIES = {
         op7_token_counts, op8_suffix_array, op9_lm_score, op10_chat, pipeline,
     )
 }
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op4_lattice": oracle.LATTICE,
+    "op5_decontamination": oracle.DECONTAMINATION,
+    "op8_suffix_array": oracle.REPEATS,
+    "op10_chat": oracle.chat(HOSTILE),
+}
