@@ -17,6 +17,7 @@ def main() -> None:
     parser.add_argument("--default-photo", default=Assets.default_photo)
     parser.add_argument("--logo-base", default=Assets.logo_base)
     parser.add_argument("--rejects", help="folder for records that were not accepted")
+    parser.add_argument("--team-at-race", action="store_true", help="results count for the team of the day, not of the season")
     parser.add_argument("--format", default="parquet", help="format of the written tables")
     options = parser.parse_args()
     assets = Assets(options.default_photo, options.logo_base)
@@ -28,6 +29,7 @@ def main() -> None:
         assets,
         rejects_root=options.rejects,
         fmt=options.format,
+        team_at_race=options.team_at_race,
     )
 
 

@@ -29,13 +29,17 @@ def collapse_copies(df: DataFrame, count: str = "copies") -> DataFrame:
 def expand_copies(df: DataFrame, count: str, number: str) -> DataFrame:
     """Undo :func:`collapse_copies`; ``number`` counts the copies from 1.
 
-    A count is first cut into blocks and the blocks are spread over tasks, so
-    no array and no task grows with the size of the largest group of copies.
+    Rows are unfolded where they are.  Only a count too large for one array is
+    cut into blocks, and only those blocks move, spread over all tasks by a
+    fixed number of partitions, since adaptive execution would join the few
+    bytes of blocks in one.
     """
-    width = F.lit(_COPIES_PER_ROW).cast("long")
+    times, width = F.col(count), F.lit(_COPIES_PER_ROW).cast("long")
+    few = df.where(times <= width).withColumn(number, F.explode(F.sequence(F.lit(1).cast("long"), times)))
     last_block = F.expr(f"({count} - 1) div {_COPIES_PER_ROW}L")
-    blocks = df.withColumn("_block", F.explode(F.sequence(F.lit(0).cast("long"), last_block)))
-    spread = blocks.repartition(*[F.col(c) for c in blocks.columns])
-    first = F.col("_block") * width + 1
-    last = F.least((F.col("_block") + 1) * width, F.col(count))
-    return spread.withColumn(number, F.explode(F.sequence(first, last))).drop("_block", count)
+    blocks = df.where(times > width).withColumn("_block", F.explode(F.sequence(F.lit(0).cast("long"), last_block)))
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = blocks.repartition(tasks, *[F.col(c) for c in blocks.columns])
+    first, last = F.col("_block") * width + 1, F.least((F.col("_block") + 1) * width, times)
+    many = spread.withColumn(number, F.explode(F.sequence(first, last))).drop("_block")
+    return few.unionByName(many).drop(count)

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from seasongrid.sources.sinks import stored
+
 
 def last_nonblank(
     df: DataFrame,
@@ -84,6 +86,8 @@ def forward_fill(
     group = [*keys, *seasons]
     visible = calendar if until is None else calendar.where(F.col(date) <= until)
     days = day_index(visible, season, race, date)
+    if season is None:  # numbered in several steps and read twice
+        days = stored(days, "days")
     numbered = days.select(*seasons, date, "_day", "_days").distinct()
     daily = (
         facts.join(numbered, [*seasons, date])

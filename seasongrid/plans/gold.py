@@ -14,63 +14,66 @@ from seasongrid.functions.keys import entrant_key, name_or_number, team_key
 from seasongrid.operators.codes import display_code
 from seasongrid.operators.dedup import collapse_copies, expand_copies, first_per_group
 from seasongrid.operators.series import clamped_delta, previous_value, running_max
+from seasongrid.sources.sinks import stored
 
 ENTRANT_SERIES = ("driver_number", "year")
 RACE_ORDER = ("date_start", "meeting_key")
+#: The column by which stored facts are partitioned.
+SEASON = "season"
 
 
 # ---- entrant dimension ------------------------------------------------------
 
 
-def dated_standings(standings: DataFrame, calendar: DataFrame) -> DataFrame:
-    """Entrant standings of races in the calendar, with the race date."""
-    s, c = standings.alias("s"), calendar.alias("c")
-    return s.join(c, F.col("s.meeting_key") == F.col("c.meeting_key"), "inner").select(
-        "s.driver_number", "s.year", "s.meeting_key", "s.position", "c.date_start"
-    )
+def raced(standings: DataFrame, calendar: DataFrame) -> DataFrame:
+    """Places of entrants at the races of the calendar, with the race date."""
+    places = standings.select(*ENTRANT_SERIES, "meeting_key", "position")
+    return places.join(calendar.select(*RACE_ORDER), "meeting_key")
 
 
-def named_results(entrants: DataFrame, dated: DataFrame) -> DataFrame:
-    """Dated standings under the entrant's name of that season."""
-    return entrants.select("driver_number", "year", "full_name").join(
-        dated, ["driver_number", "year"], "inner"
-    ).select(
-        "full_name",
-        "year",
-        "driver_number",
-        "meeting_key",
-        "date_start",
-        F.col("position").cast("int").alias("rank_in_race"),
+def under_name(entrants: DataFrame, places: DataFrame) -> DataFrame:
+    """``places``, however many an entrant has, with its name of that season."""
+    return places.withColumn("rank_in_race", F.col("position").cast("int")).drop("position").join(
+        entrants.select(*ENTRANT_SERIES, "full_name"), list(ENTRANT_SERIES)
     )
 
 
-def final_ranks(named: DataFrame) -> DataFrame:
-    """The rank after the last race of each name and season."""
-    order = [
-        F.col("date_start").desc(),
-        F.col("meeting_key").desc(),
-        F.col("driver_number").asc(),
-        F.col("rank_in_race").asc(),
-    ]
-    last = first_per_group(named.where(F.col("full_name").isNotNull()), ["full_name", "year"], order)
-    return last.select("full_name", "year", F.col("rank_in_race").alias("Final_Season_Rank"))
+def _latest_first() -> list[Column]:
+    return [F.col(c).desc() for c in RACE_ORDER]
+
+
+def last_places(standings: DataFrame, calendar: DataFrame) -> DataFrame:
+    """Each entrant's place at its last race of a season; of several the smallest."""
+    order = [*_latest_first(), F.col("position").cast("int").asc()]
+    return first_per_group(raced(standings, calendar), ENTRANT_SERIES, order)
+
+
+def final_ranks(entrants: DataFrame, standings: DataFrame, calendar: DataFrame) -> DataFrame:
+    """The rank after the last race of each name and season.
+
+    Races are reduced to one row per entrant before any name is looked up, so
+    names meet only as many rows as there are entrants.
+    """
+    named = entrants.where(F.col("full_name").isNotNull())
+    candidates = under_name(named, last_places(standings, calendar))
+    order = [*_latest_first(), F.col("driver_number").asc(), F.col("rank_in_race").asc()]
+    return first_per_group(candidates, ["full_name", "year"], order).select(
+        "full_name", "year", F.col("rank_in_race").alias("Final_Season_Rank")
+    )
 
 
 def with_final_rank(entrants: DataFrame, ranks: DataFrame) -> DataFrame:
     """Bring ranks back to the entrants; an entrant without a name has none."""
-    e, r = entrants.alias("e"), ranks.alias("r")
-    same_name = name_or_number(F.col("e.full_name"), F.col("e.driver_number")) == F.col("r.full_name")
-    return e.join(r, same_name & (F.col("e.year") == F.col("r.year")), "left").select(
-        "e.*", "r.Final_Season_Rank"
-    )
+    of = ranks.select(F.col("full_name").alias("_name"), F.col("year").alias("_season"), "Final_Season_Rank")
+    same_name = name_or_number(F.col("full_name"), F.col("driver_number")) == F.col("_name")
+    return entrants.join(of, same_name & (F.col("year") == F.col("_season")), "left").drop("_name", "_season")
 
 
 def dim_driver(entrants: DataFrame, standings: DataFrame, calendar: DataFrame) -> DataFrame:
-    ranks = final_ranks(named_results(entrants, dated_standings(standings, calendar)))
-    keyed = entrants.withColumn("Driver_Key", entrant_key(F.col("year"), F.col("driver_number")))
-    unique = first_per_group(keyed, ["Driver_Key"], [F.col("year").asc(), F.col("driver_number").asc()])
-    return with_final_rank(unique, ranks).select(
-        "Driver_Key",
+    """One row for each of ``entrants``, which has one per (number, season), as the keys have."""
+    ranked = with_final_rank(entrants, final_ranks(entrants, standings, calendar))
+    return ranked.select(
+        entrant_key(F.col("year"), F.col("driver_number")).alias("Driver_Key"),
         F.col("driver_number").alias("Number"),
         F.col("year").alias("Year"),
         F.col("full_name").alias("Driver"),
@@ -172,13 +175,15 @@ def fact_driver(
     entrants: DataFrame,
     rosters_by_race: DataFrame | None = None,
     block: Column | None = None,
+    by_season: bool = False,
 ) -> DataFrame:
     """Per-race results of entrants.
 
     The team is the one of the season's roster row; given ``rosters_by_race``
     it is the team the entrant raced for that day.  The series is kept per
     start number and season, so entrants without a name stay apart.  For
-    ``block`` see :mod:`seasongrid.operators.series`.
+    ``block`` see :mod:`seasongrid.operators.series`.  ``by_season`` adds the
+    season of the standings, by which a stored fact is partitioned.
     """
     if rosters_by_race is None:
         joined = entrant_results(one_per_race(standings), calendar, entrants)
@@ -200,9 +205,14 @@ def fact_driver(
         clamped_delta(F.col("points"), F.col("prev_points")).alias("Race_Points"),
         F.col("points").alias("Season_Points"),
         F.col("position").alias("World_Position"),
+        *_season(by_season),
     )
 
 
+def _season(wanted: bool) -> list[Column]:
+    return [F.col("year").alias(SEASON)] if wanted else []
+
+
 def team_results(standings: DataFrame, calendar: DataFrame) -> DataFrame:
     """Team standings of calendar races, with the race date and trimmed name."""
     named = standings.withColumn("team_name", F.trim("team_name"))
@@ -213,7 +223,9 @@ TEAM_SERIES = ("team_name", "year")
 TEAM_ORDER = (*RACE_ORDER, "points", "position")
 
 
-def fact_team(standings: DataFrame, calendar: DataFrame, block: Column | None = None) -> DataFrame:
+def fact_team(
+    standings: DataFrame, calendar: DataFrame, block: Column | None = None, by_season: bool = False
+) -> DataFrame:
     """Per-race results of teams; a cumulative total that drops is repaired first.
 
     Repeated standings rows are kept.  Exact copies travel as one row with
@@ -221,6 +233,7 @@ def fact_team(standings: DataFrame, calendar: DataFrame, block: Column | None =
     points gained, the others gain nothing.  Should one race of a team have
     very many different rows, let ``block`` cut the points as well, as
     ``struct(date_start, meeting_key, floor(points / 1000))`` does.
+    ``by_season`` is as for :func:`fact_driver`.
     """
     slim = standings.select(
         F.trim("team_name").alias("team_name"), "year", "meeting_key", "points", "position"
@@ -237,10 +250,12 @@ def fact_team(standings: DataFrame, calendar: DataFrame, block: Column | None =
         clamped_delta(F.col("fixed"), F.col("prev_points")).alias("gained"),
         F.col("fixed").alias("Season_Points"),
         F.col("position").alias("World_Position"),
+        *_season(by_season),
         "copies",
     )
     first_copy = F.col("copy") == 1
-    return expand_copies(facts, "copies", "copy").select(
+    # Written once, as two branches read it; the one for huge counts skips files by their statistics.
+    return expand_copies(stored(facts, "team-facts"), "copies", "copy").select(
         "Team_Key",
         "Race_Key",
         F.when(first_copy, F.col("gained"))
@@ -248,4 +263,5 @@ def fact_team(standings: DataFrame, calendar: DataFrame, block: Column | None =
         .alias("Race_Points"),
         "Season_Points",
         "World_Position",
+        *([SEASON] if by_season else []),
     )

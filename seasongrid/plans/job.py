@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from seasongrid.config import DEFAULT_COLOUR, Assets
 from seasongrid.plans import gold, silver
@@ -29,22 +31,36 @@ def load_silver(
     one table per entity, with the season of their file.
     """
 
+    rejects: dict[str, DataFrame] = {}
+
     def landed(entity: str) -> DataFrame:
         scan = scan_entity(spark, season_paths, entity)
         if rejects_root:
-            rejects = with_season_by_pattern(quarantined(scan))
-            sinks.overwrite_seasons(rejects, f"{rejects_root}/{entity}", fmt=fmt, seasons=seasons)
+            rejects[f"{rejects_root}/{entity}"] = with_season_by_pattern(quarantined(scan))
         return accepted(scan)
 
-    def save(table: DataFrame, name: str, arrange: bool = True) -> None:
-        sinks.overwrite_seasons(table, f"{silver_root}/{name}", arrange=arrange, fmt=fmt, seasons=seasons)
+    def save(table: DataFrame, path: str, arrange: bool = True) -> Callable[[], None]:
+        return partial(sinks.overwrite_seasons, table, path, arrange=arrange, fmt=fmt, seasons=seasons)
+
+    def saved(name: str) -> DataFrame:
+        return read_table(spark, f"{silver_root}/{name}", seasons, fmt=fmt)
 
-    save(silver.driver_standings(landed("drivers_standings"), loaded_at), "drivers_standings")
-    save(silver.team_standings(landed("teams_standings"), loaded_at), "teams_standings")
-    save(sinks.date_ordered(silver.calendar(landed("circuits"), loaded_at)), "circuits", arrange=False)
-    save(silver.entrants(silver.roster(landed("drivers"), assets, loaded_at)), "drivers")
-    standings = read_table(spark, f"{silver_root}/teams_standings", seasons, fmt=fmt)
-    save(silver.teams(standings, assets), "teams")
+    first = {
+        "drivers_standings": silver.driver_standings(landed("drivers_standings"), loaded_at),
+        "teams_standings": silver.team_standings(landed("teams_standings"), loaded_at),
+        "circuits": sinks.date_ordered(silver.calendar(landed("circuits"), loaded_at)),
+        "drivers_by_race": silver.entrants_by_race(silver.roster(landed("drivers"), assets, loaded_at)),
+    }
+    sinks.write_all(
+        [save(table, path) for path, table in rejects.items()]
+        + [save(table, f"{silver_root}/{name}", name != "circuits") for name, table in first.items()]
+    )
+    # The row of a season is one of its rows by race.
+    then = {
+        "drivers": silver.entrants(saved("drivers_by_race")),
+        "teams": silver.teams(saved("teams_standings"), assets),
+    }
+    sinks.write_all([save(table, f"{silver_root}/{name}") for name, table in then.items()])
 
 
 def load_gold(
@@ -53,20 +69,50 @@ def load_gold(
     gold_root: str,
     default_colour: str = DEFAULT_COLOUR,
     fmt: str = "parquet",
+    seasons: Sequence[int] | None = None,
+    team_at_race: bool = False,
+    block: Column | None = None,
 ) -> None:
-    """Rebuild the star over all seasons in the typed tables."""
+    """Rebuild the star from the typed tables.
+
+    A series ends with its season, so facts are partitioned by season and only
+    those of ``seasons`` are computed and replaced, all if it is ``None``.
+    Dimensions and timeline are always those of all seasons.  ``team_at_race``
+    gives results the team an entrant raced for that day; seasons loaded
+    before without it stay as they are.  For ``block`` see
+    :mod:`seasongrid.operators.series`.
+    """
     typed = {name: read_table(spark, f"{silver_root}/{name}", fmt=fmt) for name in SILVER_TABLES}
-    standings, calendar, entrants = typed["drivers_standings"], typed["circuits"], typed["drivers"]
-    star = {
-        "dim_driver": gold.dim_driver(entrants, standings, calendar),
+    calendar, entrants = typed["circuits"], typed["drivers"]
+
+    def chosen(name: str) -> DataFrame:
+        return typed[name] if seasons is None else typed[name].where(F.col("year").isin(list(seasons)))
+
+    rosters = chosen("drivers_by_race") if team_at_race else None
+    dimensions = {
+        "dim_driver": gold.dim_driver(entrants, typed["drivers_standings"], calendar),
         "dim_team": gold.dim_team(typed["teams"], entrants, default_colour),
         "dim_race": gold.dim_race(calendar),
-        "fact_driver_results": gold.fact_driver(standings, calendar, entrants),
-        "fact_team_results": gold.fact_team(typed["teams_standings"], calendar),
         "ui_play_timeline": gold.timeline(calendar),
     }
-    for name, table in star.items():
-        sinks.overwrite_table(table, f"{gold_root}/{name}", fmt)
+    facts = {
+        "fact_driver_results": gold.fact_driver(
+            chosen("drivers_standings"), calendar, chosen("drivers"), rosters, block, by_season=True
+        ),
+        "fact_team_results": gold.fact_team(chosen("teams_standings"), calendar, block, by_season=True),
+    }
+
+    def save_fact(name: str) -> None:
+        path, by = f"{gold_root}/{name}", (gold.SEASON,)
+        if seasons is None:
+            sinks.overwrite_table(facts[name], path, fmt, by)
+        else:
+            sinks.overwrite_seasons(facts[name], path, by, fmt=fmt, seasons=seasons)
+
+    sinks.write_all(
+        [partial(save_fact, name) for name in facts]
+        + [partial(sinks.overwrite_table, table, f"{gold_root}/{name}", fmt) for name, table in dimensions.items()]
+    )
 
 
 def run(
@@ -78,12 +124,16 @@ def run(
     loaded_at: Column | None = None,
     rejects_root: str | None = None,
     fmt: str = "parquet",
+    team_at_race: bool = False,
+    block: Column | None = None,
 ) -> None:
-    """Load ``seasons`` from ``{root}/bronze`` and rebuild the star.
+    """Load ``seasons`` from ``{root}/bronze`` and bring the star up to date.
 
     Seasons do not depend on each other before the star, so they are read in
     one pass; a season without landed files fails the load before any write.
     """
     paths = [f"{root}/bronze/{season_dir.format(year=year)}" for year in seasons]
     load_silver(spark, paths, f"{root}/silver", seasons, assets, loaded_at, rejects_root, fmt)
-    load_gold(spark, f"{root}/silver", f"{root}/gold", assets.default_colour, fmt)
+    load_gold(
+        spark, f"{root}/silver", f"{root}/gold", assets.default_colour, fmt, seasons, team_at_race, block
+    )

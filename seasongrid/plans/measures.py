@@ -17,12 +17,15 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from seasongrid.operators.joins import forward_fill, last_nonblank
 from seasongrid.operators.summaries import selected_value
+from seasongrid.plans.gold import SEASON
 from seasongrid.sources.sinks import stored
 
 Moment = dt.datetime | dt.date | str
@@ -31,7 +34,11 @@ DRIVER = ("Driver_Key",)
 
 
 def _visible(df: DataFrame, years: Sequence[int] | None) -> DataFrame:
-    return df if years is None else df.where(F.col("Year").isin(list(years)))
+    """Rows of the visible seasons; a stored fact's own season prunes its partitions."""
+    if years is None:
+        return df
+    seasons = [F.col(c).isin(list(years)) for c in ("Year", SEASON) if c in df.columns]
+    return df.where(reduce(and_, seasons))
 
 
 def _moment(df: DataFrame, play_until: Moment) -> Column:

@@ -7,7 +7,8 @@ is any file or table format the session has.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
@@ -56,9 +57,19 @@ def _clear(spark: SparkSession, path: str, partitions: Sequence[str]) -> None:
         folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)
 
 
-def overwrite_table(df: DataFrame, path: str, fmt: str = "parquet") -> None:
-    """Replace the whole unpartitioned table."""
-    _overwriting(df, fmt, "static").save(path)
+def overwrite_table(df: DataFrame, path: str, fmt: str = "parquet", by: Sequence[str] = ()) -> None:
+    """Replace the whole table, partitioned if ``by`` is given."""
+    if by:
+        _overwriting(balanced(df, by), fmt, "static").partitionBy(*by).save(path)
+    else:
+        _overwriting(df, fmt, "static").save(path)
+
+
+def write_all(writes: Iterable[Callable[[], None]], at_once: int = 4) -> None:
+    """Run writes that do not depend on each other, a few at a time; the first failure is raised."""
+    with ThreadPoolExecutor(at_once) as pool:
+        for write in [pool.submit(write) for write in writes]:
+            write.result()
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-SILVER_TABLES = ("drivers_standings", "teams_standings", "circuits", "drivers", "teams")
+SILVER_TABLES = ("drivers_standings", "teams_standings", "circuits", "drivers_by_race", "drivers", "teams")
 GOLD_TABLES = (
     "dim_driver",
     "dim_team",
@@ -50,3 +50,22 @@ def register_silver(spark: SparkSession, silver_root: str, fmt: str = "parquet")
 def register_star(spark: SparkSession, gold_root: str, fmt: str = "parquet") -> dict[str, DataFrame]:
     """Expose the star as views named ``gold_*``, read in place."""
     return _register(spark, gold_root, GOLD_TABLES, "gold", fmt)
+
+
+def create_tables(
+    spark: SparkSession, root: str, names: Sequence[str], prefix: str, fmt: str = "parquet"
+) -> list[str]:
+    """Name the tables below ``root`` in the session's catalog, for every session that shares it.
+
+    The files stay where they are and are not copied.  Call it again after a
+    load: a name then gets the columns and partitions there are.
+    """
+    created = []
+    for name in names:
+        table, path = f"{prefix}_{name}", f"{root}/{name}"
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
+        spark.catalog.createTable(table, path, fmt)
+        if any(column.isPartition for column in spark.catalog.listColumns(table)):
+            spark.catalog.recoverPartitions(table)
+        created.append(table)
+    return created

@@ -7,7 +7,7 @@ from pyspark.errors import AnalysisException
 from seasongrid.plans import job
 from seasongrid.session import fresh_dir
 from seasongrid.sources import sinks
-from seasongrid.sources.tables import GOLD_TABLES, SILVER_TABLES, read_table, register_silver, register_star
+from seasongrid.sources.tables import GOLD_TABLES, SILVER_TABLES, create_tables, read_table, register_silver, register_star
 
 
 def _land(make, root: str, year: int, totals: list[float]) -> None:
@@ -68,6 +68,68 @@ def test_the_star_covers_all_seasons(spark, loaded):
     assert tables["ui_play_timeline"].count() == 4
 
 
+def test_a_load_leaves_the_facts_of_other_seasons_alone(spark, make):
+    root = fresh_dir(spark, "facts")
+    for year in (2023, 2024):
+        _land(make, root, year, [1.0, 3.0])
+    job.run(spark, [2023, 2024], root)
+
+    def files(season: int) -> set[str]:
+        fact = read_table(spark, f"{root}/gold/fact_team_results").where(f"season = {season}")
+        return {r[0] for r in fact.select("_metadata.file_path").collect()}
+
+    before = files(2023), files(2024)
+    _land(make, root, 2024, [5.0])
+    job.run(spark, [2024], root)
+    assert files(2023) == before[0] and not files(2024) & before[1]
+    fact = read_table(spark, f"{root}/gold/fact_team_results")
+    assert rows(fact, "Race_Key", "Race_Points") == [(202301, 1.0), (202302, 2.0), (202401, 5.0)]
+    # from scratch and by seasons come to the same
+    job.load_gold(spark, f"{root}/silver", f"{root}/again")
+    again = read_table(spark, f"{root}/again/fact_team_results")
+    assert rows(again.select(fact.columns)) == rows(fact)
+
+
+def test_results_for_the_team_of_the_day(spark, make):
+    root = fresh_dir(spark, "transfer")
+    roster = "driver_number long, full_name string, team_name string, country_code string, race_folder string"
+    sinks.replace_season(
+        {
+            "drivers": make(roster, (7, "Ann", "Alpha", "AA", "01_R1"), (7, "Ann", "Beta", "AA", "02_R2")),
+            "drivers_standings": make(
+                "driver_number long, position_current long, points_current double, session_key long, meeting_key long, race_folder string",
+                (7, 1, 1.0, 1, 202401, "01_R1"), (7, 1, 3.0, 2, 202402, "02_R2"),
+            ),
+            "teams_standings": make(
+                "team_name string, position_current long, points_current double, meeting_key long, race_folder string",
+                ("Alpha", 1, 1.0, 202401, "01_R1"), ("Beta", 1, 2.0, 202402, "02_R2"),
+            ),
+            "circuits": make(
+                "meeting_key long, meeting_name string, circuit_short_name string, date_start string, year long",
+                (202401, "Race 1", "Ring 1", "2024-01-01", 2024), (202402, "Race 2", "Ring 2", "2024-02-01", 2024),
+            ),
+        },
+        f"{root}/bronze/2024",
+    )
+    for at_race, first in ((False, "Beta-2024"), (True, "Alpha-2024")):
+        job.run(spark, [2024], root, team_at_race=at_race)
+        fact = read_table(spark, f"{root}/gold/fact_driver_results")
+        assert rows(fact, "Race_Key", "Team_Key", "Race_Points") == [(202401, first, 1.0), (202402, "Beta-2024", 2.0)]
+
+
+def test_tables_have_names_in_every_session(spark, loaded):
+    root, _ = loaded
+    names = create_tables(spark, f"{root}/gold", GOLD_TABLES, "standings")
+    create_tables(spark, f"{root}/gold", GOLD_TABLES, "standings")
+    other = spark.newSession()
+    assert all(other.catalog.tableExists(name) for name in names)
+    seasons = other.sql("SELECT DISTINCT season FROM standings_fact_team_results")
+    assert rows(seasons) == [(2023,), (2024,)]
+    for name in names:
+        spark.sql(f"DROP TABLE {name}")
+    assert read_table(spark, f"{root}/gold/dim_race").count() == 4
+
+
 def test_typed_tables_are_views(spark, loaded):
     root, _ = loaded
     assert set(register_silver(spark, f"{root}/silver")) == set(SILVER_TABLES)

@@ -8,10 +8,10 @@ import pytest
 from conftest import SMALL, rows
 
 from seasongrid.operators.series import previous_value, running_max
-from seasongrid.plans import gold, silver
+from seasongrid.plans import gold, measures, silver
 from seasongrid.session import fresh_dir
 from seasongrid.sources import sinks
-from seasongrid.sources.tables import read_table
+from seasongrid.sources.tables import read_table, register_star
 from workload.standins import Standins
 
 from __spark_entry__ import queries
@@ -43,8 +43,60 @@ def tables(spark):
 
 
 def test_one_row_per_group_is_cut_before_the_shuffle(spark):
-    for name in ("top1_per_group", "window_row_number_latest"):
-        assert plan(queries()[name](spark, SMALL)).count("WindowGroupLimit") == 2, name
+    # ranks: once per entrant, then once per name
+    for name, limits in (("top1_per_group", 2), ("window_row_number_latest", 4)):
+        assert plan(queries()[name](spark, SMALL)).count("WindowGroupLimit") == limits, name
+
+
+def test_race_rows_never_move_by_name(spark, tables):
+    standings = sinks.stored(tables.standings, "standings")
+    entrants = sinks.stored(tables.entrants, "entrants")
+    text = plan(gold.dim_driver(entrants, standings, tables.calendar))
+    assert "hashpartitioning(Driver_Key" not in text
+    # The plan is printed from its result down: by name above, one row per entrant below it.
+    by_name = text.index("hashpartitioning(full_name")
+    last_race = [m.start() for m in re.finditer(r"WindowGroupLimit \[driver_number", text)]
+    assert last_race and min(last_race) > by_name
+    assert "hashpartitioning(full_name" not in text[min(last_race):]
+
+
+def test_team_fact_does_not_move_single_copies(tables):
+    text = plan(gold.fact_team(tables.team_standings, tables.calendar))
+    assert "REPARTITION_BY_COL" not in text
+    few, many = text.split("Union")[1].split("REPARTITION_BY_NUM", 1)
+    assert "REPARTITION" not in few and "> 65536" in many
+
+
+@pytest.fixture(scope="module")
+def landed_star(spark, tables):
+    root = fresh_dir(spark, "star")
+    facts = {
+        "fact_driver_results": gold.fact_driver(tables.standings, tables.calendar, tables.entrants, by_season=True),
+        "fact_team_results": gold.fact_team(tables.team_standings, tables.calendar, by_season=True),
+    }
+    for name, fact in facts.items():
+        sinks.overwrite_table(fact, f"{root}/{name}", by=(gold.SEASON,))
+    for name in ("dim_driver", "dim_team", "dim_race"):
+        sinks.overwrite_table(getattr(tables, name), f"{root}/{name}")
+    sinks.overwrite_table(tables.timeline, f"{root}/ui_play_timeline")
+    return register_star(spark, root)
+
+
+def test_measures_of_a_season_prune_the_fact(landed_star, tables):
+    race = landed_star["dim_race"]
+    teams = landed_star["fact_team_results"].join(race, "Race_Key", "left")
+    drivers = landed_star["fact_driver_results"].join(race, "Race_Key", "left")
+    ranks = measures.team_ranks(teams, years=[1998], play_until="1998-06-01")
+    driver_ranks = measures.driver_ranks(drivers, race, years=[1998])
+    logos = measures.actual_team_logo(drivers, race, landed_star["dim_team"], years=[1998])
+    for measure in (ranks, driver_ranks, logos):
+        assert re.search(r"PartitionFilters: \[[^\]]*season[^\]]*1998", plan(measure))
+    assert rows(ranks) == rows(measures.team_ranks(tables.team_star, years=[1998], play_until="1998-06-01"))
+    assert rows(driver_ranks) == rows(measures.driver_ranks(tables.driver_star, tables.dim_race, years=[1998]))
+
+
+def test_points_by_date_plans_the_days_once(spark):
+    assert shuffles(queries()["measure_points_by_date"](spark, SMALL)) <= 10
 
 
 def test_roster_rows_are_cut_before_the_shuffle(tables):

@@ -241,6 +241,7 @@ _QUERIES: dict[str, str] = {
                                   WHEN 'O' THEN 'no order ' || o_orderkey END AS payload
         FROM orders""",
     "scan_table": "SELECT c_custkey, c_name, c_mktsegment FROM customer",
+    "scan_catalog_table": f"SELECT o_orderkey, o_totalprice, {_YEAR} AS year FROM orders",
     "scan_season_pruned": f"""
         SELECT o_orderkey, o_totalprice, {_YEAR} AS year FROM orders WHERE year(o_orderdate) = 1997""",
     "scan_gold_star": """
@@ -268,6 +269,7 @@ _QUERIES: dict[str, str] = {
     "incremental_season_load": """
         SELECT CAST(Driver_Key AS VARCHAR) AS entity, * EXCLUDE (Driver_Key) FROM fact_driver
         UNION ALL BY NAME SELECT 'team' AS entity, * FROM fact_team""",
+    "load_team_at_race": "SELECT * FROM fact_driver_at_race",
     # projections and filters
     "project_typed": """
         SELECT CAST(c_custkey AS INTEGER) AS number, CAST(c_acctbal AS REAL) AS balance,
@@ -421,6 +423,9 @@ _QUERIES: dict[str, str] = {
     "gold_fact_driver": "SELECT * FROM fact_driver",
     "gold_fact_driver_team_at_race": "SELECT * FROM fact_driver_at_race",
     "gold_fact_team": "SELECT * FROM fact_team",
+    "gold_fact_team_blocked": """
+        SELECT * FROM fact_team UNION ALL BY NAME
+        SELECT * REPLACE (CAST(0 AS REAL) AS Race_Points) FROM fact_team WHERE Race_Key % 3 = 0""",
     "timeline": "SELECT * FROM timeline",
     "order_gp_by_date": "SELECT GP_Display, min(Date) AS first_date FROM dim_race GROUP BY 1 ORDER BY 2, 1",
     "order_driver_by_rank": "SELECT * FROM dim_driver ORDER BY Season_Rank_Sort NULLS LAST, Driver_Key",

@@ -114,17 +114,17 @@ def default_if_blank(s: Standins) -> DataFrame:
 
 @query
 def join_inner(s: Standins) -> DataFrame:
-    return gold.dated_standings(s.standings, s.calendar)
+    return gold.raced(s.standings, s.calendar)
 
 
 @query
 def join_inner_composite(s: Standins) -> DataFrame:
-    return gold.named_results(s.entrants, gold.dated_standings(s.standings, s.calendar))
+    return gold.under_name(s.entrants, gold.raced(s.standings, s.calendar))
 
 
 @query
 def join_left_selfderived(s: Standins) -> DataFrame:
-    ranks = gold.final_ranks(gold.named_results(s.entrants, gold.dated_standings(s.standings, s.calendar)))
+    ranks = gold.final_ranks(s.entrants, s.standings, s.calendar)
     return gold.with_final_rank(s.entrants, ranks).select(
         "driver_number", "year", "full_name", "Final_Season_Rank"
     )
@@ -166,7 +166,7 @@ def join_asof_rank(s: Standins) -> DataFrame:
     races = s.calendar.select(
         F.col("year").alias("Year"), F.col("meeting_key").alias("Race_Key"), F.col("date_start").alias("Date")
     )
-    dated = gold.dated_standings(s.standings, s.calendar).select(
+    dated = gold.raced(s.standings, s.calendar).select(
         "driver_number", F.col("year").alias("Year"), F.col("date_start").alias("Date"), "position"
     )
     return forward_fill(dated, races, ["driver_number"], "position", "last_position")
@@ -264,7 +264,7 @@ def _team_series(s: Standins) -> DataFrame:
 
 @query
 def window_row_number_latest(s: Standins) -> DataFrame:
-    return gold.final_ranks(gold.named_results(s.entrants, gold.dated_standings(s.standings, s.calendar)))
+    return gold.final_ranks(s.entrants, s.standings, s.calendar)
 
 
 @query

@@ -7,11 +7,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from seasongrid.functions.text import folder_from_path, season_from_path
-from seasongrid.plans import job, silver
+from seasongrid.plans import gold, job, silver
 from seasongrid.schemas import CORRUPT
 from seasongrid.session import fresh_dir
 from seasongrid.sources import landing, sinks
-from seasongrid.sources.tables import read_table, register_star
+from seasongrid.sources.tables import create_tables, read_table, register_star
 from workload.registry import query
 from workload.standins import ASSETS, Standins, loaded_at, race_folder
 
@@ -125,6 +125,15 @@ def scan_table(s: Standins) -> DataFrame:
     return s.spark.table("typed_customer").select("c_custkey", "c_name", "c_mktsegment")
 
 
+@query
+def scan_catalog_table(s: Standins) -> DataFrame:
+    """Named in the catalog by one session, read by another."""
+    root = fresh_dir(s.spark, "catalog")
+    sinks.overwrite_seasons(_orders(s), f"{root}/orders")
+    (name,) = create_tables(s.spark, root, ["orders"], "typed")
+    return s.spark.newSession().table(name).select("o_orderkey", "o_totalprice", "year")
+
+
 @query
 def scan_season_pruned(s: Standins) -> DataFrame:
     path = fresh_dir(s.spark, "seasons")
@@ -325,8 +334,22 @@ def incremental_season_load(s: Standins) -> DataFrame:
         f"{bronze}/season={last}",
     )
     job.run(s.spark, [last], root, "season={year}", ASSETS, loaded_at())
-    drivers = read_table(s.spark, f"{root}/gold/fact_driver_results")
-    teams = read_table(s.spark, f"{root}/gold/fact_team_results")
+    drivers = read_table(s.spark, f"{root}/gold/fact_driver_results").drop(gold.SEASON)
+    teams = read_table(s.spark, f"{root}/gold/fact_team_results").drop(gold.SEASON)
     return drivers.withColumn("entity", F.col("Driver_Key").cast("string")).drop("Driver_Key").unionByName(
         teams.withColumn("entity", F.lit("team"))
     )
+
+
+@query
+def load_team_at_race(s: Standins) -> DataFrame:
+    """All seasons landed and loaded, each result with the team of its day."""
+    root = fresh_dir(s.spark, "transfers")
+    bronze = f"{root}/bronze"
+    _land(bronze, "drivers_standings", s.driver_records)
+    _land(bronze, "teams_standings", s.team_records)
+    _land(bronze, "drivers", s.roster_records.drop("pts", "pen"))
+    _land(bronze, "circuits", _meeting_records(s), folder=False)
+    seasons = sorted(r[0] for r in _meeting_records(s).select("year").distinct().collect())
+    job.run(s.spark, seasons, root, "season={year}", ASSETS, loaded_at(), team_at_race=True)
+    return read_table(s.spark, f"{root}/gold/fact_driver_results").drop(gold.SEASON)

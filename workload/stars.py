@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from seasongrid.plans import gold, measures, silver, star
 from workload.registry import query
@@ -51,6 +52,13 @@ def gold_fact_team(s: Standins) -> DataFrame:
     return s.fact_team
 
 
+@query
+def gold_fact_team_blocked(s: Standins) -> DataFrame:
+    """Every third race's standings twice, series cut into quarters."""
+    twice = s.team_standings.unionByName(s.team_standings.where("meeting_key % 3 = 0"))
+    return gold.fact_team(twice, s.calendar, block=F.date_trunc("quarter", "date_start"))
+
+
 @query
 def timeline(s: Standins) -> DataFrame:
     return s.timeline
