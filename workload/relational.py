@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from seasongrid.functions.cast import to_type
 from seasongrid.functions.display import display_date, display_points, display_total
 from seasongrid.functions.keys import entrant_key, team_key
 from seasongrid.functions.text import (
@@ -32,10 +33,10 @@ from workload.standins import ASSETS, Standins
 @query
 def project_typed(s: Standins) -> DataFrame:
     return s.table("customer").select(
-        F.col("c_custkey").try_cast("int").alias("number"),
-        F.col("c_acctbal").try_cast("float").alias("balance"),
-        F.substring("c_name", 10, 9).try_cast("long").alias("number_in_name"),
-        F.col("c_nationkey").try_cast("string").alias("nation"),
+        to_type(F.col("c_custkey"), "int").alias("number"),
+        to_type(F.col("c_acctbal"), "float").alias("balance"),
+        to_type(F.substring("c_name", 10, 9), "long").alias("number_in_name"),
+        to_type(F.col("c_nationkey"), "string").alias("nation"),
     )
 
 
@@ -309,10 +310,10 @@ def delta_clamped(s: Standins) -> DataFrame:
 def fn_try_cast(s: Standins) -> DataFrame:
     return s.table("part").select(
         "p_partkey",
-        F.substring("p_brand", 7, 3).try_cast("int").alias("brand_number"),
-        F.col("p_name").try_cast("int").alias("name_as_int"),
-        F.col("p_retailprice").cast("string").try_cast("float").alias("price"),
-        F.concat(F.lit("2024-01-"), F.col("p_size").cast("string")).try_cast("timestamp_ntz").alias("day"),
+        to_type(F.substring("p_brand", 7, 3), "int").alias("brand_number"),
+        to_type(F.col("p_name"), "int").alias("name_as_int"),
+        to_type(F.col("p_retailprice").cast("string"), "float").alias("price"),
+        to_type(F.concat(F.lit("2024-01-"), F.col("p_size").cast("string")), "timestamp_ntz").alias("day"),
     )
 
 
