@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seasongrid.llm import decontaminate, language_id, packing, simhash, suffixes
-from seasongrid.llm.common import only_ids, stored, table
+from seasongrid.llm.common import stored, table
 
 #: SQL does not express nearest centroids, lattice-free range joins or packing.
 ORACLE_SQL = None
@@ -26,9 +26,11 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates the document with the smallest id."""
-    found = stored(simhash.near_duplicates(docs), "near-duplicates")
-    return only_ids(docs, found.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))), keep=False)
+    """Of each group of near duplicates one row: the smallest id (null last), then the smallest hash of the text.
+
+    Rows of a null or repeated id are judged by their own texts; rows of equal id and text are one document.
+    """
+    return simhash.without_copies(docs)
 
 
 def remove_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,7 +44,7 @@ def remove_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
 
 def decontaminate_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without any window of a benchmark item."""
+    """Documents without any window of a benchmark item; rows of a null or repeated id each by its own text."""
     return decontaminate.remove(docs, table(spark, sf_dir, "benchmark"))
 
 

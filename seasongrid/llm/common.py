@@ -10,7 +10,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seasongrid.session import fresh_dir
@@ -110,7 +110,6 @@ def unique_name(df: DataFrame, name: str) -> str:
     return name
 
 
-def only_ids(docs: DataFrame, ids: DataFrame, keep: bool) -> DataFrame:
-    """Rows of ``docs`` whose ``doc_id`` is (or is not) among ``ids``; null equals null."""
-    right = ids.select(F.col("doc_id").alias("_wanted"))
-    return docs.join(right, docs["doc_id"].eqNullSafe(right["_wanted"]), "left_semi" if keep else "left_anti")
+def document_key(text: str = "text", doc_id: str = "doc_id") -> Column:
+    """A hash that tells texts of one id apart, and a null id from any other."""
+    return F.xxhash64(F.col(doc_id).isNull(), F.col(text).cast("string"))

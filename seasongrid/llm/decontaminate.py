@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from seasongrid.llm.common import only_ids, unique_name
+from seasongrid.llm.common import unique_name
 
 #: What lies between words, once A-Z are lower case.
 BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -103,11 +103,13 @@ def remove(docs: DataFrame, benchmark: DataFrame, spans: bool = False, text: str
 
     With ``spans`` the words of a contaminated text that no window covers are
     kept, joined by spaces, normalised as they were compared; other texts stay
-    as they are.  Without, a repeated id falls with all its rows.
+    as they are.  Without, the rows of a null or repeated id stay or fall each by
+    its own text.
     """
     found = hits(docs, benchmark, text=text, doc_id=doc_id, **options).where(F.size("hits") > 0)
     if not spans:
-        return only_ids(docs.withColumnRenamed(doc_id, "doc_id"), found, keep=False).withColumnRenamed("doc_id", doc_id)
+        held = found.select(F.col("doc_id").alias("_of"), F.col("text_key").alias("_key"))
+        return docs.join(held, docs[doc_id].eqNullSafe(held["_of"]) & (F.xxhash64(docs[text]) == held["_key"]), "left_anti")
     held = unique_name(docs, "_hits")
     cut = found.groupBy(F.col("doc_id").alias("_of"), F.col("text_key").alias("_key")).agg(F.first("hits").alias("_found"))
     same = docs[doc_id].eqNullSafe(cut["_of"]) & (F.xxhash64(docs[text]) == cut["_key"])

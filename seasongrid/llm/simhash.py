@@ -16,11 +16,12 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from seasongrid.llm.blocks import WIDTH, in_blocks
-from seasongrid.llm.common import release_memory, starts_of_runs, stored, trim_memory, whole_runs
+from seasongrid.llm.common import document_key, release_memory, starts_of_runs, stored, trim_memory, unique_name, whole_runs
 from seasongrid.llm.components import components
 
 SEED = 42
@@ -49,8 +50,8 @@ def fingerprint(text: str | None, size: int = 4) -> int:
     return int.from_bytes(np.packbits(2 * ones > len(hashes)).tobytes(), "big")
 
 
-def fingerprints(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", size: int = 4) -> DataFrame:
-    """``(doc_id, fp)``: whole texts, ``fp`` as a signed 64-bit number."""
+def fingerprints(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", size: int = 4, *also: Column) -> DataFrame:
+    """``(doc_id, fp)`` and the columns of ``also``: whole texts, ``fp`` as a signed 64-bit number."""
 
     @F.arrow_udf("long")
     def of(column: pa.Array) -> pa.Array:
@@ -58,7 +59,7 @@ def fingerprints(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", si
         found = np.fromiter((fingerprint(t.as_py(), size) for t in column), np.uint64, len(column))
         return pa.array(found.view(np.int64))
 
-    return docs.select(F.col(doc_id).cast("long").alias("doc_id"), of(F.col(text).cast("string")).alias("fp"))
+    return docs.select(F.col(doc_id).cast("long").alias("doc_id"), of(F.col(text).cast("string")).alias("fp"), *also)
 
 
 def bit_counts(x):
@@ -143,6 +144,15 @@ def links(points: DataFrame, distance: int, width: int = WIDTH) -> DataFrame:
     return members.mapInArrow(verify, "a long, b long")
 
 
+def _components(found: DataFrame, least: Column, distance: int) -> DataFrame:
+    """``(of, component_id)``: of each fingerprint the minimum ``least`` of all rows of its component."""
+    points = stored(found.groupBy("fp").agg(F.min(least).alias("least")), "points")
+    moved = components(links(points, distance), "a", "b")
+    grouped = points.join(moved, points["fp"] == moved["node"], "left").select("fp", "least", F.coalesce("component_id", "fp").alias("group"))
+    named = grouped.groupBy("group").agg(F.min("least").alias("component_id"))
+    return grouped.select(F.col("fp").alias("of"), "group").join(named, "group").select("of", "component_id")
+
+
 def near_duplicates(docs: DataFrame, distance: int = 4, size: int = 4, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """``(doc_id, fingerprint, component_id)``, a row for every row of ``docs``.
 
@@ -154,11 +164,29 @@ def near_duplicates(docs: DataFrame, distance: int = 4, size: int = 4, text: str
     Other columns are ignored.
     """
     found = stored(fingerprints(docs, text, doc_id, size), "fingerprints")
-    points = stored(found.groupBy("fp").agg(F.min("doc_id").alias("least")), "points")
-    moved = components(links(points, distance), "a", "b")
-    grouped = points.join(moved, points["fp"] == moved["node"], "left").select("fp", "least", F.coalesce("component_id", "fp").alias("group"))
-    named = grouped.groupBy("group").agg(F.min("least").alias("component_id"))
-    of_point = grouped.select(F.col("fp").alias("of"), "group").join(named, "group").select("of", "component_id")
+    of_point = _components(found, F.col("doc_id"), distance)
     return found.join(of_point, found["fp"] == of_point["of"]).select(
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
     )
+
+
+def without_copies(docs: DataFrame, distance: int = 4, size: int = 4, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+    """``docs`` with exactly one row of each component that :func:`near_duplicates` links.
+
+    It is the row with the smallest id (null after all others), then the smallest
+    hash of its text.  Rows of a repeated or null id are judged and removed by
+    their own texts; of rows with equal id and text, the first by their columns
+    stays.  An empty table gives an empty one.
+    """
+    found = stored(fingerprints(docs, text, doc_id, size, document_key(text, doc_id).alias("key")), "fingerprints")
+    own = F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", "key")
+    of_point = _components(found, own, distance)
+    first = F.col("doc_id").eqNullSafe(F.col("component_id.doc_id")) & (F.col("key") == F.col("component_id.key"))
+    copies = found.join(of_point, found["fp"] == of_point["of"]).where(~first).select(F.coalesce("doc_id", F.lit(0)).alias("_of"), F.col("key").alias("_same"))
+    copies = stored(copies, "near-duplicates")
+    id_, key, place = (unique_name(docs, n) for n in ("_id", "_key", "_place"))
+    keyed = docs.withColumn(id_, F.coalesce(F.col(doc_id).cast("long"), F.lit(0))).withColumn(key, document_key(text, doc_id))
+    by = [F.col(c) for c, kind in docs.dtypes if "map<" not in kind and "variant" not in kind]
+    # one row of each id and text before the join, so that a hot one does not travel
+    single = keyed.withColumn(place, F.row_number().over(Window.partitionBy(id_, key).orderBy(*by))).where(F.col(place) == 1)
+    return single.join(copies, (single[id_] == copies["_of"]) & (single[key] == copies["_same"]), "left_anti").drop(id_, key, place)

@@ -311,3 +311,30 @@ def test_pipeline(spark, tmp_path, docs):
     kept = {r["doc_id"] for r in frame.collect()}
     assert 9 not in kept and 0 in kept and not kept & set(range(25, 29))
     assert {r["doc_id"] for r in corpus_pipeline.run(spark, str(tmp_path)).collect()} == kept
+
+
+def test_pipeline_removes_rows_by_their_own_text(spark, tmp_path):
+    """A third of the rows with a null or repeated id."""
+    import corpus_pipeline
+
+    rng = random.Random(8)
+    sentence = lambda: " ".join("".join(rng.choice("abcdefghij") for _ in range(6)) for _ in range(60))
+    a, b, c, d, e, f, g, h = (sentence() for _ in range(8))
+    rows = [
+        (1, a), (None, a), (None, b),  # a null id grouped with a smaller one, and a clean one
+        (2, c), (3, c), (3, d),  # a repeated id with a near copy and a clean text
+        (4, e), (4, e), (4, e),  # one id, one text
+        (None, f), (None, f), (None, f + " x"),  # null ids alone
+        (5, g), (5, h), (None, None), (None, ""),
+    ]
+    same = lambda x, y: (_fingerprint(x) ^ _fingerprint(y)).bit_count() <= 4
+    assert same(f, f + " x") and not any(same(x, y) for x in (a, b, c, d, e, f, g, h) for y in (a, b, c, d, e, f, g, h, "") if x != y)
+    docs = spark.createDataFrame([(i, t, None, None, len(t or "")) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long").repartition(3)
+    kept = corpus_pipeline.drop_near_duplicates(spark, docs, str(tmp_path))
+    assert kept.columns == docs.columns
+    left = [(r["doc_id"], (r["text"] or "").removesuffix(" x")) for r in kept.collect()]
+    assert sorted(left, key=str) == sorted([(1, a), (None, b), (2, c), (3, d), (4, e), (None, f), (5, g), (5, h), (None, "")], key=str)
+
+    spark.createDataFrame([(1, b), (2, g)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    clean = corpus_pipeline.decontaminate_documents(spark, docs, str(tmp_path))
+    assert sorted(((r["doc_id"], r["text"]) for r in clean.collect()), key=str) == sorted([(i, t) for i, t in rows if t not in (b, g)], key=str)
