@@ -125,12 +125,12 @@ def _runs_of(column: pa.Array, window: int) -> Iterator[tuple[np.ndarray, ...]]:
 
 
 def _tag(hashes):
-    """Nine bits of a text's hash: tells the runs of texts apart that wrongly have one id."""
+    """Nine bits of a text's hash, beside the 64 of ``doc``."""
     return hashes & 511
 
 
 def _all_runs(docs: DataFrame, window: int) -> DataFrame:
-    """``(to, id, span, many)``: every run, to be dealt out by ``to``.
+    """``(to, doc, span)``: every run, to be dealt out by ``to``.
 
     Of the runs of one key in a batch the first goes to the key's task; the
     others are known to be repeated, so they go anywhere, which spreads hot
@@ -155,14 +155,14 @@ def _all_runs(docs: DataFrame, window: int) -> DataFrame:
             extra[first] = False
             to = key.copy()
             to[extra] = mix(key[extra].view(np.uint64), np.flatnonzero(extra).astype(np.uint64)).view(np.int64)
-            ids, tags = batch["id"].to_numpy()[text], _tag(batch["hash"].to_numpy())[text]
-            yield pa.RecordBatch.from_arrays([pa.array(to), pa.array(ids), pa.array(lo << 32 | tags << 23 | twice.astype(np.int64) << 22 | (hi - lo) << 1 | many)], ["to", "id", "span"])
+            of, tags = batch["doc"].to_numpy()[text], _tag(batch["hash"].to_numpy())[text]
+            yield pa.RecordBatch.from_arrays([pa.array(to), pa.array(of), pa.array(lo << 32 | tags << 23 | twice.astype(np.int64) << 22 | (hi - lo) << 1 | many)], ["to", "doc", "span"])
 
-    return docs.select("id", "hash", "text").mapInArrow(find, "to long, id long, span long")
+    return docs.select("doc", "hash", "text").mapInArrow(find, "to long, doc long, span long")
 
 
 def _repeated_runs(found: DataFrame) -> DataFrame:
-    """``(id, span)`` of the runs whose key occurs more than once."""
+    """``(doc, span)`` of the runs whose key occurs more than once."""
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         release_memory()
@@ -172,9 +172,9 @@ def _repeated_runs(found: DataFrame) -> DataFrame:
             sizes = np.diff(np.append(first, len(to)))
             chosen = np.repeat(sizes > 1, sizes) | (span & 1 == 1)
             if chosen.any():
-                yield pa.RecordBatch.from_arrays([pa.array(rows["id"].to_numpy()[chosen]), pa.array(span[chosen])], ["id", "span"])
+                yield pa.RecordBatch.from_arrays([pa.array(rows["doc"].to_numpy()[chosen]), pa.array(span[chosen])], ["doc", "span"])
 
-    return found.repartition("to").sortWithinPartitions("to").mapInArrow(keep, "id long, span long")
+    return found.repartition("to").sortWithinPartitions("to").mapInArrow(keep, "doc long, span long")
 
 
 # ---------------------------------------------------------------- suffix arrays
@@ -295,7 +295,7 @@ def _collapsed(rows: list[tuple]) -> tuple[list[tuple], list[tuple]]:
 
 def _contexts(docs: DataFrame, repeated: DataFrame, window: int) -> DataFrame:
     """Rows of ``_CONTEXT``: the bytes under repeated runs; without bytes, ranges known to be repeats."""
-    spans = repeated.groupBy("id").agg(F.collect_set("span").alias("spans")).withColumnRenamed("id", "of")
+    spans = repeated.groupBy(F.col("doc").alias("of")).agg(F.collect_set("span").alias("spans"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         release_memory()
@@ -317,7 +317,7 @@ def _contexts(docs: DataFrame, repeated: DataFrame, window: int) -> DataFrame:
                 yield _batch(again)
                 yield _batch(_with_keys(first, window))
 
-    joined = docs.join(spans, docs["id"] == spans["of"]).select("id", "hash", "text", "spans")
+    joined = docs.join(spans, docs["doc"] == spans["of"]).select("id", "hash", "text", "spans")
     return joined.mapInArrow(cut, _CONTEXT)
 
 
@@ -394,8 +394,13 @@ def repeated_ranges(docs: DataFrame, window: int = WINDOW, text: str = "text", d
 
 
 def _rows(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
+    """``(doc, id, hash, text)``; ``doc`` is one number for id and text, so a null or repeated id's texts stay apart.
+
+    Texts of one id have the same ``doc`` only if their hashes are equal.
+    """
     body = F.coalesce(F.col(text).cast("string"), F.lit(""))
-    return docs.select(F.coalesce(F.col(doc_id).cast("long"), F.lit(_LEAST)).alias("id"), F.xxhash64(body).alias("hash"), body.alias("text"))
+    rows = docs.select(F.coalesce(F.col(doc_id).cast("long"), F.lit(_LEAST)).alias("id"), F.xxhash64(body).alias("hash"), body.alias("text"))
+    return rows.select(F.xxhash64("id", "hash").alias("doc"), "id", "hash", "text")
 
 
 def _cut(data: bytes, ranges: list[dict] | None, window: int) -> tuple[bytes, int]:

@@ -338,3 +338,18 @@ def test_pipeline_removes_rows_by_their_own_text(spark, tmp_path):
     spark.createDataFrame([(1, b), (2, g)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
     clean = corpus_pipeline.decontaminate_documents(spark, docs, str(tmp_path))
     assert sorted(((r["doc_id"], r["text"]) for r in clean.collect()), key=str) == sorted([(i, t) for i, t in rows if t not in (b, g)], key=str)
+
+
+def test_repeated_passages_of_one_id(spark):
+    """Many texts of a null or repeated id: none of them sees the spans of another."""
+    rng = random.Random(9)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(7))
+    shared = [" ".join(word() for _ in range(rng.randint(14, 40))) for _ in range(300)]
+    texts = [" ".join([word() * rng.randint(1, 9), rng.choice(shared), word() * rng.randint(1, 9), rng.choice(shared)]) for _ in range(3000)]
+    rows = spark.createDataFrame([(None if i % 2 else 7, t) for i, t in enumerate(texts)], "doc_id long, text string").repartition(3)
+    order = sorted((r["doc_id"] is not None, r["h"], r["text"]) for r in rows.withColumn("h", F.xxhash64("text")).collect())
+    want = {(known, text): found for (known, _, text), found in zip(order, _without_repeats([t for *_, t in order]), strict=True)}
+    got = {(r["doc_id"] is not None, r["text"]): (bytes(r["kept"]), r["n_removed"], r["n_spans"]) for r in suffixes.remove(rows).collect()}
+    assert sum(got[k] != want[k] for k in want) == 0 and len(got) == len(want)
+    docs = suffixes._rows(rows, "text", "doc_id")
+    assert suffixes._repeated_runs(suffixes._all_runs(docs, 100)).groupBy("doc").count().agg(F.max("count")).first()[0] < 100
