@@ -30,6 +30,8 @@ FIT_PER_LANGUAGE = 1000
 #: Languages that a model may hold; more is an error.
 MOST_LANGUAGES = 500
 _LETTER = re.compile(r"[^\W\d_]")
+#: The same for Spark; characters too new for its tables are left to ``_LETTER``.
+_SOME_LETTER = r"[\p{L}\p{Nl}\p{No}\p{Cn}]"
 _RESULT = "lang_pred string, score double, accepted boolean"
 
 
@@ -98,11 +100,13 @@ def fit(
     has no language and every text is undetermined.
     """
     known = labelled.select(F.col(lang).cast("string").alias("l"), F.col(text).cast("string").alias("t"), F.xxhash64(by).alias("h"))
-    known = known.where(F.col("l").isNotNull() & F.col("t").isNotNull())
+    known = known.where(F.col("l").isNotNull() & F.col("t").rlike(_SOME_LETTER))
+    n = known.select("l").distinct().count()
+    if n > MOST_LANGUAGES:
+        raise ValueError(f"{n} labels; a model holds {MOST_LANGUAGES} languages")
     # hashes alone are ranked; texts travel only for the chosen ones
     place = F.row_number().over(Window.partitionBy("l").orderBy("h"))
     bounds = known.select("l", "h").withColumn("place", place).where(F.col("place") <= per_language).groupBy(F.col("l").alias("of")).agg(F.max("h").alias("most"))
-    bounds = bounds.limit(MOST_LANGUAGES + 1)  # more is an error below
     near = known.join(F.broadcast(bounds), (F.col("l") == F.col("of")) & (F.col("h") <= F.col("most")))
     place = F.row_number().over(Window.partitionBy("l").orderBy("h", "t"))
     ranked = near.withColumn("place", place).where(F.col("place") <= per_language)
@@ -123,8 +127,6 @@ def fit(
 
     sample = ranked.select("l", "t").mapInArrow(features, "l string, slots array<int>, n array<float>").toArrow()
     names = sorted(set(sample["l"].to_pylist()))
-    if len(names) > MOST_LANGUAGES:
-        raise ValueError(f"{len(names)} labels; a model holds {MOST_LANGUAGES} languages")
     raw = np.zeros((sample.num_rows, width), np.float32)
     for i, (s, n) in enumerate(zip(sample["slots"], sample["n"], strict=True)):
         raw[i, s.values.to_numpy()] = n.values.to_numpy()

@@ -353,3 +353,16 @@ def test_repeated_passages_of_one_id(spark):
     assert sum(got[k] != want[k] for k in want) == 0 and len(got) == len(want)
     docs = suffixes._rows(rows, "text", "doc_id")
     assert suffixes._repeated_runs(suffixes._all_runs(docs, 100)).groupBy("doc").count().agg(F.max("count")).first()[0] < 100
+
+
+def test_language_labels_without_a_letter(spark, monkeypatch):
+    monkeypatch.setattr(language_id, "MOST_LANGUAGES", 3)
+    schema = "doc_id long, text string, lang string"
+    rows = [(i, "12 !", f"junk{i % 40}") for i in range(400)] + [(1000 + i, f"text in {l}", l) for l in ("x", "y", "z") for i in range(3)]
+    assert language_id.fit(spark.createDataFrame(rows, schema)).languages == ["x", "y", "z"]
+    with pytest.raises(ValueError, match="4 labels"):
+        language_id.fit(spark.createDataFrame([*rows, (1, "word", "w")], schema))
+    half = spark.createDataFrame([(i, "12 !" if i % 2 else "text", "x") for i in range(40)], schema)
+    whole = spark.createDataFrame([(i, "text", "x") for i in range(0, 40, 2)], schema)
+    few, all_ = (language_id.fit(d, per_language=20) for d in (half, whole))
+    assert np.array_equal(few.idf, all_.idf)
