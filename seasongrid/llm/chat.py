@@ -1,8 +1,8 @@
 """Chat formatting: layouts recognised by a hash of their schema, one template out.
 
-``LAYOUTS`` maps the fingerprint of a schema (a hash of its nested field paths,
-whatever their order and whatever columns stand beside them) to declarative
-paths; from these, canonical turns ``(conv_id, turn, role, text)`` are made.
+``LAYOUTS`` maps the fingerprint of a schema (a hash of those of its nested field
+paths that bear roles or texts in any layout, whatever their order and whatever
+other columns stand beside them) to declarative paths; from these, canonical turns ``(conv_id, turn, role, text)`` are made.
 Every turn becomes one segment of its conversation's formatted text; control
 strings inside texts are escaped, so reading back gives the same turns.
 """
@@ -29,7 +29,8 @@ class Layout:
     """Where a layout has its turns.
 
     Either ``turns``, a path to an array of structs with ``role`` and ``text``
-    fields; or ``rows``, paths of turn, role and text of a table with a row for
+    fields, after a system turn from ``system`` where that path is given and not
+    empty; or ``rows``, paths of turn, role and text of a table with a row for
     each turn; or ``fixed``, pairs of a role and the paths whose texts, joined by
     a blank line where not empty, are its turn; a turn of no text at all is left
     out unless its role is user or assistant.
@@ -40,12 +41,17 @@ class Layout:
     text: str = "content"
     rows: tuple[str, str, str] | None = None
     fixed: tuple[tuple[str, tuple[str, ...]], ...] = ()
+    system: str | None = None
 
     def paths(self) -> list[str]:
         if self.turns:
-            return [f"{self.turns}[].{self.role}", f"{self.turns}[].{self.text}"]
+            return [f"{self.turns}[].{self.role}", f"{self.turns}[].{self.text}", *([self.system] if self.system else [])]
         return list(self.rows) if self.rows else [p for _, paths in self.fixed for p in paths]
 
+    def bearing(self) -> list[str]:
+        """The paths that tell layouts apart; a row's turn and role say nothing without its text."""
+        return [self.rows[2]] if self.rows else self.paths()
+
 
 def fingerprint(paths: list[str]) -> str:
     return hashlib.sha256("\n".join(sorted(p.lower() for p in paths)).encode()).hexdigest()
@@ -54,15 +60,21 @@ def fingerprint(paths: list[str]) -> str:
 KNOWN = (
     Layout(rows=("turn", "role", "text")),
     Layout(turns="messages"),
+    Layout(turns="messages", system="system"),
     Layout(turns="conversations", role="from", text="value"),
+    Layout(turns="conversations", role="from", text="value", system="system"),
     Layout(fixed=(("user", ("prompt",)), ("assistant", ("completion",)))),
+    Layout(fixed=(("system", ("system",)), ("user", ("prompt",)), ("assistant", ("completion",)))),
     Layout(fixed=(("user", ("prompt",)), ("assistant", ("response",)))),
     Layout(fixed=(("system", ("system",)), ("user", ("prompt",)), ("assistant", ("response",)))),
     Layout(fixed=(("user", ("instruction",)), ("assistant", ("output",)))),
+    Layout(fixed=(("system", ("system",)), ("user", ("instruction",)), ("assistant", ("output",)))),
     Layout(fixed=(("user", ("instruction", "input")), ("assistant", ("output",)))),
     Layout(fixed=(("system", ("system",)), ("user", ("instruction", "input")), ("assistant", ("output",)))),
 )
-LAYOUTS = {fingerprint(layout.paths()): layout for layout in KNOWN}
+LAYOUTS = {fingerprint(layout.bearing()): layout for layout in KNOWN}
+#: Every path that bears roles or texts in some layout.
+BEARING = {p.lower() for layout in KNOWN for p in layout.bearing()}
 #: Other names of the three roles.
 ROLES = {"human": "user", "gpt": "assistant", "bot": "assistant", "model": "assistant"}
 
@@ -79,14 +91,12 @@ def leaf_paths(schema: T.StructType, before: str = "") -> list[str]:
 
 
 def layout_of(schema: T.StructType) -> Layout:
-    """The layout whose fingerprint is that of a set of the schema's paths, the largest set first."""
+    """The layout that has all of the schema's role-bearing paths; with none an error, so that no text is ignored."""
     have = {p.lower() for p in leaf_paths(schema)}
-    for layout in sorted(LAYOUTS.values(), key=lambda x: -len(x.paths())):
-        wanted = [p for p in have if p in {x.lower() for x in layout.paths()}]
-        found = LAYOUTS.get(fingerprint(wanted))
-        if found is layout:
-            return layout
-    raise ValueError(f"no layout has the paths {sorted(have)}")
+    layout = LAYOUTS.get(fingerprint([p for p in have if p in BEARING]))
+    if layout is None or not have.issuperset(p.lower() for p in layout.paths()):
+        raise ValueError(f"no layout has the paths {sorted(have)}")
+    return layout
 
 
 def canonical(rows: DataFrame, conv_id: str = "conv_id") -> DataFrame:
@@ -104,6 +114,9 @@ def canonical(rows: DataFrame, conv_id: str = "conv_id") -> DataFrame:
     named = lambda c: F.coalesce(names[F.lower(text(c))], text(c))
     if layout.turns:
         turns = F.transform(layout.turns, lambda t: F.struct(named(t[layout.role]).alias("role"), text(t[layout.text]).alias("text")))
+        if layout.system:
+            first = F.array(F.struct(F.lit("system").alias("role"), text(F.col(layout.system)).alias("text")))
+            turns = F.concat(F.filter(first, lambda t: t["text"] != ""), F.coalesce(turns, F.array().cast("array<struct<role: string, text: string>>")))
     else:
         parts = []
         for role, paths in layout.fixed:

@@ -355,6 +355,25 @@ def test_repeated_passages_of_one_id(spark):
     assert suffixes._repeated_runs(suffixes._all_runs(docs, 100)).groupBy("doc").count().agg(F.max("count")).first()[0] < 100
 
 
+@pytest.mark.parametrize(("schema", "row"), [
+    ("conv_id long, system string, messages array<struct<role: string, content: string>>", (1, "s", [("user", "q"), ("assistant", "a")])),
+    ("conv_id long, conversations array<struct<value: string, from: string>>, system string", (1, [("q", "human"), ("a", "gpt")], "s")),
+    ("conv_id long, system string, prompt string, completion string", (1, "s", "q", "a")),
+    ("conv_id long, system string, instruction string, output string", (1, "s", "q", "a")),
+])
+def test_layouts_with_a_system_turn(spark, schema, row):
+    got = chat.canonical(spark.createDataFrame([row], schema)).orderBy("turn").collect()
+    assert [(r["turn"], r["role"], r["text"]) for r in got] == [(0, "system", "s"), (1, "user", "q"), (2, "assistant", "a")]
+
+
+def test_layouts_never_ignore_a_known_text(spark):
+    for schema in ("conv_id long, prompt string, completion string, input string", "conv_id long, turn long, role string, text string, system string", "conv_id long, text string"):
+        with pytest.raises(ValueError, match="no layout"):
+            chat.canonical(spark.createDataFrame([], schema))
+    nothing = chat.canonical(spark.createDataFrame([(1, "s", None)], "conv_id long, system string, messages array<struct<role: string, content: string>>"))
+    assert [(r["role"], r["text"]) for r in nothing.collect()] == [("system", "s")]
+
+
 def test_language_labels_without_a_letter(spark, monkeypatch):
     monkeypatch.setattr(language_id, "MOST_LANGUAGES", 3)
     schema = "doc_id long, text string, lang string"
