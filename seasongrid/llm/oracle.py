@@ -125,3 +125,48 @@ SELECT conv_id, count(*) AS n_turns,
   sum({marks} + length({_escaped("role")}) + length({_escaped("text")}))::BIGINT AS formatted_chars
 FROM turns GROUP BY conv_id
 """
+
+
+def vector_codes(rounds: int) -> str:
+    """Every distance of every round; ``key`` orders entries by distance, then index."""
+
+    def assigned(books: str) -> str:
+        square = "list_sum(list_transform(list_zip(points.c, b.c), lambda z: (z[1] - z[2]) * (z[1] - z[2])))"
+        return (
+            f"SELECT vec_id, label, points.p, points.c, min(coalesce({square}, 0)::HUGEINT * 16 + b.e) AS key"
+            f" FROM points JOIN {books} b USING (p) GROUP BY ALL"
+        )
+
+    steps = []
+    for i in range(rounds):
+        steps.append(f"""near{i} AS MATERIALIZED ({assigned(f"books{i}")}),
+sums{i} AS (
+  SELECT p, e, place, sum(x)::HUGEINT AS s, count(*) AS n
+  FROM (SELECT p, key % 16 AS e, unnest(c) AS x, generate_subscripts(c, 1) AS place FROM near{i}) GROUP BY ALL
+), means{i} AS (
+  SELECT p, e, list((s - ((s % n) + n) % n) // n ORDER BY place)::BIGINT[] AS c FROM sums{i} GROUP BY ALL
+), books{i + 1} AS MATERIALIZED (
+  SELECT p, e, coalesce(m.c, b.c) AS c FROM books{i} b LEFT JOIN means{i} m USING (p, e)
+)""")
+    return f"""
+WITH kept AS (
+  SELECT vec_id, label, list_transform(embedding::DOUBLE[], lambda x: floor(4096 * x)::BIGINT) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), points AS MATERIALIZED (
+  SELECT vec_id, label, p, v[p * (len(v) // 8) + 1:(p + 1) * (len(v) // 8)] AS c
+  FROM (SELECT *, unnest(range(8)) AS p FROM kept)
+), firsts AS (
+  SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS e FROM kept ORDER BY vec_id LIMIT 16
+), books0 AS MATERIALIZED (
+  SELECT p, e, c FROM points JOIN firsts USING (vec_id)
+), {", ".join(steps)}, last AS ({assigned(f"books{rounds}")}),
+coded AS (
+  SELECT vec_id, label, string_agg(printf('%02x', (key % 16)::INT), '' ORDER BY p) AS code, sum(key // 16)::BIGINT AS error
+  FROM last GROUP BY ALL
+), flat AS (
+  SELECT p, e, unnest(c) AS x, generate_subscripts(c, 1) AS place FROM books{rounds}
+)
+SELECT vec_id, code, error, sum(error) OVER (PARTITION BY label)::BIGINT AS label_error,
+  (SELECT sha256(string_agg(x::VARCHAR, ',' ORDER BY p, e, place)) FROM flat) AS codebooks_sha256
+FROM coded
+"""
