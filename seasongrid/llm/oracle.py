@@ -170,3 +170,43 @@ SELECT vec_id, code, error, sum(error) OVER (PARTITION BY label)::BIGINT AS labe
   (SELECT sha256(string_agg(x::VARCHAR, ',' ORDER BY p, e, place)) FROM flat) AS codebooks_sha256
 FROM coded
 """
+
+
+def phrases(least: int, top: int, share: int) -> str:
+    """All pairs and triples of words counted, without activation or shards."""
+    lower = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    return rf"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array({lower}, '[.,;:!?\x0A-\x0D]')) AS piece FROM documents
+), lists AS (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces
+), found AS (
+  SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase, count(*) AS f
+  FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM lists, (SELECT unnest([1, 2, 3]) AS k) WHERE len(w) >= k)
+  GROUP BY ALL
+), frequent AS MATERIALIZED (
+  SELECT lang, k, phrase, f, string_split(phrase, ' ') AS w FROM found WHERE f >= {least}
+), cuts AS (
+  SELECT lang, k, phrase, f AS a, unnest(range(1, k)) AS cut, w FROM frequent WHERE k > 1
+), scores AS (
+  SELECT c.lang, c.phrase, c.k, c.a, c.cut, l.f AS l, r.f AS r, (1000000::HUGEINT * c.a * c.a) // (l.f::HUGEINT * r.f) AS score
+  FROM cuts c
+  JOIN frequent l ON l.lang = c.lang AND l.phrase = array_to_string(c.w[1:c.cut], ' ')
+  JOIN frequent r ON r.lang = c.lang AND r.phrase = array_to_string(c.w[c.cut + 1:c.k], ' ')
+), lowest AS (
+  SELECT * FROM scores QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1
+), inside AS (
+  SELECT lang, array_to_string(w[1:2], ' ') AS phrase, f FROM frequent WHERE k = 3
+  UNION ALL
+  SELECT lang, array_to_string(w[2:3], ' ') AS phrase, f FROM frequent WHERE k = 3
+), candidates AS (
+  SELECT * FROM lowest c WHERE NOT EXISTS (
+    SELECT 1 FROM inside i WHERE i.lang = c.lang AND i.phrase = c.phrase AND c.k = 2 AND 100 * i.f >= {share} * c.a
+  )
+), totals AS (
+  SELECT lang, sum(f)::BIGINT AS n FROM found WHERE k = 1 GROUP BY lang
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score::BIGINT AS score
+FROM candidates JOIN totals USING (lang)
+QUALIFY rank <= {top}
+"""

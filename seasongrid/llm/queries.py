@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seasongrid.llm import chat, decontaminate, language_id, lattice, lm_score, oracle, packing, simhash, suffixes, token_counts, token_files, vector_codes
+from seasongrid.llm import chat, decontaminate, language_id, lattice, lm_score, oracle, packing, phrases, simhash, suffixes, token_counts, token_files, vector_codes
 from seasongrid.llm.common import stored, table
 from seasongrid.session import fresh_dir
 
@@ -64,6 +64,10 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(spark.read.parquet(path))
 
 
+def op12_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
 def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_codes.compress(table(spark, sf_dir, "embeddings"))
 
@@ -78,7 +82,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_language_id, op2_token_files, op3_simhash, op4_lattice, op5_decontamination, op6_packing,
-        op7_token_counts, op8_suffix_array, op9_lm_score, op10_chat, op13_vector_codes, pipeline,
+        op7_token_counts, op8_suffix_array, op9_lm_score, op10_chat, op12_phrases, op13_vector_codes, pipeline,
     )
 }
 ORACLE_SQL: dict[str, str] = {
@@ -86,5 +90,6 @@ ORACLE_SQL: dict[str, str] = {
     "op5_decontamination": oracle.DECONTAMINATION,
     "op8_suffix_array": oracle.REPEATS,
     "op10_chat": oracle.chat(HOSTILE),
+    "op12_phrases": oracle.phrases(phrases.LEAST, phrases.TOP, phrases.SHARE),
     "op13_vector_codes": oracle.vector_codes(vector_codes.ROUNDS),
 }
