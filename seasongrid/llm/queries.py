@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seasongrid.llm import chat, decontaminate, language_id, lattice, lm_score, oracle, packing, phrases, simhash, suffixes, token_counts, token_files, vector_codes
+from seasongrid.llm import chat, decontaminate, language_id, lattice, lm_score, oracle, packing, personal_data, phrases, simhash, suffixes, token_counts, token_files, vector_codes
 from seasongrid.llm.common import stored, table
 from seasongrid.session import fresh_dir
 
@@ -64,6 +64,11 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(spark.read.parquet(path))
 
 
+def op11_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = personal_data.find(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", F.sha2("base", 256).alias("base_sha256"), "spans")
+
+
 def op12_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrases.collocations(table(spark, sf_dir, "documents"))
 
@@ -82,7 +87,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_language_id, op2_token_files, op3_simhash, op4_lattice, op5_decontamination, op6_packing,
-        op7_token_counts, op8_suffix_array, op9_lm_score, op10_chat, op12_phrases, op13_vector_codes, pipeline,
+        op7_token_counts, op8_suffix_array, op9_lm_score, op10_chat, op11_personal_data, op12_phrases, op13_vector_codes, pipeline,
     )
 }
 ORACLE_SQL: dict[str, str] = {
