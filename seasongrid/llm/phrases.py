@@ -8,9 +8,11 @@ shard once.  So words, pairs and triples are counted in the same scans, and a
 phrase that cannot reach the threshold costs nothing.  A phrase that reaches it
 has subphrases that do so too, no later: every one is found, with its exact count.
 
-Which phrases have reached it is known to a scan by bit maps of fixed size.  They
-let some others pass, never the reverse; a join with the exact table, on both
-subphrases, then keeps what is active.  Counts are summed in the tasks first.
+When a phrase reached it is known to a scan by a table of fixed size, indexed by
+a hash, that holds the scan in which a phrase of that place was the first to do
+so.  Phrases that share a place only make longer ones start early, or be counted
+in vain: the start of a phrase is a function of the table, it never changes, and
+a phrase is counted in the ``shards`` scans from its start on, whichever that is.
 """
 
 from __future__ import annotations
@@ -35,10 +37,11 @@ TOP = 2000
 SHARE = 50
 #: Bytes of text that are counted at once; a longer text is taken in parts.
 GROUP = 4 << 20
-#: Bits of a map of phrases; more phrases than that make a scan count more than it needs.
-BITS = 1 << 24
+#: Places of a table of scans, a byte each; with more frequent phrases than that a scan counts more than it needs.
+PLACES = 1 << 23
 _BUCKET = 1 << 15  # bits of one bitmap_construct_agg
-_SCANNED = "lang string, phrase string, size int, n long"
+_NEVER = 255
+_SCANNED = "lang string, phrase string, size int, start int, n long"
 
 
 def _normal_form() -> bytes:
@@ -106,69 +109,89 @@ def _hash(word: str) -> int:
     return xxhash.xxh64_intdigest(word)
 
 
-def _in(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    at = hashes % np.uint64(8 * len(bits))
-    return (bits[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
+class _Times:
+    """When the words and phrases of one group reached the threshold."""
 
+    def __init__(self, lang: str, words: list[str], tables: dict[int, np.ndarray]) -> None:
+        self.tables = tables
+        self.words = np.array([_hash(w) for w in words], np.uint64)
+        self.firsts = mix(self.words, np.full(1, _hash(lang), np.uint64))
+
+    def of(self, columns: list[np.ndarray]) -> np.ndarray:
+        """``columns`` hold the first words of the phrases, the second ones and so on."""
+        h = self.firsts[columns[0]]
+        for column in columns[1:]:
+            h = mix(h, self.words[column])
+        return self.tables[len(columns)][(h % np.uint64(PLACES)).astype(np.int64)]
+
+
+def _unique(columns: list[np.ndarray], n_words: int) -> tuple[list[np.ndarray], np.ndarray]:
+    """The different phrases, column by column, and their numbers."""
+    key, prefixes = columns[0], []
+    for column in columns[1:]:  # number the prefixes of each length, so that no key grows beyond 64 bits
+        if prefixes:
+            prefix, key = np.unique(key, return_inverse=True)
+            prefixes.append(prefix)
+        else:
+            prefixes.append(None)
+        key = key * n_words + column
+    phrase, n = np.unique(key, return_counts=True)
+    out = []
+    for prefix in reversed(prefixes):
+        out.append(phrase % n_words)
+        phrase = phrase // n_words if prefix is None else prefix[phrase // n_words]
+    return [phrase, *reversed(out)], n
 
-def _active(lang: str, known: pa.Array, ids: np.ndarray, piece: np.ndarray, maps: dict) -> Iterator[tuple[int, np.ndarray]]:
-    """Size and first places of phrases that may be active: both subphrases known, one of them lately."""
-    hashes = np.array([_hash(w) for w in known.to_pylist()], np.uint64)
-    of = mix(hashes, np.full(1, _hash(lang), np.uint64))
-    here = of[ids]
-    reached, late = _in(maps[1, "all"], of)[ids], _in(maps[1, "late"], of)[ids]
-    for size in range(2, LONGEST + 1):
-        n = len(ids) - size + 1
-        if n <= 0:
-            return
-        both = reached[:n] & reached[1 : n + 1] & (piece[:n] == piece[size - 1 :])
-        yield size, np.flatnonzero(both & (late[:n] | late[1 : n + 1]))
-        if (size, "all") not in maps:
-            return
-        at = np.flatnonzero(both)
-        here = mix(here[:n], hashes[ids[size - 1 :]])
-        reached, late = np.zeros(n, bool), np.zeros(n, bool)
-        reached[at] = _in(maps[size, "all"], here[at])
-        late[at] = _in(maps[size, "late"], here[at])
 
+def _counted(lang: str, data: bytes, again: int, step: int, shards: int, tables: dict[int, np.ndarray]) -> Iterator[pa.RecordBatch]:
+    """The active phrases of one group with their numbers; those that end in the first ``again`` words are left out.
 
-def _counted(lang: str, data: bytes, again: int, words: bool, maps: dict) -> Iterator[pa.RecordBatch]:
-    """Phrases of one group with their numbers; those that end in the first ``again`` words are left out."""
+    In the first round words are counted, and all of a language under no phrase.
+    """
     known, ids, piece = _words(data)
 
-    def batch(columns: list[pa.Array], size: int, n: np.ndarray) -> pa.RecordBatch:
-        phrase = columns[0] if size == 1 else pc.binary_join_element_wise(*columns, " ")
-        return pa.RecordBatch.from_arrays([pa.repeat(lang, len(n)), phrase, pa.repeat(pa.scalar(size, pa.int32()), len(n)), pa.array(n.astype(np.int64))], ["lang", "phrase", "size", "n"])
+    def batch(phrase: pa.Array, size: int, start: np.ndarray | int, n: np.ndarray) -> pa.RecordBatch:
+        starts = np.broadcast_to(np.asarray(start, np.int32), len(n))
+        columns = [pa.repeat(lang, len(n)), phrase, pa.repeat(pa.scalar(size, pa.int32()), len(n)), pa.array(starts), pa.array(n.astype(np.int64))]
+        return pa.RecordBatch.from_arrays(columns, ["lang", "phrase", "size", "start", "n"])
 
-    if words:
+    if step < shards:
         n = np.bincount(ids[again:], minlength=len(known))
         some = np.flatnonzero(n)
-        yield batch([known.take(pa.array(some))], 1, n[some])
-    if not maps or not len(ids):
+        yield batch(known.take(pa.array(some)), 1, 0, n[some])
+        yield batch(pa.array([""]), 0, 0, n.sum(keepdims=True))
+    if not tables or len(ids) < 2:
         return
-    for size, at in _active(lang, known, ids, piece, maps):
+    times = _Times(lang, known.to_pylist(), tables)
+    word_time = times.of([np.arange(len(known))])
+    reached = word_time[ids]
+    for size in range(2, LONGEST + 1):
+        n = len(ids) - size + 1
+        if n <= 0:
+            return
+        later = np.maximum(reached[:n], reached[1 : n + 1])
+        both = (later < _NEVER) & (piece[:n] == piece[size - 1 :])
+        start = later.astype(np.int16) + 1
+        at = np.flatnonzero(both & (start <= step) & (step < start + shards))
         at = at[at + size > again]
-        key, prefixes = ids[at], []
-        for k in range(1, size):  # number the prefixes of each length, so that no key grows beyond 64 bits
-            prefix, key = np.unique(key, return_inverse=True)
-            prefixes.append(prefix)
-            key = key * len(known) + ids[at + k]
-        phrase, n = np.unique(key, return_counts=True)
-        columns = []
-        for prefix in reversed(prefixes):
-            columns.append(phrase % len(known))
-            phrase = prefix[phrase // len(known)]
-        columns.append(phrase)
-        if len(n):
-            yield batch([known.take(pa.array(c)) for c in reversed(columns)], size, n)
+        if len(at):
+            columns, numbers = _unique([ids[at + k] for k in range(size)], len(known))
+            begun = np.maximum(times.of(columns[:-1]), times.of(columns[1:])).astype(np.int32) + 1
+            words = [known.take(pa.array(c)) for c in columns]
+            yield batch(pc.binary_join_element_wise(*words, " "), size, begun, numbers)
+        if size == LONGEST or size not in tables:
+            return
+        at = np.flatnonzero(both)
+        reached = np.full(n, _NEVER, np.uint8)
+        reached[at] = times.of([ids[at + k] for k in range(size)])
 
 
-def scan(texts: DataFrame, words: bool, maps: dict) -> DataFrame:
-    """``(lang, phrase, size, n)`` of one shard: words if asked for, and longer phrases the maps let pass."""
-    maps = {k: texts.sparkSession.sparkContext.broadcast(m) for k, m in maps.items()}
+def scan(texts: DataFrame, step: int, shards: int, tables: dict[int, np.ndarray]) -> DataFrame:
+    """``(lang, phrase, size, start, n)`` of one shard, several rows for a phrase."""
+    shared = {size: texts.sparkSession.sparkContext.broadcast(t.tobytes()) for size, t in tables.items()}
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = {k: np.frombuffer(m.value, np.uint8) for k, m in maps.items()}
+        held = {size: np.frombuffer(t.value, np.uint8) for size, t in shared.items()}
         for batch in batches:
             langs = batch["lang"].dictionary_encode()
             order = np.argsort(langs.indices.to_numpy(), kind="stable")
@@ -178,73 +201,47 @@ def scan(texts: DataFrame, words: bool, maps: dict) -> DataFrame:
                 lang = langs.dictionary[int(of[a])].as_py()
                 rows = batch["text"].take(pa.array(order[a:b])).cast(pa.binary()).to_pylist()
                 for data, again in _parts(rows):
-                    yield from _counted(lang, data, again, words, held)
+                    yield from _counted(lang, data, again, step, shards, held)
 
-    rows = texts.select("lang", "text").mapInArrow(count, _SCANNED)
-    return rows.groupBy("lang", "phrase", "size").agg(F.sum("n").alias("n"))
+    return texts.select("lang", "text").mapInArrow(count, _SCANNED)
 
 
 # ---------------------------------------------------------------- the cycle
 
 
-def bit_maps(reached: DataFrame, step: int, shards: int) -> dict[tuple[int, str], bytes]:
-    """For the scan after ``step``: by size, the phrases that have reached the threshold, and those whose reaching still matters.
+def mark(reached: DataFrame, step: int, tables: dict[int, np.ndarray]) -> bool:
+    """Enter ``step`` for phrases that have reached the threshold where nothing is entered; whether any was.
 
-    A longer phrase sees its last shard ``shards`` scans after the later of its
-    subphrases has reached the threshold.  Not more than four maps of ``BITS``
-    bits come to the driver; there are none if nothing can be active.
+    The driver gets a bit for each place, and keeps a byte, whatever the number of phrases.
     """
 
     def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = np.zeros(batch.num_rows, np.uint64)
+            out = np.zeros(batch.num_rows, np.int64)
             for i, (lang, phrase) in enumerate(zip(batch["lang"].to_pylist(), batch["phrase"].to_pylist(), strict=True)):
                 first, *more = phrase.split(" ")
                 h = mix(np.array([_hash(first)], np.uint64), np.array([_hash(lang)], np.uint64))
                 for word in more:
                     h = mix(h, np.array([_hash(word)], np.uint64))
-                out[i] = h[0]
-            at = pa.array((out % np.uint64(BITS)).astype(np.int64))
-            yield pa.RecordBatch.from_arrays([batch["size"], batch["reach"], at], ["size", "reach", "at"])
+                out[i] = int(h[0]) % PLACES
+            yield pa.RecordBatch.from_arrays([batch["size"], pa.array(out)], ["size", "at"])
 
-    at = reached.select("lang", "phrase", "size", "reach").where(F.col("size") < LONGEST).mapInArrow(places, "size int, reach int, at long")
-    late = F.col("reach") > step - shards
-    kinds = at.withColumn("kind", F.explode(F.when(late, F.array(F.lit("all"), F.lit("late"))).otherwise(F.array(F.lit("all")))))
+    at = reached.select("lang", "phrase", "size").mapInArrow(places, "size int, at long")
     bucket = F.floor(F.col("at") / _BUCKET).cast("int").alias("bucket")
-    maps = kinds.groupBy("size", "kind", bucket).agg(F.bitmap_construct_agg(F.col("at") % _BUCKET).alias("bits")).collect()
-    out: dict[tuple[int, str], bytearray] = {}
-    for size, kind, number, bits in maps:
-        held = out.setdefault((size, kind), bytearray(BITS // 8))
-        held[number * _BUCKET // 8 : (number + 1) * _BUCKET // 8] = bits
-    if not any(kind == "late" for _, kind in out):
-        return {}
-    empty = bytes(BITS // 8)
-    return {(size, kind): bytes(out.get((size, kind), empty)) for size in {s for s, _ in out} | {1} for kind in ("all", "late")}
-
-
-def _first_words(phrase: Column) -> Column:
-    return F.regexp_replace(phrase, r" [^ ]*$", "")
-
-
-def _last_words(phrase: Column) -> Column:
-    return F.regexp_replace(phrase, r"^[^ ]* ", "")
-
-
-def _now_active(longer: DataFrame, reached: DataFrame, step: int, shards: int) -> DataFrame:
-    """Of the scan's longer phrases those that are active, with the step they started."""
-    first = reached.select(F.col("lang").alias("_l1"), F.col("phrase").alias("_p1"), F.col("reach").alias("_r1"))
-    last = reached.select(F.col("lang").alias("_l2"), F.col("phrase").alias("_p2"), F.col("reach").alias("_r2"))
-    start = (F.greatest("_r1", "_r2") + 1).alias("start")
-    both = (
-        longer.join(first, (F.col("lang") == F.col("_l1")) & (_first_words(F.col("phrase")) == F.col("_p1")))
-        .join(last, (F.col("lang") == F.col("_l2")) & (_last_words(F.col("phrase")) == F.col("_p2")))
-        .select("lang", "phrase", "size", start, "n")
-    )
-    return both.where((F.col("start") <= step) & (F.col("start") + shards > step))
+    new = False
+    for size, number, bits in at.groupBy("size", bucket).agg(F.bitmap_construct_agg(F.col("at") % _BUCKET)).collect():
+        table = tables.setdefault(size, np.full(PLACES, _NEVER, np.uint8))
+        part = table[number * _BUCKET : (number + 1) * _BUCKET]
+        first = np.unpackbits(np.frombuffer(bits, np.uint8), bitorder="little")[: len(part)].astype(bool) & (part == _NEVER)
+        part[first] = step
+        new |= bool(first.any())
+    return new
 
 
 def frequent(docs: DataFrame, least: int = LEAST, shards: int = SHARDS, text: str = "text", lang: str = "lang") -> tuple[DataFrame, DataFrame]:
     """``(lang, phrase, size, n)`` of all phrases that occur ``least`` times, and ``(lang, n)``, the words of each language."""
+    if not 0 < shards * LONGEST < _NEVER:
+        raise ValueError(f"shards are between 1 and {_NEVER // LONGEST}")
     rows = docs.select(
         F.coalesce(F.col(lang).cast("string"), F.lit("und")).alias("lang"), F.col(text).cast("string").alias("text"),
         (F.monotonically_increasing_id() % shards).alias("shard"),
@@ -253,30 +250,22 @@ def frequent(docs: DataFrame, least: int = LEAST, shards: int = SHARDS, text: st
     rows.write.option("compression", "zstd").partitionBy("shard").parquet(path)
     texts = docs.sparkSession.read.schema("lang string, text string, shard long").parquet(path)
 
-    keys, kept = ("lang", "phrase", "size"), ("lang", "phrase", "size", "reach", "n")
     finished: list[DataFrame] = []
-    active = totals = None
-    maps: dict = {}
-    step = 0
-    while step < shards or maps:
-        seen = stored(scan(texts.where(F.col("shard") == step % shards), step < shards, maps), f"scan-{step}")
-        found = [seen.where("size = 1").select(*keys, F.lit(0).alias("start"), F.lit(None).cast("int").alias("reach"), "n")]
-        if active is not None:
-            found.append(active)
-            before = reduce(DataFrame.union, [*finished, active.where("reach is not null").select(*kept)])
-            longer = _now_active(seen.where("size > 1"), before, step, shards)
-            found.append(longer.select(*keys, "start", F.lit(None).cast("int").alias("reach"), "n"))
-        counts = reduce(DataFrame.union, found).groupBy(*keys).agg(F.max("start").alias("start"), F.min("reach").alias("reach"), F.sum("n").alias("n"))
-        reach = F.coalesce("reach", F.when(F.col("n") >= least, F.lit(step)))
-        counts = stored(counts.withColumn("reach", reach), f"counts-{step}")
-        if step == shards - 1:
-            totals = stored(counts.where("size = 1").groupBy("lang").agg(F.sum("n").alias("n")), "words")
+    active: DataFrame | None = None
+    tables: dict[int, np.ndarray] = {}
+    step, latest = 0, -1
+    while step < shards or step <= latest + shards:
+        seen = scan(texts.where(F.col("shard") == step % shards), step, shards, tables)
+        counts = (seen if active is None else seen.union(active)).groupBy("lang", "phrase", "size", "start").agg(F.sum("n").alias("n"))
         over = F.col("start") + shards - 1 == step
-        finished.append(counts.where(over & F.col("reach").isNotNull()).select(*kept))
+        counts = stored(counts.where(~over | (F.col("n") >= least) | (F.col("size") == 0)), f"counts-{step}")
+        finished.append(counts.where(over).drop("start"))
         active = counts.where(~over)
-        maps = bit_maps(reduce(DataFrame.union, [*finished, active.where("reach is not null").select(*kept)]), step, shards)
+        if mark(counts.where((F.col("n") >= least) & F.col("size").between(1, LONGEST - 1)), step, tables):
+            latest = step
         step += 1
-    return reduce(DataFrame.union, finished).select("lang", "phrase", "size", "n"), totals
+    found = reduce(DataFrame.union, finished)
+    return found.where("size > 0"), found.where("size = 0").select("lang", "n")
 
 
 # ---------------------------------------------------------------- scores
