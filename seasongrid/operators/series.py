@@ -94,3 +94,32 @@ def clamped_delta(current: Column, previous: Column) -> Column:
     """What was added since the previous value, never below zero, as a float."""
     gained = (current - previous).cast("float")
     return F.when(gained < 0, F.lit(0.0).cast("float")).otherwise(gained)
+
+
+def value_spans(df: DataFrame, keys: Sequence[str], at: str, value: str, since: str = "since", until: str = "until") -> DataFrame:
+    """A running maximum as the spans it holds for: ``(keys, since, until, value)``.
+
+    A span begins where the maximum rises and ends, exclusively, where the next
+    begins; the last one is open (null).  Rows without a value or a place on the
+    axis say nothing, and several of one place are one.  There is a row for each
+    rise, however long the axis goes on.
+    """
+    known = df.where(F.col(value).isNotNull() & F.col(at).isNotNull())
+    daily = known.groupBy(*keys, at).agg(F.max(value).alias("_value"))
+    ordered, _ = _group(keys, [at])
+    before = ordered.rowsBetween(Window.unboundedPreceding, -1)
+    earlier = F.max("_value").over(before)
+    rises = daily.withColumn("_earlier", earlier).where(F.col("_earlier").isNull() | (F.col("_value") > F.col("_earlier")))
+    return rises.select(*keys, F.col(at).alias(since), F.lead(at).over(ordered).alias(until), F.col("_value").alias(value))
+
+
+def spans_at(spans: DataFrame, asked: DataFrame, at: str, since: str = "since", until: str = "until") -> DataFrame:
+    """The spans that hold at the places ``asked`` for (column ``at``), one row for each span and place.
+
+    The places travel as one sorted array, and a span unfolds the part of it that
+    it covers: a range join without a product.  There are as many as dates on a
+    report's axis, never more than a calendar has.
+    """
+    places = asked.where(F.col(at).isNotNull()).agg(F.sort_array(F.collect_set(at))).scalar()
+    covered = F.filter("_places", lambda d: (d >= F.col(since)) & (F.col(until).isNull() | (d < F.col(until))))
+    return spans.withColumn("_places", places).withColumn(at, F.explode(covered)).drop("_places", since, until)

@@ -6,6 +6,8 @@ enter a key, so a padded name is one team everywhere.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -118,7 +120,16 @@ def dim_team(teams: DataFrame, entrants: DataFrame, default_colour: str = DEFAUL
 # ---- race dimension and timeline --------------------------------------------
 
 
-def dim_race(calendar: DataFrame) -> DataFrame:
+_RACE = ("Race_Key", "Year", "Grand_Prix", "Circuit_Name", "Date")
+_RACE_CODED = ("Race_Key", "Year", "Grand_Prix", "Circuit_Name", "GP_Display", "Date")
+
+
+def dim_race(calendar: DataFrame, previous: DataFrame | None = None, seasons: Sequence[int] = ()) -> DataFrame:
+    """The races of ``calendar``; of the other seasons those ``previous`` has.
+
+    Codes compare the names of all seasons, which stand in the dimension itself,
+    so a load of some ``seasons`` reads the calendar of these only.
+    """
     races = calendar.select(
         F.col("meeting_key").alias("Race_Key"),
         F.col("year").alias("Year"),
@@ -126,9 +137,10 @@ def dim_race(calendar: DataFrame) -> DataFrame:
         F.col("circuit").alias("Circuit_Name"),
         F.col("date_start").alias("Date"),
     ).distinct()
-    return display_code(races, "Grand_Prix", "Circuit_Name").select(
-        "Race_Key", "Year", "Grand_Prix", "Circuit_Name", "GP_Display", "Date"
-    )
+    if previous is not None:
+        others = previous.where(F.col("Year").isNull() | ~F.col("Year").isin(list(seasons)))
+        races = others.select(*_RACE).unionByName(races)
+    return display_code(races, "Grand_Prix", "Circuit_Name").select(*_RACE_CODED)
 
 
 def timeline_rows(calendar: DataFrame) -> DataFrame:
@@ -143,6 +155,11 @@ def timeline(calendar: DataFrame) -> DataFrame:
     return timeline_rows(calendar).distinct().orderBy("Date", "Race_Key")
 
 
+def timeline_of(dim_race: DataFrame) -> DataFrame:
+    """The same from the race dimension, which has the races of all seasons."""
+    return timeline(dim_race.select(F.col("Date").alias("date_start"), F.col("Race_Key").alias("meeting_key")))
+
+
 # ---- facts ------------------------------------------------------------------
 
 

@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from seasongrid.operators.joins import forward_fill, last_nonblank
+from seasongrid.operators.series import spans_at, value_spans
 from seasongrid.operators.summaries import selected_value
 from seasongrid.plans.gold import SEASON
 from seasongrid.sources.sinks import stored
@@ -90,6 +91,21 @@ def team_points_by_date(
     return filled.drop("_race").where(F.col("Team_Points").isNotNull())
 
 
+def team_point_spans(star: DataFrame, by: Sequence[str] = TEAM, years: Sequence[int] | None = None) -> DataFrame:
+    """Season points on a date axis as the spans they hold for, the form to store.
+
+    A key has a row for each rise of its points, whether seasons follow or not,
+    where :func:`team_points_by_date` has one for each later date.
+    """
+    facts = _visible(star, years).select(*by, "Date", _points().alias("Team_Points"))
+    return value_spans(facts, by, "Date", "Team_Points")
+
+
+def team_points_on(spans: DataFrame, dates: DataFrame) -> DataFrame:
+    """Season points on the dates asked for (column ``Date``), from stored spans; blank before a key's first."""
+    return spans_at(spans, dates, "Date")
+
+
 def draw_team_points(
     star: DataFrame,
     dim_race: DataFrame,

@@ -1,7 +1,8 @@
 """Typed tables from landed records.
 
 Every builder takes accepted records of :mod:`seasongrid.sources.landing`.
-``loaded_at`` is the load stamp, by default the time of the run.
+``loaded_at`` is the load stamp, by default the time of the run; ``schemas`` the
+version of the declared schemas the records were scanned with.
 """
 
 from __future__ import annotations
@@ -15,32 +16,43 @@ from seasongrid.config import Assets
 from seasongrid.functions.cast import to_type
 from seasongrid.functions.text import default_if_blank, folder_name, hex_colour, logo_url
 from seasongrid.operators.dedup import first_per_group
-from seasongrid.schemas import TYPED_COLUMNS
+from seasongrid.schemas import Schemas
 from seasongrid.sources.landing import with_path_columns, with_season_by_pattern
 
 
-def typed_columns(records: DataFrame, entity: str, *more: str | Column) -> DataFrame:
+def typed_columns(records: DataFrame, entity: str, *more: str | Column, schemas: Schemas = Schemas()) -> DataFrame:
     """The declared columns of an entity in their types, and ``more`` columns."""
-    casts = [to_type(F.col(landed), kind).alias(name) for landed, name, kind in TYPED_COLUMNS[entity]]
-    return records.select(*casts, *more)
+    defaults = schemas.defaults(entity)
 
+    def typed(landed: str, name: str, kind: str) -> Column:
+        value = to_type(F.col(landed), kind)
+        return (F.coalesce(value, F.expr(defaults[name]).cast(kind)) if name in defaults else value).alias(name)
 
-def _typed(records: DataFrame, entity: str, *more: str | Column, loaded_at: Column | None) -> DataFrame:
+    return records.select(*[typed(*column) for column in schemas.columns(entity)], *more)
+
+
+def _typed(
+    records: DataFrame, entity: str, *more: str | Column, loaded_at: Column | None, schemas: Schemas
+) -> DataFrame:
     """The same with the load stamp."""
     stamp = F.current_timestamp() if loaded_at is None else loaded_at
-    return typed_columns(records, entity, *more).withColumn("ingestion_date", stamp)
+    return typed_columns(records, entity, *more, schemas=schemas).withColumn("ingestion_date", stamp)
 
 
-def driver_standings(records: DataFrame, loaded_at: Column | None = None) -> DataFrame:
+def driver_standings(
+    records: DataFrame, loaded_at: Column | None = None, schemas: Schemas = Schemas()
+) -> DataFrame:
     """Entrant standings by race; a row needs an entrant and a position."""
     located = with_path_columns(records)
-    typed = _typed(located, "drivers_standings", "race_folder_name", "year", loaded_at=loaded_at)
+    typed = _typed(located, "drivers_standings", "race_folder_name", "year", loaded_at=loaded_at, schemas=schemas)
     return typed.na.drop(subset=["driver_number", "position"])
 
 
-def team_standings(records: DataFrame, loaded_at: Column | None = None) -> DataFrame:
+def team_standings(
+    records: DataFrame, loaded_at: Column | None = None, schemas: Schemas = Schemas()
+) -> DataFrame:
     """Team standings by race; a row needs a team and a position."""
-    typed = _typed(with_path_columns(records), "teams_standings", "year", loaded_at=loaded_at)
+    typed = _typed(with_path_columns(records), "teams_standings", "year", loaded_at=loaded_at, schemas=schemas)
     return typed.na.drop(subset=["team_name", "position"])
 
 
@@ -49,16 +61,23 @@ def is_race_meeting(name: Column) -> Column:
     return ~name.contains("Testing")
 
 
-def calendar(records: DataFrame, loaded_at: Column | None = None) -> DataFrame:
+def calendar(
+    records: DataFrame, loaded_at: Column | None = None, schemas: Schemas = Schemas()
+) -> DataFrame:
     """Race meetings; the season is a value of the record, not of the path."""
     races = records.where(is_race_meeting(F.col("meeting_name")))
-    return _typed(races, "circuits", loaded_at=loaded_at)
+    return _typed(races, "circuits", loaded_at=loaded_at, schemas=schemas)
 
 
-def roster(records: DataFrame, assets: Assets = Assets(), loaded_at: Column | None = None) -> DataFrame:
+def roster(
+    records: DataFrame,
+    assets: Assets = Assets(),
+    loaded_at: Column | None = None,
+    schemas: Schemas = Schemas(),
+) -> DataFrame:
     """Roster records, one per race and entrant as landed."""
     located = with_season_by_pattern(with_path_columns(records))
-    typed = _typed(located, "drivers", "race_folder_name", "year", loaded_at=loaded_at)
+    typed = _typed(located, "drivers", "race_folder_name", "year", loaded_at=loaded_at, schemas=schemas)
     return typed.withColumns(
         {
             "headshot_url": default_if_blank(F.col("headshot_url"), assets.default_photo),

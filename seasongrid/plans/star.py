@@ -6,33 +6,49 @@ without a dimension row keeps its row, with blank dimension columns.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from seasongrid.plans.gold import SEASON
+
+
+_RACE = ("Year", "Grand_Prix", "Circuit_Name", "GP_Display", "Date")
+_TEAM = ("Team", "Team_Logo", "Hex_Color")
+_DRIVER = ("Number", "Driver", "Driver_Photo", "Driver_Country", "Season_Rank_Sort")
+
 
 def _race_columns(dim_race: DataFrame) -> DataFrame:
-    return dim_race.select("Race_Key", "Year", "Grand_Prix", "Circuit_Name", "GP_Display", "Date")
+    return dim_race.select("Race_Key", *_RACE)
+
 
+def _lookup(facts: DataFrame, dimension: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
+    """Columns of a dimension, joined by key, and by season where the facts have theirs.
 
-def _team_columns(dim_team: DataFrame) -> DataFrame:
-    return dim_team.select("Team_Key", "Team", "Team_Logo", "Hex_Color")
+    A key belongs to one season, so the season changes no result.  It lets a
+    filter on the dimension's ``Year`` reach the partitions of the facts, and one
+    on the facts' season those of the dimension.
+    """
+    if SEASON not in facts.columns:
+        return facts.join(dimension.select(key, *columns), key, "left")
+    named = dimension.select(F.col(key).alias("_key"), F.col("Year").alias("_of"), *columns)
+    same = (F.col(key) == F.col("_key")) & (F.col(SEASON) == F.col("_of"))
+    return facts.join(named, same, "left").drop("_key", "_of")
+
+
+def with_race(facts: DataFrame, dim_race: DataFrame) -> DataFrame:
+    """Facts with the columns of their race."""
+    return _lookup(facts, dim_race, "Race_Key", _RACE)
 
 
 def driver_star(fact: DataFrame, dim_driver: DataFrame, dim_race: DataFrame, dim_team: DataFrame) -> DataFrame:
-    drivers = dim_driver.select(
-        "Driver_Key", "Number", "Driver", "Driver_Photo", "Driver_Country", "Season_Rank_Sort"
-    )
-    return (
-        fact.join(_race_columns(dim_race), "Race_Key", "left")
-        .join(_team_columns(dim_team), "Team_Key", "left")
-        .join(drivers, "Driver_Key", "left")
-    )
+    teams = _lookup(with_race(fact, dim_race), dim_team, "Team_Key", _TEAM)
+    return _lookup(teams, dim_driver, "Driver_Key", _DRIVER)
 
 
 def team_star(fact: DataFrame, dim_team: DataFrame, dim_race: DataFrame) -> DataFrame:
-    return fact.join(_race_columns(dim_race), "Race_Key", "left").join(
-        _team_columns(dim_team), "Team_Key", "left"
-    )
+    return _lookup(with_race(fact, dim_race), dim_team, "Team_Key", _TEAM)
 
 
 def timeline_star(timeline: DataFrame, dim_race: DataFrame) -> DataFrame:

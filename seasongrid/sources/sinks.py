@@ -2,7 +2,8 @@
 
 Partition overwrite is chosen per write, never through the session, and
 always on a path: a Parquet ``saveAsTable`` would replace every season.  ``fmt``
-is any file or table format the session has.
+is any file or table format the session has.  Loads of several tables write
+through :mod:`seasongrid.sources.stores`, which shows them all at once.
 """
 
 from __future__ import annotations
@@ -10,10 +11,14 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
+from pyspark.sql import DataFrame, DataFrameWriter
 from pyspark.sql import functions as F
 
 from seasongrid.session import fresh_dir
+from seasongrid.sources.files import Folder
+
+#: Formats that are nothing but their files; others keep a log of them, and are changed through it.
+PLAIN_FORMATS = frozenset({"parquet", "orc", "json", "csv", "avro", "text"})
 
 
 def balanced(df: DataFrame, by: Sequence[str]) -> DataFrame:
@@ -41,20 +46,23 @@ def overwrite_seasons(
 ) -> None:
     """Replace only the partitions present in ``df``, and all of ``seasons`` if they are given.
 
-    A given season without rows in ``df`` ends empty.  Its files go before the
-    write, so a load that fails in between has to be run again.
+    The write itself replaces old files when it commits, so one that fails
+    leaves them.  Only then the given seasons that got no new file are emptied.
+    A format with a log of its own does both in one commit.
     """
-    if seasons is not None:
-        _clear(df.sparkSession, path, [f"{by[0]}={season}" for season in seasons])
     rows = balanced(df, by) if arrange else df
-    _overwriting(rows, fmt, "dynamic").partitionBy(*by).save(path)
-
-
-def _clear(spark: SparkSession, path: str, partitions: Sequence[str]) -> None:
-    context = spark.sparkContext
-    for partition in partitions:
-        folder = context._jvm.org.apache.hadoop.fs.Path(f"{path}/{partition}")
-        folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)
+    if seasons is None:
+        _overwriting(rows, fmt, "dynamic").partitionBy(*by).save(path)
+    elif fmt in PLAIN_FORMATS:
+        folders = [Folder(df.sparkSession, f"{path}/{by[0]}={season}") for season in seasons]
+        before = [folder.files() for folder in folders]
+        _overwriting(rows, fmt, "dynamic").partitionBy(*by).save(path)
+        for folder, files in zip(folders, before, strict=True):
+            if folder.files() == files:
+                folder.delete()
+    else:
+        these = f"{by[0]} IN ({', '.join(str(int(season)) for season in seasons)})" if seasons else "false"
+        _overwriting(rows, fmt, "static").option("replaceWhere", these).partitionBy(*by).save(path)
 
 
 def overwrite_table(df: DataFrame, path: str, fmt: str = "parquet", by: Sequence[str] = ()) -> None:

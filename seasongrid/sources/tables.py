@@ -7,6 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from seasongrid.schemas import Schemas
+from seasongrid.sources.stores import FolderStore
+
 SILVER_TABLES = ("drivers_standings", "teams_standings", "circuits", "drivers_by_race", "drivers", "teams")
 GOLD_TABLES = (
     "dim_driver",
@@ -34,22 +37,27 @@ def read_table(
 
 
 def _register(
-    spark: SparkSession, root: str, names: Sequence[str], prefix: str, fmt: str
+    spark: SparkSession, root: str, names: Sequence[str], prefix: str, fmt: str, schemas: Schemas
 ) -> dict[str, DataFrame]:
-    tables = {name: read_table(spark, f"{root}/{name}", fmt=fmt) for name in names}
+    store = FolderStore(spark, root, fmt, schemas)
+    tables = {name: store.read(name) for name in names}
     for name, table in tables.items():
         table.createOrReplaceTempView(f"{prefix}_{name}")
     return tables
 
 
-def register_silver(spark: SparkSession, silver_root: str, fmt: str = "parquet") -> dict[str, DataFrame]:
-    """Expose the typed tables as views named ``silver_*``."""
-    return _register(spark, silver_root, SILVER_TABLES, "silver", fmt)
+def register_silver(
+    spark: SparkSession, silver_root: str, fmt: str = "parquet", schemas: Schemas = Schemas()
+) -> dict[str, DataFrame]:
+    """Expose the typed tables, in their declared schema, as views named ``silver_*``."""
+    return _register(spark, silver_root, SILVER_TABLES, "silver", fmt, schemas)
 
 
-def register_star(spark: SparkSession, gold_root: str, fmt: str = "parquet") -> dict[str, DataFrame]:
-    """Expose the star as views named ``gold_*``, read in place."""
-    return _register(spark, gold_root, GOLD_TABLES, "gold", fmt)
+def register_star(
+    spark: SparkSession, gold_root: str, fmt: str = "parquet", schemas: Schemas = Schemas()
+) -> dict[str, DataFrame]:
+    """Expose the star, in its declared schema, as views named ``gold_*``, read in place."""
+    return _register(spark, gold_root, GOLD_TABLES, "gold", fmt, schemas)
 
 
 def create_tables(

@@ -9,7 +9,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from seasongrid.operators.dedup import collapse_copies, expand_copies, first_per_group
-from seasongrid.operators.series import clamped_delta, previous_value, running_max
+from seasongrid.operators.series import clamped_delta, previous_value, running_max, spans_at, value_spans
 
 SCHEMA = "name string, race int, points float"
 
@@ -90,3 +90,20 @@ def test_copies_survive_the_round_trip(make, monkeypatch, width):
     assert rows(back.groupBy("k", "v").agg(F.count("*").alias("n"), F.max("copy").alias("top"))) == [
         ("x", 1.5, 11, 11), ("y", 2.0, 4, 4), ("z", None, 1, 1)
     ]
+
+
+def test_spans_of_a_running_maximum(make):
+    df = make("k string, d int, v double", ("a", 1, 5.0), ("a", 1, 3.0), ("a", 3, 5.0), ("a", 4, 2.0), ("a", 6, 9.0), ("a", None, 99.0), ("b", 2, None), ("b", 5, 1.0), (None, 4, 2.0))
+    spans = value_spans(df, ["k"], "d", "v")
+    assert rows(spans, "k", "since", "until", "v") == [(None, 4, None, 2.0), ("a", 1, 6, 5.0), ("a", 6, None, 9.0), ("b", 5, None, 1.0)]
+    asked = make("d int", (0,), (1,), (5,), (6,), (100,), (5,), (None,))
+    got = rows(spans_at(spans, asked, "d"), "k", "d", "v")
+    assert got == [(None, 5, 2.0), (None, 6, 2.0), (None, 100, 2.0), ("a", 1, 5.0), ("a", 5, 5.0), ("a", 6, 9.0), ("a", 100, 9.0), ("b", 5, 1.0), ("b", 6, 1.0), ("b", 100, 1.0)]
+    assert spans_at(spans, asked.where("false"), "d").count() == 0
+
+
+def test_spans_do_not_grow_with_later_dates(make, spark):
+    later = spark.range(500).selectExpr("'b' as k", "cast(id + 10 as int) as d", "cast(id as double) as v")
+    early = make("k string, d int, v double", ("a", 1, 5.0), ("a", 2, 7.0))
+    spans = value_spans(early.unionByName(later), ["k"], "d", "v")
+    assert spans.where("k = 'a'").count() == 2

@@ -220,6 +220,34 @@ def _display() -> str:
         FROM driver_star"""
 
 
+_BOTH_FACTS = """
+        SELECT CAST(Driver_Key AS VARCHAR) AS entity, * EXCLUDE (Driver_Key) FROM fact_driver
+        UNION ALL BY NAME SELECT 'team' AS entity, * FROM fact_team"""
+
+# Points of a team on every race day since its first.
+_RUNNING = """
+        SELECT s.Team_Key, r.Date, CAST(max(s.Season_Points) AS DOUBLE) AS Team_Points
+        FROM dim_race r JOIN team_star s ON s.Date <= r.Date GROUP BY 1, 2"""
+
+_RESULTS = "SELECT CAST(Race_Key // 100 AS INTEGER) AS year, count(*) AS results FROM fact_driver GROUP BY 1"
+
+
+def _watch_counts() -> str:
+    """Rows of every watched table, repeated keys of dimensions, keys of facts that no dimension row has."""
+    dimensions = {"dim_driver": "Driver_Key", "dim_team": "Team_Key", "dim_race": "Race_Key"}
+    facts = {"fact_driver": dimensions, "fact_team": {k: v for k, v in dimensions.items() if k != "dim_driver"}}
+    counts = []
+    for table, key in dimensions.items():
+        counts.append(f"SELECT '{table}' AS table_name, 'rows' AS counted, count(*) AS n FROM {table}")
+        counts.append(f"SELECT '{table}', 'duplicate_keys', count(*) - count(DISTINCT {key}) FROM {table}")
+    for table, used in facts.items():
+        counts.append(f"SELECT '{table}_results', 'rows', count(*) FROM {table}")
+        for dimension, key in used.items():
+            known = f"SELECT {key} FROM {dimension} WHERE {key} IS NOT NULL"
+            counts.append(f"SELECT '{table}_results', 'orphans_{key}', count(*) FROM {table} WHERE {key} NOT IN ({known})")
+    return " UNION ALL ".join(counts)
+
+
 _QUERIES: dict[str, str] = {
     # scans and sinks
     "scan_json_glob": f"SELECT {_ORDERS} FROM orders",
@@ -240,6 +268,12 @@ _QUERIES: dict[str, str] = {
                CASE o_orderstatus WHEN 'P' THEN '{"o_orderkey":' || o_orderkey || ',"o_cust'
                                   WHEN 'O' THEN 'no order ' || o_orderkey END AS payload
         FROM orders""",
+    "scan_rescued_fields": f"""
+        SELECT o_orderkey, {_YEAR} AS year,
+               CASE o_orderstatus WHEN 'F' THEN 2 WHEN 'P' THEN 1 ELSE 0 END AS unknown_fields,
+               nullif(o_orderstatus, 'O') AS status,
+               CASE WHEN o_orderstatus = 'F' THEN '{{"key":' || o_custkey || '}}' END AS customer
+        FROM orders""",
     "scan_table": "SELECT c_custkey, c_name, c_mktsegment FROM customer",
     "scan_catalog_table": f"SELECT o_orderkey, o_totalprice, {_YEAR} AS year FROM orders",
     "scan_season_pruned": f"""
@@ -266,9 +300,23 @@ _QUERIES: dict[str, str] = {
     "silver_calendar": _MEETINGS.format(stamp=_STAMP),
     "silver_entrants": "SELECT * FROM entrants",
     "silver_teams": "SELECT * FROM teams",
-    "incremental_season_load": """
-        SELECT CAST(Driver_Key AS VARCHAR) AS entity, * EXCLUDE (Driver_Key) FROM fact_driver
-        UNION ALL BY NAME SELECT 'team' AS entity, * FROM fact_team""",
+    "incremental_season_load": _BOTH_FACTS,
+    "season_reload_failed": _BOTH_FACTS,
+    "season_switch": _BOTH_FACTS,
+    "schema_growth_load": f"""
+        SELECT year, count(*) AS standings, count(*) FILTER (laps = -1) AS unknown,
+               CAST(sum(laps) FILTER (laps >= 0) AS BIGINT) AS laps, results
+        FROM (SELECT year, CASE WHEN year >= 1997 AND driver_number % 3 > 0 THEN driver_number % 50 ELSE -1 END AS laps
+              FROM standings)
+        LEFT JOIN ({_RESULTS}) USING (year) GROUP BY year, results""",
+    "load_watch_counts": _watch_counts(),
+    "catalog_driven_load": f"""
+        SELECT c.year, count(*) AS rounds, max(folder) AS last_folder, results,
+               CASE WHEN c.year = 1994 THEN 2 ELSE 1 END AS loaded_by
+        FROM (SELECT year, lpad(CAST(row_number() OVER (PARTITION BY year ORDER BY date_start) AS VARCHAR), 2, '0')
+                           || '_' || replace(meeting_name, ' ', '_') AS folder
+              FROM meetings WHERE meeting_key IN (SELECT meeting_key FROM session_records)) c
+        JOIN ({_RESULTS}) f ON f.year = c.year GROUP BY c.year, results""",
     "load_team_at_race": "SELECT * FROM fact_driver_at_race",
     # projections and filters
     "project_typed": """
@@ -444,6 +492,12 @@ _QUERIES: dict[str, str] = {
         SELECT s.Team_Key, r.Date, CAST(max(s.Season_Points) AS DOUBLE) AS Team_Points
         FROM dim_race r JOIN team_star s ON s.Date <= r.Date
         WHERE r.Date <= {_CUTOFF} GROUP BY 1, 2""",
+    "measure_point_spans": f"""
+        SELECT Team_Key, min(Date) AS since, lead(min(Date)) OVER (PARTITION BY Team_Key ORDER BY min(Date)) AS until, Team_Points
+        FROM ({_RUNNING}) GROUP BY Team_Key, Team_Points""",
+    "measure_points_on_dates": f"""
+        SELECT p.* FROM ({_RUNNING}) p
+        JOIN (SELECT min(Date) AS Date FROM dim_race GROUP BY date_trunc('quarter', Date)) q ON q.Date = p.Date""",
     "measure_team_ranks": f"""
         SELECT d.Team_Key, r.Year, r.Race_Key, r.Date, arg_max(d.rank, d.Date) AS Team_Ranks
         FROM dim_race r JOIN team_daily d ON d.Year = r.Year AND d.Date <= r.Date

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from seasongrid.functions.cast import to_type
 from seasongrid.functions.text import folder_from_path, season_from_path
+from seasongrid.operators.quality import Limits, LoadRejected
 from seasongrid.plans import gold, job, silver
-from seasongrid.schemas import CORRUPT
+from seasongrid.schemas import CORRUPT, Added, Schemas
 from seasongrid.session import fresh_dir
 from seasongrid.sources import landing, sinks
 from seasongrid.sources.tables import create_tables, read_table, register_star
@@ -116,6 +120,30 @@ def scan_quarantine(s: Standins) -> DataFrame:
     )
 
 
+@query
+def scan_rescued_fields(s: Standins) -> DataFrame:
+    """Only the key is declared; status, price and a nested customer come along, differently by status."""
+    status = F.col("o_orderstatus")
+    customer = F.struct(F.col("o_custkey").alias("key"))
+    orders = _orders(s).select(
+        "o_orderkey",
+        F.when(status != "O", status).alias("o_orderstatus"),
+        F.when(status == "F", customer).alias("customer"),
+        F.col("year").alias("season"),
+        "race_folder",
+    )
+    root = f"{fresh_dir(s.spark, 'rescue')}/bronze"
+    sinks.land_json(orders, root, "orders", FOLDERS)
+    scan = landing.scan_rescued(s.spark, root, landing.entity_files("orders"), ["o_orderkey"])
+    return landing.with_season_by_pattern(scan).select(
+        to_type(F.col("o_orderkey"), "long").alias("o_orderkey"),
+        "year",
+        F.coalesce(F.size(landing.RESCUED), F.lit(0)).alias("unknown_fields"),
+        F.try_element_at(landing.RESCUED, F.lit("o_orderstatus")).alias("status"),
+        F.try_element_at(landing.RESCUED, F.lit("customer")).alias("customer"),
+    )
+
+
 # ---- table scans ------------------------------------------------------------
 
 
@@ -302,6 +330,33 @@ def silver_teams(s: Standins) -> DataFrame:
     return silver.teams(standings, ASSETS)
 
 
+def _land_all(s: Standins, bronze: str, driver_records: DataFrame | None = None) -> list[int]:
+    """Every season's records in its folders; the seasons."""
+    _land(bronze, "drivers_standings", s.driver_records if driver_records is None else driver_records)
+    _land(bronze, "teams_standings", s.team_records)
+    _land(bronze, "drivers", s.roster_records.drop("pts", "pen"))
+    _land(bronze, "circuits", _meeting_records(s), folder=False)
+    # one number for each season of the calendar
+    return sorted(r[0] for r in _meeting_records(s).select("year").distinct().collect())
+
+
+def _doubled(s: Standins, season: int) -> DataFrame:
+    """Driver records with twice the points in one season."""
+    points = F.col("points_current")
+    return s.driver_records.withColumn("points_current", F.when(F.col("year") == season, points * 2).otherwise(points))
+
+
+def _last_season(s: Standins) -> int:
+    return s.meetings.agg(F.max("year")).first()[0]
+
+
+def _both_facts(drivers: DataFrame, teams: DataFrame) -> DataFrame:
+    drivers, teams = drivers.drop(gold.SEASON), teams.drop(gold.SEASON)
+    return drivers.withColumn("entity", F.col("Driver_Key").cast("string")).drop("Driver_Key").unionByName(
+        teams.withColumn("entity", F.lit("team"))
+    )
+
+
 @query
 def incremental_season_load(s: Standins) -> DataFrame:
     """Every season loaded, then the last one landed and loaded again.
@@ -309,15 +364,9 @@ def incremental_season_load(s: Standins) -> DataFrame:
     At first its points are delivered doubled; the second landing is right.
     """
     root = fresh_dir(s.spark, "load")
-    # one number for each season of the calendar
-    seasons = sorted(r[0] for r in _meeting_records(s).select("year").distinct().collect())
-    bronze, last = f"{root}/bronze", seasons[-1]
-    doubled = F.when(F.col("year") == last, F.col("points_current") * 2).otherwise(F.col("points_current"))
+    bronze, last = f"{root}/bronze", _last_season(s)
     roster = s.roster_records.drop("pts", "pen")
-    _land(bronze, "drivers_standings", s.driver_records.withColumn("points_current", doubled))
-    _land(bronze, "teams_standings", s.team_records)
-    _land(bronze, "drivers", roster)
-    _land(bronze, "circuits", _meeting_records(s), folder=False)
+    seasons = _land_all(s, bronze, _doubled(s, last))
     job.run(s.spark, seasons, root, "season={year}", ASSETS, loaded_at())
 
     def corrected(records: DataFrame) -> DataFrame:
@@ -334,22 +383,135 @@ def incremental_season_load(s: Standins) -> DataFrame:
         f"{bronze}/season={last}",
     )
     job.run(s.spark, [last], root, "season={year}", ASSETS, loaded_at())
-    drivers = read_table(s.spark, f"{root}/gold/fact_driver_results").drop(gold.SEASON)
-    teams = read_table(s.spark, f"{root}/gold/fact_team_results").drop(gold.SEASON)
-    return drivers.withColumn("entity", F.col("Driver_Key").cast("string")).drop("Driver_Key").unionByName(
-        teams.withColumn("entity", F.lit("team"))
+    return _both_facts(*(read_table(s.spark, f"{root}/gold/{name}") for name in ("fact_driver_results", "fact_team_results")))
+
+
+@query
+def season_reload_failed(s: Standins) -> DataFrame:
+    """Two reloads of the last season fail, one while writing and one at its limits: readers keep the season as it was."""
+    root = fresh_dir(s.spark, "failed")
+    bronze, last = f"{root}/bronze", _last_season(s)
+    names = f"c{uuid.uuid4().hex[:12]}_"
+    seasons = _land_all(s, bronze)
+    job.run(s.spark, seasons, root, "season={year}", ASSETS, loaded_at(), catalog=names)
+
+    def gone(records: DataFrame) -> DataFrame:
+        season = records.where(F.col("year") == last).drop("year")
+        return season.withColumn("race_folder", race_folder(F.col("meeting_key")))
+
+    sinks.replace_season(
+        {
+            "drivers_standings": gone(_doubled(s, last)),
+            "teams_standings": gone(s.team_records),
+            "drivers": gone(s.roster_records.drop("pts", "pen")).where("driver_number % 2 = 0"),
+            "circuits": _meeting_records(s).where(F.col("year") == last),
+        },
+        f"{bronze}/season={last}",
     )
+    lost = F.raise_error(F.lit("an executor went away")).cast("timestamp")
+    for stamp, limits, error in ((lost, None, Exception), (loaded_at(), Limits(orphan_keys=0), LoadRejected)):
+        try:
+            job.run(s.spark, [last], root, "season={year}", ASSETS, stamp, catalog=names, limits=limits)
+        except error:
+            continue
+        raise AssertionError("the load was to fail")
+    return _both_facts(s.spark.table(f"{names}gold_fact_driver_results"), s.spark.table(f"{names}gold_fact_team_results"))
 
 
 @query
-def load_team_at_race(s: Standins) -> DataFrame:
-    """All seasons landed and loaded, each result with the team of its day."""
-    root = fresh_dir(s.spark, "transfers")
+def season_switch(s: Standins) -> DataFrame:
+    """The last season loaded twice into the catalog: its partition points to the new files, the old ones are left to running readers, then dropped."""
+    root = fresh_dir(s.spark, "switch")
+    bronze, last = f"{root}/bronze", _last_season(s)
+    names = f"c{uuid.uuid4().hex[:12]}_"
+    seasons = _land_all(s, bronze, _doubled(s, last))
+    job.run(s.spark, seasons, root, "season={year}", ASSETS, loaded_at(), catalog=names)
+    records = s.driver_records.where(F.col("year") == last).drop("year")
+    season = f"{bronze}/season={last}"
+    sinks.replace_season(
+        {
+            "drivers_standings": records.withColumn("race_folder", race_folder(F.col("meeting_key"))),
+            **{
+                entity: table.where(F.col("year") == last).drop("year").withColumn("race_folder", race_folder(F.col("meeting_key")))
+                for entity, table in (("teams_standings", s.team_records), ("drivers", s.roster_records.drop("pts", "pen")))
+            },
+            "circuits": _meeting_records(s).where(F.col("year") == last),
+        },
+        season,
+    )
+    job.run(s.spark, [last], root, "season={year}", ASSETS, loaded_at(), catalog=names)
+    _, star = job.stores(s.spark, root, catalog=names)
+    for name in ("fact_driver_results", "fact_team_results"):
+        star.drop_unused(name)
+    return _both_facts(s.spark.table(f"{names}gold_fact_driver_results"), s.spark.table(f"{names}gold_fact_team_results"))
+
+
+@query
+def schema_growth_load(s: Standins) -> DataFrame:
+    """Seasons loaded before and after the source brings the laps led; older files show the default."""
+    root = fresh_dir(s.spark, "growth")
+    bronze = f"{root}/bronze"
+    laps = F.when((F.col("year") >= 1997) & (F.col("driver_number") % 3 > 0), F.col("driver_number") % 50)
+    seasons = _land_all(s, bronze, s.driver_records.withColumn("laps_led_total", laps))
+    older = [year for year in seasons if year < 1998]
+    job.run(s.spark, older, root, "season={year}", ASSETS, loaded_at())
+    grown = Schemas((Added("drivers_standings", "laps_led_total", "laps_led", "int", "-1"),))
+    newer = [year for year in seasons if year >= 1997]
+    job.run(s.spark, newer, root, "season={year}", ASSETS, loaded_at(), schemas=grown)
+    typed, star = job.stores(s.spark, root, schemas=grown)
+    results = star.read("fact_driver_results").groupBy(F.col(gold.SEASON).alias("year")).agg(F.count(F.lit(1)).alias("results"))
+    led = typed.read("drivers_standings").groupBy("year").agg(
+        F.count(F.lit(1)).alias("standings"),
+        F.count_if(F.col("laps_led") == -1).alias("unknown"),
+        F.sum(F.when(F.col("laps_led") >= 0, F.col("laps_led"))).alias("laps"),
+    )
+    return led.join(results, "year", "left")
+
+
+@query
+def load_watch_counts(s: Standins) -> DataFrame:
+    """What a load counts while it writes: rows, repeated keys and keys without a dimension row, by table."""
+    root = fresh_dir(s.spark, "watch")
+    seasons = _land_all(s, f"{root}/bronze")
+    report = job.run(s.spark, seasons, root, "season={year}", ASSETS, loaded_at(), limits=Limits())
+    rows = [(table, rule, n) for table, counts in report.counts.items() for rule, n in counts.items()]
+    return s.spark.createDataFrame(rows, "table_name string, counted string, n long")
+
+
+@query
+def catalog_driven_load(s: Standins) -> DataFrame:
+    """Loads without a list of seasons: one is incomplete at first, one lands again, and a last call finds nothing to do."""
+    root = fresh_dir(s.spark, "due")
     bronze = f"{root}/bronze"
+    held_back = F.col("meeting_key") == 199412
+    sessions = s.session_records.withColumns({"session_type": F.lit("Race"), "year": (F.col("meeting_key") / 100).cast("int")})
+    months = s.meetings.select("meeting_key")
+    sessions = sessions.withColumnRenamed("session_start", "date_start")
+    _land(bronze, "sessions", sessions.join(months, "meeting_key"))
     _land(bronze, "drivers_standings", s.driver_records)
     _land(bronze, "teams_standings", s.team_records)
-    _land(bronze, "drivers", s.roster_records.drop("pts", "pen"))
+    roster = s.roster_records.drop("pts", "pen")
+    _land(bronze, "drivers", roster.where(~held_back))
     _land(bronze, "circuits", _meeting_records(s), folder=False)
-    seasons = sorted(r[0] for r in _meeting_records(s).select("year").distinct().collect())
+
+    def due() -> list[int]:
+        return job.run(s.spark, None, root, "season={year}", ASSETS, loaded_at()).seasons
+
+    first = due()
+    _land(bronze, "drivers", roster.where(held_back))
+    second, third = due(), due()
+    assert third == []
+    typed, star = job.stores(s.spark, root)
+    facts = star.read("fact_driver_results").groupBy(F.col(gold.SEASON).alias("year")).agg(F.count(F.lit(1)).alias("results"))
+    order = F.when(F.col("year").isin(first), 1).when(F.col("year").isin(second), 2)
+    rounds = typed.read("seasons").groupBy("year").agg(F.count(F.lit(1)).alias("rounds"), F.max("folder_name").alias("last_folder"))
+    return rounds.join(facts, "year").withColumn("loaded_by", order)
+
+
+@query
+def load_team_at_race(s: Standins) -> DataFrame:
+    """All seasons landed and loaded, each result with the team of its day."""
+    root = fresh_dir(s.spark, "transfers")
+    seasons = _land_all(s, f"{root}/bronze")
     job.run(s.spark, seasons, root, "season={year}", ASSETS, loaded_at(), team_at_race=True)
     return read_table(s.spark, f"{root}/gold/fact_driver_results").drop(gold.SEASON)

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from seasongrid.plans import gold, measures, silver, star
+from seasongrid.sources.sinks import stored
 from workload.registry import query
 from workload.standins import Standins
 
@@ -97,6 +98,19 @@ def measure_points_by_date(s: Standins) -> DataFrame:
     return measures.team_points_by_date(s.team_star, s.dim_race, play_until=CUTOFF)
 
 
+@query
+def measure_point_spans(s: Standins) -> DataFrame:
+    return measures.team_point_spans(s.team_star)
+
+
+@query
+def measure_points_on_dates(s: Standins) -> DataFrame:
+    """The first race day of every quarter, read from stored spans."""
+    spans = stored(measures.team_point_spans(s.team_star), "spans")
+    quarters = s.dim_race.groupBy(F.date_trunc("quarter", "Date")).agg(F.min("Date").alias("Date"))
+    return measures.team_points_on(spans, quarters)
+
+
 @query
 def measure_team_ranks(s: Standins) -> DataFrame:
     return measures.team_ranks_by_race(s.team_star, s.dim_race, play_until=CUTOFF)
