@@ -20,15 +20,29 @@ _M2 = np.uint64(0xBF58476D1CE4E5B9)
 _S = np.uint64(29)
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+#: Bytes of a batch on its way to a Python worker while a table is written: both sides hold a few of them.
+BATCH = 8 << 20
+_BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def stored(df: DataFrame, name: str, batch: int | None = BATCH) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
     Cuts the lineage, so that later jobs survive lost executors without a new
-    run of everything before, and gives Spark the true size.
+    run of everything before, and gives Spark the true size.  Batches for Python
+    have about ``batch`` bytes, the session's size if ``None``.
     """
-    path = fresh_dir(df.sparkSession, name)
-    df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path = fresh_dir(spark, name)
+    before = spark.conf.get(_BATCH_SETTING, None)
+    if batch:
+        spark.conf.set(_BATCH_SETTING, str(batch))
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        if batch and before is not None:
+            spark.conf.set(_BATCH_SETTING, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -76,19 +90,26 @@ def starts_of_runs(*columns: np.ndarray) -> np.ndarray:
     return np.flatnonzero(new)
 
 
-def whole_runs(batches: Iterator[pa.RecordBatch], keys: Sequence[str], rows: int = 200_000) -> Iterator[pa.Table]:
+def _pieces(batch: pa.RecordBatch, rows: int, room: int) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch with about as many rows or bytes each."""
+    step = max(1, min(rows, batch.num_rows * room // max(batch.nbytes, 1)))
+    return (batch.slice(at, step) for at in range(0, batch.num_rows, step))
+
+
+def whole_runs(
+    batches: Iterator[pa.RecordBatch], keys: Sequence[str], rows: int = 200_000, room: int = 64 << 20
+) -> Iterator[pa.Table]:
     """Tables cut only where the keys change, from batches that are sorted by them.
 
-    A table holds about ``rows`` rows and never part of a run.
+    A table holds about ``rows`` rows or ``room`` bytes and never part of a run.
     """
     held: list[pa.RecordBatch] = []
-    size = 0
-    for batch in batches:
-        if batch.num_rows == 0:
-            continue
+    size = space = 0
+    for batch in (piece for whole in batches for piece in _pieces(whole, rows, room)):
         held.append(batch)
         size += batch.num_rows
-        if size < rows:
+        space += batch.nbytes
+        if size < rows and space < room:
             continue
         table_ = pa.Table.from_batches(held).combine_chunks()
         last = int(starts_of_runs(*(table_[k].to_numpy() for k in keys))[-1])
@@ -96,8 +117,8 @@ def whole_runs(batches: Iterator[pa.RecordBatch], keys: Sequence[str], rows: int
             yield table_.slice(0, last)
         rest = table_.slice(last).combine_chunks()
         held = rest.to_batches()
-        size = rest.num_rows
-        rows = max(rows, 2 * size)  # a long run is not copied for every batch
+        size, space = rest.num_rows, rest.nbytes
+        rows, room = max(rows, 2 * size), max(room, 2 * space)  # a long run is not copied for every batch
     if held:
         yield pa.Table.from_batches(held).combine_chunks()
 

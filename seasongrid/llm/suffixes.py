@@ -33,10 +33,14 @@ WINDOW = 100
 GRAM = 32
 #: Window starts that are hashed at once; a longer text is taken in overlapping parts.
 PART = 1 << 20
-#: Contexts that meet in one suffix array, about; a key's contexts stay together.
+#: Runs that are sorted and sent on together, about.
+RUNS = 1 << 17
+#: Contexts, and their bytes, that meet in one suffix array, about; a key's contexts stay together.
 CONTEXTS = 10_000
-#: A key with more different contexts than this is cut into its windows.
+ROOM = 1 << 20
+#: A key with more different contexts than this, or more bytes in them, is cut into its windows.
 HOT_KEY = 20_000
+HOT_ROOM = 4 << 20
 _LEAST = -(1 << 63)
 
 
@@ -132,31 +136,42 @@ def _tag(hashes):
 def _all_runs(docs: DataFrame, window: int) -> DataFrame:
     """``(to, doc, span)``: every run, to be dealt out by ``to``.
 
-    Of the runs of one key in a batch the first goes to the key's task; the
+    Of the runs of one key that are sent on together the first goes to the key's task; the
     others are known to be repeated, so they go anywhere, which spreads hot
     keys.  ``span`` packs the first start, some bits of the text's hash, whether
     the key's string is below the run twice, the number of windows less one, and
     whether the key is known to be repeated.
     """
 
+    def sent(batch: pa.RecordBatch, parts: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
+        text, lo, hi, key, twice = (np.concatenate(c) for c in zip(*parts, strict=True))
+        order = np.argsort(key, kind="stable")
+        key = key[order]
+        first = starts_of_runs(key)
+        sizes = np.diff(np.append(first, len(key)))
+        extra = np.repeat(sizes > 1, sizes)
+        twice = twice[order]
+        many = extra | twice
+        extra[first] = False
+        to = key.copy()
+        to[extra] = mix(key[extra].view(np.uint64), np.flatnonzero(extra).astype(np.uint64)).view(np.int64)
+        span = lo[order] << 32 | twice.astype(np.int64) << 22 | (hi - lo)[order] << 1 | many
+        text = text[order]
+        span |= _tag(batch["hash"].to_numpy())[text] << 23
+        return pa.RecordBatch.from_arrays([pa.array(to), pa.array(batch["doc"].to_numpy()[text]), pa.array(span)], ["to", "doc", "span"])
+
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         release_memory()
         for batch in batches:
-            found = list(_runs_of(batch["text"], window))
-            if not found:
-                continue
-            columns = [np.concatenate(c) for c in zip(*found, strict=True)]
-            order = np.argsort(columns[3], kind="stable")
-            text, lo, hi, key, twice = (c[order] for c in columns)
-            first = starts_of_runs(key)
-            sizes = np.diff(np.append(first, len(key)))
-            extra = np.repeat(sizes > 1, sizes)
-            many = extra | twice
-            extra[first] = False
-            to = key.copy()
-            to[extra] = mix(key[extra].view(np.uint64), np.flatnonzero(extra).astype(np.uint64)).view(np.int64)
-            of, tags = batch["doc"].to_numpy()[text], _tag(batch["hash"].to_numpy())[text]
-            yield pa.RecordBatch.from_arrays([pa.array(to), pa.array(of), pa.array(lo << 32 | tags << 23 | twice.astype(np.int64) << 22 | (hi - lo) << 1 | many)], ["to", "doc", "span"])
+            held, size = [], 0
+            for part in _runs_of(batch["text"], window):
+                held.append(part)
+                size += len(part[0])
+                if size >= RUNS:
+                    yield sent(batch, held)
+                    held, size = [], 0
+            if size:
+                yield sent(batch, held)
 
     return docs.select("doc", "hash", "text").mapInArrow(find, "to long, doc long, span long")
 
@@ -314,7 +329,8 @@ def _contexts(docs: DataFrame, repeated: DataFrame, window: int) -> DataFrame:
                             rows.append((0, id_, hash_, lo, hi, span >> 22 & 1 == 1, data[lo : hi + window]))
                             end = hi
                 first, again = _collapsed(rows)
-                yield _batch(again)
+                if again:
+                    yield _batch(again)
                 yield _batch(_with_keys(first, window))
 
     joined = docs.join(spans, docs["doc"] == spans["of"]).select("id", "hash", "text", "spans")
@@ -330,26 +346,54 @@ def _with_keys(rows: list[tuple], window: int) -> list[tuple]:
     return [(int(k), *r[1:]) for k, r in zip(flat[: len(rows)], rows, strict=True)]
 
 
+def _windows(row: tuple, window: int) -> tuple[list[tuple], list[tuple]]:
+    """A context as its different windows, each with a key of its own, and the ranges that repeat one of them."""
+    _, id_, hash_, lo, _, _, data = row
+    b = np.frombuffer(data, np.uint8)
+    keys = _grams(b, window).view(np.int64)
+    _, first, of = np.unique(keys, return_index=True, return_inverse=True)
+    first = first[of]
+    bytes_ = np.lib.stride_tricks.sliding_window_view(b, window)
+    at = np.flatnonzero(first != np.arange(len(keys)))
+    equal = [np.all(bytes_[at[i : i + 4096]] == bytes_[first[at[i : i + 4096]]], axis=1) for i in range(0, len(at), 4096)]
+    again = at[np.concatenate(equal)] if equal else at
+    own = np.ones(len(keys), bool)
+    own[again] = False
+    rows = [(int(keys[x]), id_, hash_, lo + x, lo + x, False, data[x : x + window]) for x in np.flatnonzero(own).tolist()]
+    cuts = np.append(starts_of_runs(again - np.arange(len(again))), len(again)).tolist()
+    ranges = [(int(again[x]), int(again[y - 1])) for x, y in zip(cuts[:-1], cuts[1:], strict=True)]
+    return rows, [(id_ ^ (lo + x), id_, hash_, lo + x, lo + y, False, None) for x, y in ranges]
+
+
 def _spread(contexts: DataFrame, window: int) -> DataFrame:
-    """Contexts whose keys have more than ``HOT_KEY`` of them are cut into single windows, each its own key."""
-    sizes = contexts.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > HOT_KEY).select(F.col("key").alias("hot"))
-    sizes = stored(sizes, "hot-keys")  # mostly none, and then no context travels for this join
+    """Contexts whose keys have more than ``HOT_KEY`` of them, or ``HOT_ROOM`` bytes, are cut into single windows, each its own key."""
+    number, room = F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("bytes")).alias("room")
+    sizes = contexts.groupBy("key").agg(number, room).where((F.col("n") > HOT_KEY) | (F.col("room") > HOT_ROOM))
+    sizes = stored(sizes.select(F.col("key").alias("hot")), "hot-keys")  # mostly none, and then no context travels for this join
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         release_memory()
+
+        def collapsed(rows: list[tuple]) -> pa.RecordBatch:
+            first, again = _collapsed(rows)
+            return _batch(first + again)
+
         for batch in batches:
-            for a in range(0, batch.num_rows, 1000):
-                rows = []
-                for *row, hot in zip(*(c.to_pylist() for c in batch.slice(a, 1000).columns), strict=True):
-                    key, id_, hash_, lo, hi, twice, data = row
-                    if hot is None:
-                        rows.append(tuple(row))
-                        continue
-                    one = np.array([0]), np.array([len(data)])
-                    for x, y, k in zip(*(c.tolist() for c in runs(np.frombuffer(data, np.uint8), *one, window, window)[1:4]), strict=True):
-                        rows.append((k, id_, hash_, lo + x, lo + y, twice, data[x : y + window]))
-                first, again = _collapsed(rows)
-                yield _batch(first + again)
+            calm = batch.filter(pc.is_null(batch["hot"]))
+            if calm.num_rows:
+                yield pa.RecordBatch.from_arrays([calm[c].cast(k) for c, k in zip(_FIELDS, _KINDS, strict=True)], _FIELDS)
+            hot = batch.filter(pc.is_valid(batch["hot"]))
+            rows: list[tuple] = []
+            for i in range(hot.num_rows):
+                windows, again = _windows(tuple(hot[c][i].as_py() for c in _FIELDS), window)
+                rows += windows
+                if again:
+                    yield _batch(again)
+                if len(rows) > CONTEXTS:
+                    yield collapsed(rows)
+                    rows = []
+            if rows:
+                yield collapsed(rows)
 
     joined = contexts.join(sizes, contexts["key"] == sizes["hot"], "left").select(*_FIELDS, "hot")
     return joined.mapInArrow(cut, _CONTEXT)
@@ -363,7 +407,7 @@ def _found(contexts: DataFrame, window: int) -> DataFrame:
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         release_memory()
-        for table in whole_runs(batches, ("key",), CONTEXTS):
+        for table in whole_runs(batches, ("key",), CONTEXTS, ROOM):
             known = pc.is_null(table["bytes"])
             again = list(zip(*(table.filter(known)[c].to_pylist() for c in _FIELDS), strict=True))
             first, more = _collapsed(list(zip(*(table.filter(pc.invert(known))[c].to_pylist() for c in _FIELDS), strict=True)))

@@ -15,6 +15,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from seasongrid.llm import chat, decontaminate, language_id, lattice, lm_score, packing, simhash, suffixes, token_counts, token_files
+from seasongrid.llm.common import whole_runs
 from seasongrid.llm.tokens import Encoder, encoder, tokenizer_path
 from seasongrid.session import fresh_dir
 
@@ -385,3 +386,34 @@ def test_language_labels_without_a_letter(spark, monkeypatch):
     whole = spark.createDataFrame([(i, "text", "x") for i in range(0, 40, 2)], schema)
     few, all_ = (language_id.fit(d, per_language=20) for d in (half, whole))
     assert np.array_equal(few.idf, all_.idf)
+
+
+def test_periodic_texts_do_not_meet_in_one_task(spark, monkeypatch):
+    """Rulers and padding have one least string all along: their contexts are long, and of one key."""
+    rng = random.Random(8)
+    texts = ["-" * rng.randint(100, 900) + f" {i} " + "=-" * rng.randint(60, 300) + "-" * 40 + str(i) for i in range(120)]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").repartition(3)
+    monkeypatch.setattr(suffixes, "HOT_ROOM", 4000)
+    got = _by_id(suffixes.remove(rows))
+    assert [(bytes(got[i]["kept"]), got[i]["n_removed"], got[i]["n_spans"]) for i in range(len(got))] == _without_repeats(texts)
+    docs = suffixes._rows(rows, "text", "doc_id")
+    contexts = suffixes._contexts(docs, suffixes._repeated_runs(suffixes._all_runs(docs, 100)), 100).where("bytes is not null")
+    room = lambda df: df.groupBy("key").agg(F.sum(F.octet_length("bytes")).alias("n")).agg(F.max("n")).first()[0]
+    assert room(contexts) > 20_000 and room(suffixes._spread(contexts, 100)) <= 4000
+
+
+def test_windows_of_a_context():
+    data = b"ab" * 80 + b"x" * 130
+    rows, again = suffixes._windows((0, 5, 6, 10, 10 + len(data) - 100, True, data), 100)
+    assert [r[6] for r in rows] == list(dict.fromkeys(data[i : i + 100] for i in range(len(data) - 99)))
+    places = {r[3] - 10 for r in rows} | {i for r in again for i in range(r[3] - 10, r[4] - 9)}
+    assert places == set(range(len(data) - 99)) and all(r[6] is None and r[1:3] == (5, 6) for r in again)
+
+
+def test_runs_are_cut_by_rows_and_by_bytes():
+    keys = [1] * 5 + [2] * 3 + [3] + [4] * 9 + [5]
+    batch = pa.RecordBatch.from_arrays([pa.array(keys), pa.array(["x" * 100] * len(keys))], ["k", "v"])
+    for rows, room in ((4, 1 << 30), (1000, 300), (1, 1), (1000, 1 << 30)):
+        parts = [t["k"].to_pylist() for t in whole_runs(iter([batch.slice(0, 7), batch.slice(7)]), ("k",), rows, room)]
+        assert sum(parts, []) == keys and all(a[-1] != b[0] for a, b in zip(parts, parts[1:], strict=False))
+    assert len(parts) == 1
