@@ -33,6 +33,11 @@ def raced(standings: DataFrame, calendar: DataFrame) -> DataFrame:
     return places.join(calendar.select(*RACE_ORDER), "meeting_key")
 
 
+def with_name(entrants: DataFrame) -> DataFrame:
+    """Roster rows that name their entrant."""
+    return entrants.where(F.col("full_name").isNotNull())
+
+
 def under_name(entrants: DataFrame, places: DataFrame) -> DataFrame:
     """``places``, however many an entrant has, with its name of that season."""
     return places.withColumn("rank_in_race", F.col("position").cast("int")).drop("position").join(
@@ -56,8 +61,7 @@ def final_ranks(entrants: DataFrame, standings: DataFrame, calendar: DataFrame)
     Races are reduced to one row per entrant before any name is looked up, so
     names meet only as many rows as there are entrants.
     """
-    named = entrants.where(F.col("full_name").isNotNull())
-    candidates = under_name(named, last_places(standings, calendar))
+    candidates = under_name(with_name(entrants), last_places(standings, calendar))
     order = [*_latest_first(), F.col("driver_number").asc(), F.col("rank_in_race").asc()]
     return first_per_group(candidates, ["full_name", "year"], order).select(
         "full_name", "year", F.col("rank_in_race").alias("Final_Season_Rank")

@@ -144,11 +144,14 @@ def race_sessions(
     )
 
 
+def with_session_name(sessions: DataFrame) -> DataFrame:
+    return sessions.withColumn("session_name", F.coalesce("session_name", F.lit("Unknown")))
+
+
 def result_sessions(sessions: DataFrame) -> DataFrame:
     """Sessions with a result to fetch: races and sprints that have a key."""
-    name = F.coalesce(F.col("session_name"), F.lit("Unknown"))
     key = F.col("session_key")
-    return sessions.withColumn("session_name", name).where(
+    return with_session_name(sessions).where(
         F.col("session_name").isin("Race", "Sprint") & key.isNotNull() & (key != 0)
     )
 

@@ -54,8 +54,8 @@ VIEWS: dict[str, str] = {
                     ELSE lpad(CAST(s_nationkey AS VARCHAR), 6, '0') END AS team_colour,
                meeting_key, year, pts, pen
         FROM raw_results JOIN supplier ON s_suppkey = driver_number
-        JOIN nation ON n_nationkey = s_nationkey JOIN region ON r_regionkey = n_regionkey
-        WHERE s_acctbal >= -500""",
+        JOIN nation ON n_nationkey = s_nationkey JOIN region ON r_regionkey = n_regionkey""",
+    "listed": "SELECT CAST(s_suppkey AS INTEGER) AS driver_number FROM supplier WHERE s_acctbal >= -500",
     "team_per_race": """
         SELECT team_name, year, meeting_key, sum(pts) AS pts, sum(pen) AS pen
         FROM roster_records GROUP BY ALL""",
@@ -97,6 +97,7 @@ VIEWS: dict[str, str] = {
         QUALIFY row_number() OVER (PARTITION BY driver_number, year
                                    ORDER BY race_folder_name DESC, team_name, full_name, name_acronym,
                                             country_code, headshot_url, team_colour) = 1""",
+    "known_entrants": "SELECT * FROM entrants WHERE driver_number IN (SELECT driver_number FROM listed)",
     "teams": f"""
         SELECT DISTINCT team_name, year, 'assets/teams/' || replace(team_name, ' ', '%20') || '.png' AS team_logo_url,
                {_STAMP} AS last_updated
@@ -143,14 +144,15 @@ VIEWS: dict[str, str] = {
                trim(team_name) || '-' || d.year AS Team_Key, meeting_key AS Race_Key,
                CAST(greatest(points - prev_points, 0) AS REAL) AS Race_Points,
                points AS Season_Points, position AS World_Position
-        FROM driver_series d LEFT JOIN entrants e ON e.driver_number = d.driver_number AND e.year = d.year""",
+        FROM driver_series d LEFT JOIN known_entrants e ON e.driver_number = d.driver_number AND e.year = d.year""",
     "fact_driver_at_race": """
         SELECT CASE WHEN d.driver_number >= 10000 THEN -(CAST(d.driver_number AS BIGINT) * 10000 + d.year) ELSE d.year * 10000 + CAST(d.driver_number AS BIGINT) END AS Driver_Key,
                trim(team_name) || '-' || d.year AS Team_Key, d.meeting_key AS Race_Key,
                CAST(greatest(points - prev_points, 0) AS REAL) AS Race_Points,
                points AS Season_Points, position AS World_Position
         FROM driver_series d LEFT JOIN roster_records r
-          ON r.driver_number = d.driver_number AND r.meeting_key = d.meeting_key""",
+          ON r.driver_number = d.driver_number AND r.meeting_key = d.meeting_key
+         AND r.driver_number IN (SELECT driver_number FROM listed)""",
     "team_series": """
         SELECT *, row_number() OVER (PARTITION BY team_name, year
                                      ORDER BY date_start, points NULLS FIRST, position) AS step
@@ -193,7 +195,7 @@ def given(select: str) -> str:
     for name in reversed(VIEWS):
         if re.search(rf"\b(?:FROM|JOIN)\s+{name}\b", text):
             needed.add(name)
-            text += VIEWS[name]
+            text += f" {VIEWS[name]}"
     parts = [f"{name} AS ({VIEWS[name]})" for name in VIEWS if name in needed]
     return f"WITH {', '.join(parts)} {select}" if parts else select
 
@@ -234,16 +236,20 @@ _RESULTS = "SELECT CAST(Race_Key // 100 AS INTEGER) AS year, count(*) AS results
 
 def _watch_counts() -> str:
     """Rows of every watched table, repeated keys of dimensions, keys of facts that no dimension row has."""
+    # the landed rosters are those of the listed entrants
+    listed = "dim_driver WHERE Number IN (SELECT driver_number FROM listed)"
     dimensions = {"dim_driver": "Driver_Key", "dim_team": "Team_Key", "dim_race": "Race_Key"}
     facts = {"fact_driver": dimensions, "fact_team": {k: v for k, v in dimensions.items() if k != "dim_driver"}}
     counts = []
     for table, key in dimensions.items():
-        counts.append(f"SELECT '{table}' AS table_name, 'rows' AS counted, count(*) AS n FROM {table}")
-        counts.append(f"SELECT '{table}', 'duplicate_keys', count(*) - count(DISTINCT {key}) FROM {table}")
+        rows = listed if table == "dim_driver" else table
+        counts.append(f"SELECT '{table}' AS table_name, 'rows' AS counted, count(*) AS n FROM {rows}")
+        counts.append(f"SELECT '{table}', 'duplicate_keys', count(*) - count(DISTINCT {key}) FROM {rows}")
     for table, used in facts.items():
         counts.append(f"SELECT '{table}_results', 'rows', count(*) FROM {table}")
         for dimension, key in used.items():
-            known = f"SELECT {key} FROM {dimension} WHERE {key} IS NOT NULL"
+            of = f"{listed} AND" if dimension == "dim_driver" else f"{dimension} WHERE"
+            known = f"SELECT {key} FROM {of} {key} IS NOT NULL"
             counts.append(f"SELECT '{table}_results', 'orphans_{key}', count(*) FROM {table} WHERE {key} NOT IN ({known})")
     return " UNION ALL ".join(counts)
 
@@ -324,18 +330,19 @@ _QUERIES: dict[str, str] = {
                CAST(substr(c_name, 10) AS BIGINT) AS number_in_name, CAST(c_nationkey AS VARCHAR) AS nation
         FROM customer""",
     "project_join_aliases": """
-        SELECT s_suppkey, s_name AS entrant, n_name AS nation FROM supplier, nation WHERE s_nationkey = n_nationkey""",
+        SELECT team_name, t.year, team_logo_url, coalesce(Hex_Color, '#999999') AS Hex_Color
+        FROM teams t LEFT JOIN team_colours c ON c.team = trim(team_name) AND c.year = t.year""",
     "project_derived": """
         SELECT p_partkey, p_name, p_type, p_size, upper(left(p_name, 3)) AS code, 2 * p_size AS double_size,
                p_type || '-' || p_size AS label FROM part""",
-    "project_rename": "SELECT s_suppkey AS Number, s_name AS Driver, s_acctbal AS Balance FROM supplier",
+    "project_rename": "SELECT date_start AS Date, CAST(meeting_key AS INTEGER) AS Race_Key FROM calendar",
     "filter_na_drop": """
         SELECT driver_number, meeting_key, position_current AS position FROM driver_records
         WHERE position_current IS NOT NULL AND driver_number IS NOT NULL""",
     "filter_not_contains": """
         SELECT p_partkey, p_name AS name FROM part WHERE p_size > 1 AND p_name NOT LIKE '%ring%'""",
     "filter_not_null": """
-        SELECT driver_number, meeting_key, team_colour FROM roster_records WHERE team_colour IS NOT NULL""",
+        SELECT driver_number, meeting_key, full_name FROM roster_records WHERE full_name IS NOT NULL""",
     "filter_isin": """
         SELECT meeting_key, session_key, session_name FROM session_records
         WHERE session_name IN ('Race', 'Sprint') AND session_key <> 0""",
@@ -374,7 +381,8 @@ _QUERIES: dict[str, str] = {
           ON d.driver_number = g.driver_number AND d.year = g.year AND d.date_start <= g.date_start""",
     # aggregates
     "agg_max_ts": """
-        SELECT o_custkey, o_orderstatus, max(o_orderdate) AS last_updated FROM orders GROUP BY 1, 2""",
+        SELECT team_name, year, max(CAST(make_date(meeting_key // 100, meeting_key % 100, 1) AS TIMESTAMP)) AS last_updated
+        FROM team_standings GROUP BY 1, 2""",
     "agg_max_string": "SELECT * FROM team_colours",
     "agg_max_multi": """
         SELECT driver_number, year, meeting_key, points, position + 1 AS position FROM standings""",
@@ -442,7 +450,7 @@ _QUERIES: dict[str, str] = {
         SELECT c_custkey, greatest(CAST(c_acctbal - 1000 AS REAL), CAST(0 AS REAL)) AS gain,
                CASE WHEN c_acctbal > 5000 THEN 'high' WHEN c_acctbal > 0 THEN 'low' END AS level
         FROM customer""",
-    "fn_load_stamp": "SELECT team_name, meeting_key, ingestion_date FROM team_standings",
+    "fn_load_stamp": f"SELECT gp_name, meeting_key, {_STAMP} AS ingestion_date FROM calendar",
     "fn_driver_key": """
         SELECT driver_number, meeting_key, CASE WHEN driver_number >= 10000 THEN -(CAST(driver_number AS BIGINT) * 10000 + year) ELSE CAST(year AS BIGINT) * 10000 + driver_number END AS Driver_Key FROM standings""",
     "fn_coalesce_default": """

@@ -25,7 +25,7 @@ from seasongrid.operators.series import clamped_delta, previous_value, running_m
 from seasongrid.operators.summaries import selected_value, top_season_points, total_race_points
 from seasongrid.plans import gold, silver, star
 from workload.registry import query
-from workload.standins import ASSETS, Standins
+from workload.standins import ASSETS, Standins, loaded_at
 
 # ---- projections ------------------------------------------------------------
 
@@ -42,10 +42,7 @@ def project_typed(s: Standins) -> DataFrame:
 
 @query
 def project_join_aliases(s: Standins) -> DataFrame:
-    supplier, nation = s.table("supplier").alias("s"), s.table("nation").alias("n")
-    return supplier.join(nation, F.col("s.s_nationkey") == F.col("n.n_nationkey")).select(
-        "s.s_suppkey", F.col("s.s_name").alias("entrant"), F.col("n.n_name").alias("nation")
-    )
+    return gold.with_colour(s.teams, gold.team_colours(s.entrants)).drop("last_updated")
 
 
 @query
@@ -62,9 +59,7 @@ def project_derived(s: Standins) -> DataFrame:
 
 @query
 def project_rename(s: Standins) -> DataFrame:
-    return s.table("supplier").select(
-        F.col("s_suppkey").alias("Number"), F.col("s_name").alias("Driver"), F.col("s_acctbal").alias("Balance")
-    )
+    return gold.timeline_rows(s.calendar)
 
 
 # ---- filters ----------------------------------------------------------------
@@ -78,15 +73,15 @@ def filter_na_drop(s: Standins) -> DataFrame:
 
 @query
 def filter_not_contains(s: Standins) -> DataFrame:
+    """Names with "ring" stand for tests."""
     name = F.when(F.col("p_size") > 1, F.col("p_name"))
     parts = s.table("part").select("p_partkey", name.alias("name"))
-    return parts.where(~F.col("name").contains("ring"))
+    return parts.where(silver.is_race_meeting(F.replace("name", F.lit("ring"), F.lit("Testing"))))
 
 
 @query
 def filter_not_null(s: Standins) -> DataFrame:
-    rows = s.roster_records.select("driver_number", "meeting_key", "team_colour")
-    return rows.where(F.col("team_colour").isNotNull())
+    return gold.with_name(s.roster_records).select("driver_number", "meeting_key", "full_name")
 
 
 @query
@@ -178,7 +173,9 @@ def join_asof_rank(s: Standins) -> DataFrame:
 
 @query
 def agg_max_ts(s: Standins) -> DataFrame:
-    return s.table("orders").groupBy("o_custkey", "o_orderstatus").agg(F.max("o_orderdate").alias("last_updated"))
+    """Standings loaded on the day of their race."""
+    day = F.to_timestamp_ntz(F.concat(F.col("meeting_key").cast("string"), F.lit("01")), F.lit("yyyyMMdd"))
+    return silver.teams(s.team_standings.withColumn("ingestion_date", day), ASSETS).drop("team_logo_url")
 
 
 @query
@@ -339,7 +336,7 @@ def fn_concat_key(s: Standins) -> DataFrame:
     return rows.select(
         "driver_number",
         "meeting_key",
-        F.concat(F.col("full_name"), F.lit("-"), F.col("year").cast("string")).alias("name_key"),
+        team_key(F.col("full_name"), F.col("year")).alias("name_key"),
     )
 
 
@@ -358,17 +355,16 @@ def fn_trim_key(s: Standins) -> DataFrame:
 
 @query
 def fn_case_when(s: Standins) -> DataFrame:
-    gain = (F.col("c_acctbal") - 1000).cast("float")
     return s.table("customer").select(
         "c_custkey",
-        F.when(gain < 0, F.lit(0.0).cast("float")).otherwise(gain).alias("gain"),
+        clamped_delta(F.col("c_acctbal"), F.lit(1000)).alias("gain"),
         F.when(F.col("c_acctbal") > 5000, F.lit("high")).when(F.col("c_acctbal") > 0, F.lit("low")).alias("level"),
     )
 
 
 @query
 def fn_load_stamp(s: Standins) -> DataFrame:
-    return s.team_standings.select("team_name", "meeting_key", "ingestion_date")
+    return silver.calendar(s.meetings, loaded_at()).select("gp_name", "meeting_key", "ingestion_date")
 
 
 @query
@@ -380,9 +376,7 @@ def fn_driver_key(s: Standins) -> DataFrame:
 
 @query
 def fn_coalesce_default(s: Standins) -> DataFrame:
-    return s.session_records.select(
-        "session_key", F.coalesce("session_name", F.lit("Unknown")).alias("session_name")
-    )
+    return silver.with_session_name(s.session_records).select("session_key", "session_name")
 
 
 @query

@@ -334,7 +334,7 @@ def _land_all(s: Standins, bronze: str, driver_records: DataFrame | None = None)
     """Every season's records in its folders; the seasons."""
     _land(bronze, "drivers_standings", s.driver_records if driver_records is None else driver_records)
     _land(bronze, "teams_standings", s.team_records)
-    _land(bronze, "drivers", s.roster_records.drop("pts", "pen"))
+    _land(bronze, "drivers", s.listed(s.roster_records).drop("pts", "pen"))
     _land(bronze, "circuits", _meeting_records(s), folder=False)
     # one number for each season of the calendar
     return sorted(r[0] for r in _meeting_records(s).select("year").distinct().collect())
@@ -365,7 +365,7 @@ def incremental_season_load(s: Standins) -> DataFrame:
     """
     root = fresh_dir(s.spark, "load")
     bronze, last = f"{root}/bronze", _last_season(s)
-    roster = s.roster_records.drop("pts", "pen")
+    roster = s.listed(s.roster_records).drop("pts", "pen")
     seasons = _land_all(s, bronze, _doubled(s, last))
     job.run(s.spark, seasons, root, "season={year}", ASSETS, loaded_at())
 
@@ -403,7 +403,7 @@ def season_reload_failed(s: Standins) -> DataFrame:
         {
             "drivers_standings": gone(_doubled(s, last)),
             "teams_standings": gone(s.team_records),
-            "drivers": gone(s.roster_records.drop("pts", "pen")).where("driver_number % 2 = 0"),
+            "drivers": gone(s.listed(s.roster_records).drop("pts", "pen")).where("driver_number % 2 = 0"),
             "circuits": _meeting_records(s).where(F.col("year") == last),
         },
         f"{bronze}/season={last}",
@@ -433,7 +433,7 @@ def season_switch(s: Standins) -> DataFrame:
             "drivers_standings": records.withColumn("race_folder", race_folder(F.col("meeting_key"))),
             **{
                 entity: table.where(F.col("year") == last).drop("year").withColumn("race_folder", race_folder(F.col("meeting_key")))
-                for entity, table in (("teams_standings", s.team_records), ("drivers", s.roster_records.drop("pts", "pen")))
+                for entity, table in (("teams_standings", s.team_records), ("drivers", s.listed(s.roster_records).drop("pts", "pen")))
             },
             "circuits": _meeting_records(s).where(F.col("year") == last),
         },
@@ -490,7 +490,7 @@ def catalog_driven_load(s: Standins) -> DataFrame:
     _land(bronze, "sessions", sessions.join(months, "meeting_key"))
     _land(bronze, "drivers_standings", s.driver_records)
     _land(bronze, "teams_standings", s.team_records)
-    roster = s.roster_records.drop("pts", "pen")
+    roster = s.listed(s.roster_records).drop("pts", "pen")
     _land(bronze, "drivers", roster.where(~held_back))
     _land(bronze, "circuits", _meeting_records(s), folder=False)
 

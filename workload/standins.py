@@ -7,7 +7,8 @@ What the operators have to cope with occurs in the data itself:
 * no points in a month without returned lines: a result without a position;
 * a penalty for highly taxed lines that counts for one race only: cumulative
   totals that drop;
-* suppliers with a low balance have no roster row, no name or no photo;
+* suppliers with a low balance have no name or no photo, and those with the
+  lowest are missing where rosters are landed or looked up for a driver's results;
 * suppliers with a high balance change teams in July;
 * nations of the third region pad their team name from July on;
 * race names of a quarter's last month differ by season and share a code.
@@ -16,9 +17,8 @@ What the operators have to cope with occurs in the data itself:
 and the entrants are written to the shared folder, as the typed tables of a
 load would be, and the later steps read them there.
 
-The calendar has one row per month.  The month of a timestamp has fewer than 120,000 values, and team names
-come from the fixed ``nation`` and ``region`` tables, so the calendar is safe to
-broadcast whatever the size of ``lineitem``.  Entrants are not.
+The calendar, the races and the teams are stored as well, so that their true size
+decides how Spark joins them.
 """
 
 from __future__ import annotations
@@ -107,27 +107,22 @@ class Standins:
     @cached_property
     def meetings(self) -> DataFrame:
         """The calendar: every month in which anything was shipped."""
-        if "raw_results" in vars(self):  # already written, and much smaller
-            months = self.raw_results.select("meeting_key").distinct()
-        else:
-            year, month = F.year("l_shipdate"), F.month("l_shipdate")
-            lines = self.table("lineitem").select((year * 100 + month).cast("long").alias("meeting_key"))
-            months = stored(lines.distinct(), "months")
+        year, month = F.year("l_shipdate"), F.month("l_shipdate")
+        lines = self.table("lineitem").select((year * 100 + month).cast("long").alias("meeting_key"))
+        months = stored(lines.distinct(), "months")
         key = F.col("meeting_key")
         month_name = F.date_format(_first_day(key), "MMMM")
         day_name = F.date_format(_first_day(key), "EEEE")
-        return F.broadcast(
-            months.select(
-                "meeting_key",
-                (key % 100).alias("circuit_key"),
-                meeting_name(key).alias("meeting_name"),
-                day_name.alias("location"),
-                month_name.alias("country_name"),
-                F.upper(F.substring(month_name, 1, 3)).alias("country_code"),
-                F.concat(day_name, F.lit(" Ring")).alias("circuit_short_name"),
-                _first_day(key).cast("timestamp_ntz").alias("date_start"),
-                F.year(_first_day(key)).alias("year"),
-            )
+        return months.select(
+            "meeting_key",
+            (key % 100).alias("circuit_key"),
+            meeting_name(key).alias("meeting_name"),
+            day_name.alias("location"),
+            month_name.alias("country_name"),
+            F.upper(F.substring(month_name, 1, 3)).alias("country_code"),
+            F.concat(day_name, F.lit(" Ring")).alias("circuit_short_name"),
+            _first_day(key).cast("timestamp_ntz").alias("date_start"),
+            F.year(_first_day(key)).alias("year"),
         )
 
     @cached_property
@@ -135,10 +130,9 @@ class Standins:
         """Who raced for whom, one row per entrant and race."""
         nation = self.table("nation").select(F.col("n_nationkey").alias("s_nationkey"), "n_name", "n_regionkey")
         region = self.table("region").select(F.col("r_regionkey").alias("n_regionkey"), "r_name")
-        home = F.broadcast(nation.join(F.broadcast(region), "n_regionkey"))
+        home = nation.join(region, "n_regionkey")
         supplier = (
             self.table("supplier")
-            .where("s_acctbal >= -500")
             .withColumn("driver_number", F.col("s_suppkey").cast("int"))
             .join(home, "s_nationkey")
         )
@@ -166,6 +160,11 @@ class Standins:
             "pen",
         )
 
+    def listed(self, roster: DataFrame) -> DataFrame:
+        """Rows of the entrants a source lists: all but the suppliers with the lowest balance."""
+        listed = self.table("supplier").where("s_acctbal >= -500").select(F.col("s_suppkey").cast("int").alias("driver_number"))
+        return roster.join(listed, "driver_number", "left_semi")
+
     @cached_property
     def team_records(self) -> DataFrame:
         """Team standings as a source would deliver them."""
@@ -275,12 +274,11 @@ class Standins:
 
     @cached_property
     def dim_team(self) -> DataFrame:
-        # Nations and regions times seasons: bounded like the calendar.
-        return F.broadcast(gold.dim_team(self.teams, self.entrants))
+        return stored(gold.dim_team(self.teams, self.entrants), "dim-team")
 
     @cached_property
     def dim_race(self) -> DataFrame:
-        return F.broadcast(gold.dim_race(self.calendar))
+        return stored(gold.dim_race(self.calendar), "dim-race")
 
     @cached_property
     def timeline(self) -> DataFrame:
@@ -288,7 +286,7 @@ class Standins:
 
     @cached_property
     def fact_driver(self) -> DataFrame:
-        return gold.fact_driver(self.standings, self.calendar, self.entrants)
+        return gold.fact_driver(self.standings, self.calendar, self.listed(self.entrants))
 
     @cached_property
     def fact_team(self) -> DataFrame:

@@ -45,7 +45,7 @@ def gold_fact_driver(s: Standins) -> DataFrame:
 
 @query
 def gold_fact_driver_team_at_race(s: Standins) -> DataFrame:
-    return gold.fact_driver(s.standings, s.calendar, s.entrants, silver.entrants_by_race(s.roster))
+    return gold.fact_driver(s.standings, s.calendar, s.entrants, silver.entrants_by_race(s.listed(s.roster)))
 
 
 @query
