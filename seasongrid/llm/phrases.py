@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from seasongrid.llm.common import mix, stored
 from seasongrid.session import fresh_dir
 
-SHARDS = 3
+SHARDS = 2
 LEAST = 10
 LONGEST = 3
 TOP = 2000
@@ -258,7 +258,7 @@ def frequent(docs: DataFrame, least: int = LEAST, shards: int = SHARDS, text: st
         seen = scan(texts.where(F.col("shard") == step % shards), step, shards, tables)
         counts = (seen if active is None else seen.union(active)).groupBy("lang", "phrase", "size", "start").agg(F.sum("n").alias("n"))
         over = F.col("start") + shards - 1 == step
-        counts = stored(counts.where(~over | (F.col("n") >= least) | (F.col("size") == 0)), f"counts-{step}")
+        counts = stored(counts.where(~over | (F.col("n") >= least) | (F.col("size") == 0)), f"counts-{step}", batch=None)
         finished.append(counts.where(over).drop("start"))
         active = counts.where(~over)
         if mark(counts.where((F.col("n") >= least) & F.col("size").between(1, LONGEST - 1)), step, tables):
