@@ -91,8 +91,15 @@ def leaf_paths(schema: T.StructType, before: str = "") -> list[str]:
 
 
 def layout_of(schema: T.StructType) -> Layout:
-    """The layout that has all of the schema's role-bearing paths; with none an error, so that no text is ignored."""
+    """The layout that has all of the schema's role-bearing paths; with none an error, so that no text is ignored.
+
+    A table of rows, with turn, role and text, is one whatever else it has: its
+    fingerprint is that of these three.
+    """
     have = {p.lower() for p in leaf_paths(schema)}
+    rows = KNOWN[0]
+    if have.issuperset(p.lower() for p in rows.paths()):
+        return LAYOUTS[fingerprint(rows.bearing())]
     layout = LAYOUTS.get(fingerprint([p for p in have if p in BEARING]))
     if layout is None or not have.issuperset(p.lower() for p in layout.paths()):
         raise ValueError(f"no layout has the paths {sorted(have)}")
@@ -103,7 +110,9 @@ def canonical(rows: DataFrame, conv_id: str = "conv_id") -> DataFrame:
     """``(conv_id, turn, role, text)`` from any known layout.
 
     Null roles and texts become empty, role names of other layouts are
-    translated there.  Columns beside the layout's are ignored.
+    translated there.  Columns beside the layout's are ignored: in a table of
+    rows all others; in other layouts those that bear no text in any layout.
+    An empty table gives no rows.
     """
     layout, of = layout_of(rows.schema), F.col(conv_id).cast("long").alias("conv_id")
     text = lambda c: F.coalesce(c.cast("string"), F.lit(""))

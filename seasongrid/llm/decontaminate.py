@@ -103,16 +103,16 @@ def remove(docs: DataFrame, benchmark: DataFrame, spans: bool = False, text: str
 
     With ``spans`` the words of a contaminated text that no window covers are
     kept, joined by spaces, normalised as they were compared; other texts stay
-    as they are.  Without, the rows of a null or repeated id stay or fall each by
+    as they are.  The columns are those of ``docs``, whatever their names.
+    Without, the rows of a null or repeated id stay or fall each by
     its own text.
     """
     found = hits(docs, benchmark, text=text, doc_id=doc_id, **options).where(F.size("hits") > 0)
+    of, key, held = (unique_name(docs, name) for name in ("_of", "_key", "_hits"))
+    cut = found.groupBy(F.col("doc_id").alias(of), F.col("text_key").alias(key)).agg(F.first("hits").alias(held))
+    same = docs[doc_id].eqNullSafe(cut[of]) & (F.xxhash64(docs[text]) == cut[key])
     if not spans:
-        held = found.select(F.col("doc_id").alias("_of"), F.col("text_key").alias("_key"))
-        return docs.join(held, docs[doc_id].eqNullSafe(held["_of"]) & (F.xxhash64(docs[text]) == held["_key"]), "left_anti")
-    held = unique_name(docs, "_hits")
-    cut = found.groupBy(F.col("doc_id").alias("_of"), F.col("text_key").alias("_key")).agg(F.first("hits").alias("_found"))
-    same = docs[doc_id].eqNullSafe(cut["_of"]) & (F.xxhash64(docs[text]) == cut["_key"])
-    joined = docs.join(cut, same, "left").withColumnRenamed("_found", held).drop("_of", "_key")
+        return docs.join(cut.drop(held), same, "left_anti")
+    joined = docs.join(cut, same, "left").drop(of, key)
     free = F.filter(words(F.col(text)), lambda w, i: ~F.exists(F.col(held), lambda h: (h["at"] <= i) & (i < h["at"] + h["size"])))
     return joined.withColumn(text, F.when(F.col(held).isNull(), F.col(text)).otherwise(F.concat_ws(" ", free))).drop(held)

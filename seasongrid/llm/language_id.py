@@ -166,7 +166,7 @@ def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     Columns of ``docs`` with these names are replaced; others stay.
     """
 
-    @F.arrow_udf(returnType=T._parse_datatype_string(_RESULT))
+    @F.arrow_udf(returnType=_RESULT)
     def found(column: pa.Array) -> pa.Array:
         release_memory()
         parts = []
@@ -184,5 +184,5 @@ def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
 
 
 def held_out(doc_id: str = "doc_id"):
-    """Whether a row is kept from training: its id's crc32, as text, divides by five."""
-    return F.crc32(F.col(doc_id).cast("string").cast("binary")) % 5 == 0
+    """Whether a row is kept from training: its id's crc32, as text, divides by five.  A null id's row is not kept."""
+    return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 5 == 0, F.lit(False))

@@ -114,7 +114,10 @@ def score(
     edge of the hot table only decide which of two equal ways a bigram takes.
     Other columns are ignored; an empty table gives no rows.
     """
-    ids = tokens(docs, tokenizer or tokenizer_path(), text, doc_id)
+    tokenizer = tokenizer or tokenizer_path()
+    if encoder(tokenizer).library.get_vocab_size() > BEFORE:
+        raise ValueError(f"a vocabulary has at most {BEFORE} ids")
+    ids = tokens(docs, tokenizer, text, doc_id)
     pairs = stored(bigram_counts(ids), "bigrams")
     before, word = F.shiftright("key", ID_BITS), F.col("key").bitwiseAND((1 << ID_BITS) - 1)
     contexts = pairs.groupBy(before.alias("v")).agg(F.sum("n").alias("n_context"))

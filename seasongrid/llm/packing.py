@@ -5,7 +5,10 @@ remains is routed to the smallest tier that holds it.  Each tier packs its own
 pieces, the longest tier first: a piece opens a window, and its gap is filled
 from the shorter tiers, whole pieces as long as one fits, then one cut to fit.
 So every window is full.  What is left when a task ends is cut at powers of
-two.  Windows of one size form step groups of equal token numbers.
+two.  Windows of one size form step groups of equal token numbers, numbered
+over all tasks: the written pieces tell how many windows of each size each task
+made, and a running sum over these few numbers places a task's windows behind
+those of the tasks before it.
 
 A task packs the documents it reads, in one pass and without a shuffle; it holds
 no more than one batch of documents and what their shorter tiers left open.
@@ -19,10 +22,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from seasongrid.llm.common import crc, trim_memory
+from seasongrid.llm.common import crc, stored, trim_memory
 from seasongrid.llm.tokens import encoder, groups, tokenizer_path, with_end
 
 TIERS = (256, 512, 1024, 2048, 4096)
@@ -115,18 +118,18 @@ def pack(
     step_tokens: int = STEP_TOKENS,
     text: str = "text",
     doc_id: str = "doc_id",
-    with_ids: bool = True,
 ) -> DataFrame:
     """Pieces of all documents: which ids lie where in which sequence.
 
     ``sequence_id`` names a window of ``context`` ids, in which the pieces'
     offsets have no gap; every window is full.  ``step_group`` collects windows
-    of one context of ``step_tokens`` ids in all, so steps cost alike.  Null
+    of one context of ``step_tokens`` ids in all, so steps cost alike; of each
+    context the last group only may have fewer.  ``ids`` are the piece's.  Null
     texts count as empty; with ``end_id`` None they have no piece.  Rows of a
     repeated id are packed each on its own.  Other columns are ignored; an empty
     table has no pieces.
     """
-    path, keep_ids = tokenizer or tokenizer_path(), with_ids
+    path = tokenizer or tokenizer_path()
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trim_memory()
@@ -141,23 +144,19 @@ def pack(
             for size, pieces in packer.take():
                 place = per_tier.get(size, 0)
                 per_tier[size] = place + 1
-                group = base + place // max(1, step_tokens // size) * 64 + size.bit_length()
                 offset = 0
                 for (doc, ids, total), start, length in pieces:
                     part = ids[4 * start : 4 * (start + length)]
-                    out.append((doc, start, length, crc(part), total, base + number, offset, size, group))
+                    out.append((doc, start, length, crc(part), total, base + number, offset, size, place))
                     data.append(part)
                     offset += length
                 number += 1
             columns = list(zip(*out, strict=True)) if out else [()] * 9
             kinds = [pa.int64()] * 7 + [pa.int32(), pa.int64()]
             arrays = [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)]
-            if keep_ids:
-                sizes = np.array([len(x) // 4 for x in data], np.int32)
-                values = pa.Array.from_buffers(pa.int32(), int(sizes.sum()), [None, pa.py_buffer(b"".join(data))])
-                arrays.append(pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)), values))
-            else:
-                arrays.append(pa.nulls(len(out), pa.list_(pa.int32())))
+            sizes = np.array([len(x) // 4 for x in data], np.int32)
+            values = pa.Array.from_buffers(pa.int32(), int(sizes.sum()), [None, pa.py_buffer(b"".join(data))])
+            arrays.append(pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)), values))
             yield pa.RecordBatch.from_arrays(arrays, [f.split()[0] for f in SCHEMA.split(",")])
 
         for batch in batches:
@@ -174,5 +173,39 @@ def pack(
         trim_memory()
 
     source = docs.select(F.col(doc_id).cast("long").alias("d"), F.col(text).cast("string").alias("t"))
-    out = source.mapInArrow(packed, SCHEMA)
-    return out if with_ids else out.drop("ids")
+    return _step_groups(stored(source.mapInArrow(packed, SCHEMA), "pieces"), step_tokens)
+
+
+def _task(sequence_id: str) -> Column:
+    return F.floor(F.col(sequence_id) / F.lit(_PER_TASK)).cast("long")
+
+
+def _step_groups(pieces: DataFrame, step_tokens: int) -> DataFrame:
+    """Step groups from each window's place among those of its context and task, which ``step_group`` holds before."""
+    windows = pieces.where("offset = 0").groupBy(_task("sequence_id").alias("_task"), F.col("context").alias("_context"))
+    made = windows.agg(F.count(F.lit(1)).alias("_n"))
+    earlier = Window.partitionBy("_context").orderBy("_task")
+    before = made.select("_task", "_context", (F.sum("_n").over(earlier) - F.col("_n")).alias("_before"))
+    same = (_task("sequence_id") == F.col("_task")) & (F.col("context") == F.col("_context"))
+    per_step = F.greatest(F.lit(1), F.floor(F.lit(step_tokens) / F.col("context")))
+    step = F.floor((F.col("_before") + F.col("step_group")) / per_step).cast("long")
+    size = F.length(F.bin(F.col("context").cast("long")))
+    group = (step * 64 + size).alias("step_group")
+    columns = [group if name == "step_group" else F.col(name) for name in pieces.columns]
+    return pieces.join(before, same).select(*columns)
+
+
+def digests(pieces: DataFrame) -> DataFrame:
+    """Pieces without ``ids``, their ``ids_crc32`` taken from these."""
+    kept = [c for c in pieces.columns if c not in ("ids", "ids_crc32")]
+
+    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids = batch["ids"]
+            offsets = ids.offsets.to_numpy()
+            data = memoryview(ids.values.to_numpy(zero_copy_only=False).astype("<u4", copy=False)).cast("B")
+            found = [crc(bytes(data[4 * a : 4 * b])) for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([*[batch[c] for c in kept], pa.array(found, pa.int64())], [*kept, "ids_crc32"])
+
+    schema = pieces.select(*kept).schema.add("ids_crc32", "long")
+    return pieces.select(*kept, "ids").mapInArrow(sums, schema)

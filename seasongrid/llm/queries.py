@@ -36,7 +36,7 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(table(spark, sf_dir, "documents"), with_ids=False)
+    return packing.digests(packing.pack(table(spark, sf_dir, "documents")))
 
 
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -12,7 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -52,15 +52,15 @@ def write(
 ) -> None:
     """Write the ids of ``docs`` as files whose names ascend with ``doc_id``.
 
-    Rows go to files by ranges of ``doc_id``; within a file they are sorted by
-    it, then by text.  A null id comes first; repeated ids stay, each a row.
+    Rows go to files by ranges of ``doc_id`` and text, so that very many rows of
+    one id are several files, and are sorted by both within a file.  A null id comes first; repeated ids stay, each a row.
     Columns other than ``doc_id`` and ``text`` are ignored.  An empty table
     makes a folder without rows.
     """
     if encoding not in ("delta", "dictionary"):
         raise ValueError("encoding is delta or dictionary")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    rows = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    rows = rows.repartitionByRange("doc_id", "text").sortWithinPartitions("doc_id", "text")
     options = {
         "parquet.writer.version": "v2",
         "parquet.enable.dictionary": str(encoding == "dictionary").lower(),
@@ -82,6 +82,13 @@ def read(spark: SparkSession, path: str, columns: list[str] | None = None, first
     return rows.select(*columns) if columns else rows
 
 
+def _file_number() -> Column:
+    """The place of a file in ascending order: its task, then its number among the files of that task."""
+    name = F.col("_metadata.file_name")
+    task, number = (F.regexp_extract(name, pattern, 1).cast("long") for pattern in (r"part-(\d+)", r"-c(\d+)\."))
+    return F.shiftleft(task, 20) + number
+
+
 def digests(spark: SparkSession, path: str) -> DataFrame:
     """``(doc_id, start, n_tokens, ids_crc32)`` as the files say.
 
@@ -100,13 +107,13 @@ def digests(spark: SparkSession, path: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch["file"], batch["place"], batch["doc_id"], pa.array(n), pa.array(found, pa.int64())], ["file", "place", "doc_id", "n_tokens", "ids_crc32"])
 
     rows = read(spark, path).select(
-        F.regexp_extract(F.col("_metadata.file_name"), r"part-(\d+)", 1).cast("int").alias("file"),
+        _file_number().alias("file"),
         F.col("_metadata.row_index").alias("place"),
         "doc_id",
         "ids",
     )
-    found = rows.mapInArrow(sums, "file int, place long, doc_id long, n_tokens long, ids_crc32 long")
-    totals = read(spark, path).select(F.regexp_extract(F.col("_metadata.file_name"), r"part-(\d+)", 1).cast("int").alias("of"), "n_tokens")
+    found = rows.mapInArrow(sums, "file long, place long, doc_id long, n_tokens long, ids_crc32 long")
+    totals = read(spark, path).select(_file_number().alias("of"), "n_tokens")
     totals = totals.groupBy("of").agg(F.sum("n_tokens").alias("n"))
     before = totals.select("of", (F.sum("n").over(Window.orderBy("of")) - F.col("n")).alias("before"))
     within = F.sum("n_tokens").over(Window.partitionBy("file").orderBy("place")) - F.col("n_tokens")

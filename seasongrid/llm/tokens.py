@@ -1,10 +1,11 @@
 """Token ids of whole texts by a public tokenizer, at the speed of a look-up.
 
-The tokenizer's pattern never matches across white space, and its normaliser
-treats the stretches between spaces one by one.  So the ids of a text are the
-ids of its stretches in order, and each different stretch goes through the
-library once for each worker.  Texts that hold one of the tokenizer's special
-strings, or the separator used here, go through the library whole.
+Where a tokenizer's pattern never matches across white space, and its normaliser
+treats the stretches between spaces one by one, the ids of a text are the ids of
+its stretches in order, and each different stretch goes through the library once
+for each worker.  Texts that hold one of the tokenizer's special strings, or the
+separator used here, go through the library whole.  Whether a tokenizer is of
+that kind is tried when it is loaded; all texts of another go through whole.
 """
 
 from __future__ import annotations
@@ -21,6 +22,12 @@ VOCABULARY = "word_bpe_49k.json"
 #: Stretches remembered for each worker: those of late use stay. Bounds memory, not results.
 REMEMBERED = 320_000
 _SEPARATOR = "\x00"
+#: What the look-up could get wrong: case, accents, punctuation, digits, white space, joined letters.
+_PROBES = (
+    "Hello, World. It's don't ÉTÉ été", "a b  c\td\ne", " lead and trail ", "x1y2 3.14, 1,000. e-mail_a@b.c", "Σσ İi ßµ ½²",
+    "can't we'll THEY'RE n't 's", "(a) [b] {c} <d> \"e\" #f %g &h", "naïve café, coöperate.", "日本語 中文, русский. العربية",
+    "a,b.c,. ,. .a ,b", "fi ﬁ ﬀ e\u0301 \u00a0nbsp\u2003em", "aaaa bbbb, cccc. dddd", "MiXeD CaSe, UPPER.",
+)
 
 
 class Encoder:
@@ -38,8 +45,21 @@ class Encoder:
         self.separator = separator[0] if len(separator) == 1 else None
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
+        if self.separator is not None and not self._by_stretches():
+            self.separator = None
+        self.older, self.known = {}, {}
         self._forget()
 
+    def _by_stretches(self) -> bool:
+        """Whether the look-up gives the library's ids for texts that would tell."""
+        try:
+            self._forget()
+            offsets, ids = self.encode(pa.array(_PROBES, pa.string()))
+        except ValueError:
+            return False
+        found = [ids[a:b].tobytes() for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)]
+        return found == [self._whole(text) for text in _PROBES]
+
     def _forget(self) -> None:
         self.older, self.known = self.known, {"": b""}
         if self.separator is not None:

@@ -368,7 +368,7 @@ def test_layouts_with_a_system_turn(spark, schema, row):
 
 
 def test_layouts_never_ignore_a_known_text(spark):
-    for schema in ("conv_id long, prompt string, completion string, input string", "conv_id long, turn long, role string, text string, system string", "conv_id long, text string"):
+    for schema in ("conv_id long, prompt string, completion string, input string", "conv_id long, text string"):
         with pytest.raises(ValueError, match="no layout"):
             chat.canonical(spark.createDataFrame([], schema))
     nothing = chat.canonical(spark.createDataFrame([(1, "s", None)], "conv_id long, system string, messages array<struct<role: string, content: string>>"))
@@ -417,3 +417,69 @@ def test_runs_are_cut_by_rows_and_by_bytes():
         parts = [t["k"].to_pylist() for t in whole_runs(iter([batch.slice(0, 7), batch.slice(7)]), ("k",), rows, room)]
         assert sum(parts, []) == keys and all(a[-1] != b[0] for a, b in zip(parts, parts[1:], strict=False))
     assert len(parts) == 1
+
+
+def test_a_table_of_rows_may_have_columns_of_other_layouts(spark):
+    schema = "conv_id long, turn long, role string, text string, system string, prompt string, output string, messages string"
+    rows = spark.createDataFrame([(1, 0, "user", "q", "s", "p", "o", "m"), (1, 1, None, None, None, None, None, None)], schema)
+    assert sorted(tuple(r) for r in chat.canonical(rows).collect()) == [(1, 0, "user", "q"), (1, 1, "", "")]
+    assert chat.canonical(rows.where("false")).count() == 0
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_other_tokenizers_give_their_own_ids(name):
+    own = Encoder(tokenizer_path(name))
+    assert (own.separator is None) == (name == "byte_bpe_50k.json")
+    texts = [t for t in _texts() if t is not None]
+    offsets, ids = own.encode(pa.array(texts, pa.string()))
+    for i, t in enumerate(texts):
+        assert ids[offsets[i] : offsets[i + 1]].tolist() == own.library.encode(t, add_special_tokens=False).ids
+
+
+def test_spans_are_cut_from_tables_with_any_columns(spark):
+    item = "one two three four five six seven eight nine ten"
+    schema = "doc_id long, text string, _of int, _key int, _found string, _hits string, hits int"
+    docs = spark.createDataFrame([(1, f"a {item} b", 1, 2, "f", "h", 3), (None, "clean", 4, 5, None, None, 6)], schema)
+    bench = spark.createDataFrame([(7, item)], "item_id long, text string")
+    cut = decontaminate.remove(docs, bench, spans=True)
+    assert cut.columns == docs.columns
+    assert sorted((tuple(r) for r in cut.collect()), key=str) == sorted([(1, "a b", 1, 2, "f", "h", 3), (None, "clean", 4, 5, None, None, 6)], key=str)
+    assert [tuple(r) for r in decontaminate.remove(docs, bench).collect()] == [(None, "clean", 4, 5, None, None, 6)]
+
+
+def test_token_files_of_limited_length_and_one_id(spark):
+    texts = [f"some words {i}" for i in range(60)]
+    docs = spark.createDataFrame([(5 if i % 3 else i, t) for i, t in enumerate(texts)], "doc_id long, text string").repartition(3)
+    path = fresh_dir(spark, "limited")
+    spark.conf.set("spark.sql.files.maxRecordsPerFile", "7")
+    try:
+        token_files.write(docs, path, end_id=1)
+    finally:
+        spark.conf.unset("spark.sql.files.maxRecordsPerFile")
+    rows = sorted(docs.collect(), key=lambda r: (r[0], r[1].encode()))
+    at, want = 0, []
+    for id_, text in rows:
+        ids = _ids(text, [1])
+        want.append((id_, at, len(ids), _crc(ids)))
+        at += len(ids)
+    assert sorted(tuple(r) for r in token_files.digests(spark, path).collect()) == sorted(want)
+
+
+def test_a_null_id_is_not_held_out(spark):
+    rows = spark.createDataFrame([(None,), (1,), (2,)], "doc_id long").withColumn("held_out", language_id.held_out())
+    assert all(r["held_out"] in (True, False) for r in rows.collect()) and rows.where("doc_id is null").first()["held_out"] is False
+
+
+def test_step_groups_hold_equal_tokens_over_all_tasks(spark, docs):
+    rows = packing.pack(docs.repartition(7), step_tokens=2048).collect()
+    tokens, context = defaultdict(int), {}
+    for r in rows:
+        tokens[r["step_group"]] += r["length"]
+        assert context.setdefault(r["step_group"], r["context"]) == r["context"]
+    for size in set(context.values()):
+        totals = [n for group, n in tokens.items() if context[group] == size]
+        full = max(size, 2048)
+        assert sum(n != full for n in totals) <= 1 and max(totals) <= full
+    assert sum(tokens.values()) == sum(len(_ids(t, [2])) for t in _texts())
+    found = packing.digests(packing.pack(docs)).collect()
+    assert {(r["doc_id"], r["start"], r["ids_crc32"]) for r in found} == {(r["doc_id"], r["start"], r["ids_crc32"]) for r in packing.pack(docs).collect()}
