@@ -8,7 +8,7 @@ repeated rows and empty tables are handled as each operator's docstring says.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seasongrid.llm import decontaminate, language_id, packing, simhash, suffixes
@@ -18,11 +18,26 @@ from seasongrid.llm.common import stored, table
 ORACLE_SQL = None
 
 
+#: Columns that stages read by name; all others travel beside them, out of the operators' way.
+_READ = ("doc_id", "text", "lang")
+
+
+def _slim(docs: DataFrame) -> DataFrame:
+    """The columns that are read, and the others as one."""
+    others = [F.col(f"`{c}`") for c in docs.columns if c not in _READ]
+    return docs.select(*[c for c in docs.columns if c in _READ], F.struct(*others, F.lit(0).alias("_")).alias("_rest"))
+
+
+def _whole(slim: DataFrame, columns: list[str], **new: Column) -> DataFrame:
+    """The columns of ``documents`` again, some of them new."""
+    old = {c: F.col(c) if c in _READ else F.col(f"_rest.`{c}`") for c in columns}
+    return slim.select(*[new.get(c, old[c]).alias(c) for c in columns])
+
+
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is accepted; ``lang`` stays as it was."""
+    """Documents whose language is accepted; ``lang`` and all other columns stay as they were, whatever their names."""
     model = language_id.fit(docs.where(~language_id.held_out()))
-    found = language_id.predict(docs, model)
-    return found.where("accepted").select(*docs.columns)
+    return _whole(language_id.predict(_slim(docs), model).where("accepted"), docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,11 +51,13 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 def remove_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the bytes of passages that occur before; a null text stays null.
 
-    A character that lost some of its bytes goes too.  ``n_chars`` follows the text.
+    A character that lost some of its bytes goes too.  ``n_chars`` follows the
+    text, all other columns stay, whatever their names.
     """
-    found = suffixes.remove(docs)
+    found = suffixes.remove(_slim(docs))
     text = F.when(F.col("n_removed") > 0, suffixes.as_text(F.col("kept"))).otherwise(F.col("text"))
-    return found.withColumn("text", text).withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+    found = found.withColumn("text", text)
+    return _whole(found, docs.columns, n_chars=F.length("text").cast("long"))
 
 
 def decontaminate_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
