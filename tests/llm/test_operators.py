@@ -483,3 +483,19 @@ def test_step_groups_hold_equal_tokens_over_all_tasks(spark, docs):
     assert sum(tokens.values()) == sum(len(_ids(t, [2])) for t in _texts())
     found = packing.digests(packing.pack(docs)).collect()
     assert {(r["doc_id"], r["start"], r["ids_crc32"]) for r in found} == {(r["doc_id"], r["start"], r["ids_crc32"]) for r in packing.pack(docs).collect()}
+
+
+def test_stages_keep_own_columns(spark):
+    import corpus_pipeline
+
+    passage = "some passage of words that repeats " * 5
+    schema = "doc_id long, text string, lang string, source string, n_chars long, score string, accepted string, kept string, n_bytes string, lang_pred string, _rest string, `a b` string"
+    rows = [(i, f"{t} {passage}", "en", "s", 1, "c1", "c2", "c3", "c4", "c5", "c6", "c7") for i, t in enumerate(["the cat and dog", "a dog and the cat", "the dog"] * 5)]
+    docs = spark.createDataFrame([*rows, (None, None, None, None, None, None, None, None, None, None, None, None)], schema)
+    named = corpus_pipeline.identify_language(spark, docs, "")
+    assert named.columns == docs.columns and named.count() == 15
+    cut = corpus_pipeline.remove_repeated_passages(spark, docs, "")
+    assert cut.columns == docs.columns and cut.count() == 16
+    for frame in (named, cut):
+        assert {tuple(r)[5:] for r in frame.where("doc_id is not null").collect()} == {("c1", "c2", "c3", "c4", "c5", "c6", "c7")}
+    assert all(r["n_chars"] == len(r["text"]) for r in cut.where("text is not null").collect())
