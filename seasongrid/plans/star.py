@@ -42,6 +42,14 @@ def with_race(facts: DataFrame, dim_race: DataFrame) -> DataFrame:
     return _lookup(facts, dim_race, "Race_Key", _RACE)
 
 
+def with_driver(facts: DataFrame, dim_driver: DataFrame) -> DataFrame:
+    """Facts with the columns of their driver, by key alone: tables bucketed by it join in place.
+
+    Put it first, since the joins with races and teams deal facts out anew.
+    """
+    return facts.join(dim_driver.select("Driver_Key", *_DRIVER), "Driver_Key", "left")
+
+
 def driver_star(fact: DataFrame, dim_driver: DataFrame, dim_race: DataFrame, dim_team: DataFrame) -> DataFrame:
     teams = _lookup(with_race(fact, dim_race), dim_team, "Team_Key", _TEAM)
     return _lookup(teams, dim_driver, "Driver_Key", _DRIVER)

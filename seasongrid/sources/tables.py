@@ -77,3 +77,20 @@ def create_tables(
             spark.catalog.recoverPartitions(table)
         created.append(table)
     return created
+
+
+def store_bucketed(
+    df: DataFrame, table: str, path: str, key: str, buckets: int, by: str | None = None, fmt: str = "parquet"
+) -> DataFrame:
+    """Store ``df`` under a name, its rows dealt to files by a hash of ``key`` and sorted by it; the stored table.
+
+    Two tables with as many buckets of the same key join on it without moving a
+    row.  Rows are dealt out before the write, so a bucket of a season (``by``)
+    is one file.  Choose ``buckets`` for the larger table, a few hundred MB each:
+    a scan reads a bucket in one task.
+    """
+    spark = df.sparkSession
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    writer = df.repartition(buckets, key).write.format(fmt).bucketBy(buckets, key).sortBy(key).option("path", path)
+    (writer.partitionBy(by) if by else writer).saveAsTable(table)
+    return spark.table(table)

@@ -96,6 +96,12 @@ def test_measures_of_a_season_prune_the_fact(landed_star, tables):
     assert rows(driver_ranks) == rows(measures.driver_ranks(tables.driver_star, tables.dim_race, years=[1998]))
 
 
+def test_bucketed_tables_join_without_moving_rows(spark):
+    text = plan(queries()["join_star_bucketed"](spark, SMALL))
+    join = text[text.index("SortMergeJoin"):]
+    assert "Exchange" not in join and "Bucketed: true" in join and "SelectedBucketsCount: 8 out of 8" in join
+
+
 def test_points_by_date_plans_the_days_once(spark):
     assert shuffles(queries()["measure_points_by_date"](spark, SMALL)) <= 10
 

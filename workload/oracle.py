@@ -368,6 +368,9 @@ _QUERIES: dict[str, str] = {
         SELECT s.meeting_key, trim(team_name) AS team_name, position, points, s.year, date_start
         FROM team_standings s JOIN calendar c ON c.meeting_key = s.meeting_key""",
     "join_star_driver": "SELECT * FROM full_driver_star",
+    "join_star_bucketed": """
+        SELECT f.Driver_Key, Driver, CAST(Race_Key // 100 AS INTEGER) AS season, count(*) AS results, max(Season_Points) AS points
+        FROM fact_driver f LEFT JOIN dim_driver d ON d.Driver_Key = f.Driver_Key GROUP BY 1, 2, 3""",
     "join_star_team": "SELECT * FROM full_team_star",
     "join_star_timeline": """
         SELECT CAST(t.Race_Key AS BIGINT) AS Race_Key, t.Date, Year, Grand_Prix, Circuit_Name, GP_Display

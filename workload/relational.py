@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -24,6 +26,8 @@ from seasongrid.operators.quality import duplicate_keys, orphan_keys
 from seasongrid.operators.series import clamped_delta, previous_value, running_max
 from seasongrid.operators.summaries import selected_value, top_season_points, total_race_points
 from seasongrid.plans import gold, silver, star
+from seasongrid.session import fresh_dir
+from seasongrid.sources.tables import store_bucketed
 from workload.registry import query
 from workload.standins import ASSETS, Standins, loaded_at
 
@@ -146,6 +150,18 @@ def join_star_driver(s: Standins) -> DataFrame:
     return s.full_driver_star
 
 
+@query
+def join_star_bucketed(s: Standins) -> DataFrame:
+    """Facts, by season and bucket, joined in place with drivers in the same buckets."""
+    root, name = fresh_dir(s.spark, "bucketed"), f"b{uuid.uuid4().hex[:12]}"
+    season = (F.col("Race_Key") / 100).cast("int")
+    facts = store_bucketed(s.fact_driver.withColumn(gold.SEASON, season), f"{name}_fact", f"{root}/fact", "Driver_Key", 8, gold.SEASON)
+    drivers = store_bucketed(s.dim_driver, f"{name}_driver", f"{root}/driver", "Driver_Key", 8)
+    return star.with_driver(facts, drivers).groupBy("Driver_Key", "Driver", gold.SEASON).agg(
+        F.count(F.lit(1)).alias("results"), F.max("Season_Points").alias("points")
+    )
+
+
 @query
 def join_star_team(s: Standins) -> DataFrame:
     return s.full_team_star
