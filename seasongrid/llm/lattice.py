@@ -7,6 +7,11 @@ is a member of the cells it probes; vectors that share a cell are verified by
 cosine in double precision.  A pair that shares several cells counts in the
 cell with the smallest key only, so links can be counted where they are found
 and no pair leaves its task: what leaves are counts and a spanning forest.
+
+Cells shrink as a table grows.  The projections are scaled up with the eighth
+root of the number of vectors, so that a cell of unrelated vectors keeps its
+size, and as a pair then shares fewer cells, there are more tables: as many as
+a pair just at the threshold needs to be found with a chance of ``FOUND``.
 """
 
 from __future__ import annotations
@@ -26,6 +31,11 @@ from seasongrid.llm.components import components
 TABLES = 6
 PROBES = 4
 SCALE = 2.0
+#: Vectors up to which ``TABLES`` and ``SCALE`` hold.
+ROWS = 20_000
+#: Chance that a pair just at the threshold shares a cell of a larger table.
+FOUND = 0.995
+MOST_TABLES = 400
 BLOCKS = 1
 BLOCK_WIDTH = 1024
 
@@ -96,6 +106,30 @@ def cell_keys(v: np.ndarray, tables: int, n: int, scale: float, blocks: int, see
     return np.sort((np.concatenate(keys, axis=1) >> np.uint64(33)).astype(np.int32), axis=1)
 
 
+def geometry(n: int, dim: int, threshold: float, probed: int = PROBES, blocks: int = BLOCKS) -> tuple[int, float]:
+    """Number of tables and scale for ``n`` vectors.
+
+    The chance that a pair at the threshold meets in one table is measured on
+    made pairs, always the same ones.
+    """
+    if n <= ROWS or dim < 2 or not 0 < threshold < 1:
+        return TABLES, SCALE
+    scale = SCALE * (n / ROWS) ** (1 / (8 * blocks))
+    rng, tried = np.random.default_rng(dim), 8
+    one, two = rng.standard_normal((2, 400, dim))
+    one /= np.linalg.norm(one, axis=1, keepdims=True)
+    two -= (two * one).sum(axis=1, keepdims=True) * one
+    two = threshold * one + np.sqrt(1 - threshold**2) * two / np.linalg.norm(two, axis=1, keepdims=True)
+    met = [_together(*(cell_keys(v, 1, probed, scale, blocks, seed) for v in (one, two))).mean() for seed in range(tried)]
+    chance = min(max(float(np.mean(met)), 1e-3), 0.999)
+    return int(np.clip(np.ceil(np.log(1 - FOUND) / np.log(1 - chance)), TABLES, MOST_TABLES)), scale
+
+
+def _together(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Whether two rows of keys share one."""
+    return np.array([np.isin(x, y).any() for x, y in zip(a, b, strict=True)])
+
+
 def _unit(column: pa.Array) -> np.ndarray:
     """Unit vectors of rows that have one length."""
     v = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(column), -1)
@@ -188,16 +222,17 @@ def near_duplicates(
     threshold: float = 0.95,
     vec_id: str = "vec_id",
     vector: str = "embedding",
-    tables: int = TABLES,
+    tables: int | None = None,
     probed: int = PROBES,
-    scale: float = SCALE,
+    scale: float | None = None,
     blocks: int = BLOCKS,
 ) -> DataFrame:
     """``(vec_id, n_links, component_id, kept)``, a row for every row of ``vectors``.
 
-    Links are the pairs found with a cosine of at least ``threshold``; with the
-    default tables a pair just at 0.95 is found with a chance over 0.999 (64
-    dimensions).  Vectors that are null, empty, zero, or hold a null or a
+    Links are the pairs found with a cosine of at least ``threshold``.  Tables
+    and scale follow from the number of different vectors where they are not
+    given; a pair just at 0.95 is found with a chance over 0.99 (64 dimensions).
+    Vectors that are null, empty, zero, or hold a null or a
     non-finite component link with nothing, nor do vectors of different length.
     Equal vectors travel once with their number.  ``component_id`` is the
     smallest id that can be reached; it is null only where all ids are null,
@@ -208,6 +243,9 @@ def near_duplicates(
     rows = vectors.select(of, F.when(_usable(vector), x.cast("array<double>")).alias("vector"))
     points = rows.where("vector is not null").groupBy("vector").agg(F.min("vec_id").alias("least"), F.count(F.lit(1)).alias("copies"))
     points = stored(points.withColumn("id", F.monotonically_increasing_id()), "vectors")
+    n, dim = points.agg(F.count(F.lit(1)), F.max(F.size("vector"))).first()
+    own_tables, own_scale = geometry(n, dim or 0, threshold, probed, blocks)
+    tables, scale = tables or own_tables, scale or own_scale
 
     def with_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

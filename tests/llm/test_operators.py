@@ -499,3 +499,25 @@ def test_stages_keep_own_columns(spark):
     for frame in (named, cut):
         assert {tuple(r)[5:] for r in frame.where("doc_id is not null").collect()} == {("c1", "c2", "c3", "c4", "c5", "c6", "c7")}
     assert all(r["n_chars"] == len(r["text"]) for r in cut.where("text is not null").collect())
+
+
+def test_cells_shrink_as_the_table_grows():
+    """Comparisons a vector at five times the vectors, and how many pairs at 0.95 and above are found."""
+    rng, compared, tables = np.random.default_rng(3), {}, {}
+    for n in (lattice.ROWS, 5 * lattice.ROWS):
+        tables[n], scale = lattice.geometry(n, 64, 0.95)
+        v = rng.standard_normal((n, 64))
+        v /= np.linalg.norm(v, axis=1, keepdims=True)
+        keys = np.concatenate([lattice.cell_keys(v[at : at + 1000], tables[n], lattice.PROBES, scale, 1) for at in range(0, n, 1000)])
+        _, sizes = np.unique(keys, return_counts=True)
+        compared[n] = float((sizes.astype(float) ** 2).sum()) / n
+        # queries: the rows whose id divides by 20, each with a near one at a cosine from 0.95 on
+        some = v[::20][:1000]
+        off = rng.standard_normal(some.shape)
+        off -= (off * some).sum(axis=1, keepdims=True) * some
+        cosine = rng.uniform(0.95, 0.96, (len(some), 1))
+        near = cosine * some + np.sqrt(1 - cosine**2) * off / np.linalg.norm(off, axis=1, keepdims=True)
+        other = lattice.cell_keys(near, tables[n], lattice.PROBES, scale, 1)
+        assert lattice._together(keys[::20][:1000], other).mean() >= 0.98
+    assert lattice.geometry(lattice.ROWS, 64, 0.95) == (lattice.TABLES, lattice.SCALE)
+    assert compared[5 * lattice.ROWS] <= 2 * compared[lattice.ROWS]
