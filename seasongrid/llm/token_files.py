@@ -19,6 +19,8 @@ from pyspark.sql.window import Window
 from seasongrid.llm.common import crc, trim_memory
 from seasongrid.llm.tokens import encoder, groups, tokenizer_path, with_end
 
+#: Rows of one id that a task can take.
+HOT_ID = 100_000
 SCHEMA = "doc_id long, n_tokens int, ids array<int>"
 
 
@@ -52,15 +54,21 @@ def write(
 ) -> None:
     """Write the ids of ``docs`` as files whose names ascend with ``doc_id``.
 
-    Rows go to files by ranges of ``doc_id`` and text, so that very many rows of
-    one id are several files, and are sorted by both within a file.  A null id comes first; repeated ids stay, each a row.
+    Rows go to files by ranges of ``doc_id``; within a file they are sorted by
+    it, then by text.  Where an id has more than ``HOT_ID`` rows, ranges and
+    order go by a hash of the text after the id, so that its rows are several
+    files.  A null id comes first; repeated ids stay, each a row.
     Columns other than ``doc_id`` and ``text`` are ignored.  An empty table
     makes a folder without rows.
     """
     if encoding not in ("delta", "dictionary"):
         raise ValueError("encoding is delta or dictionary")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    rows = rows.repartitionByRange("doc_id", "text").sortWithinPartitions("doc_id", "text")
+    hottest = rows.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
+    keys = ["doc_id"]
+    if hottest > HOT_ID:  # the ranges are sampled on the driver: ids and hashes, no texts
+        rows, keys = rows.withColumn("hash", F.xxhash64("text")), ["doc_id", "hash"]
+    rows = rows.repartitionByRange(*keys).sortWithinPartitions(*keys, "text")
     options = {
         "parquet.writer.version": "v2",
         "parquet.enable.dictionary": str(encoding == "dictionary").lower(),

@@ -447,7 +447,9 @@ def test_spans_are_cut_from_tables_with_any_columns(spark):
     assert [tuple(r) for r in decontaminate.remove(docs, bench).collect()] == [(None, "clean", 4, 5, None, None, 6)]
 
 
-def test_token_files_of_limited_length_and_one_id(spark):
+@pytest.mark.parametrize("hot", [token_files.HOT_ID, 1])
+def test_token_files_of_limited_length_and_one_id(spark, monkeypatch, hot):
+    monkeypatch.setattr(token_files, "HOT_ID", hot)
     texts = [f"some words {i}" for i in range(60)]
     docs = spark.createDataFrame([(5 if i % 3 else i, t) for i, t in enumerate(texts)], "doc_id long, text string").repartition(3)
     path = fresh_dir(spark, "limited")
@@ -456,9 +458,9 @@ def test_token_files_of_limited_length_and_one_id(spark):
         token_files.write(docs, path, end_id=1)
     finally:
         spark.conf.unset("spark.sql.files.maxRecordsPerFile")
-    rows = sorted(docs.collect(), key=lambda r: (r[0], r[1].encode()))
+    rows = sorted((r["doc_id"], r["h"] if hot == 1 else 0, r["text"]) for r in docs.withColumn("h", F.xxhash64("text")).collect())
     at, want = 0, []
-    for id_, text in rows:
+    for id_, _, text in rows:
         ids = _ids(text, [1])
         want.append((id_, at, len(ids), _crc(ids)))
         at += len(ids)
