@@ -8,7 +8,9 @@ import pytest
 from conftest import rows
 
 import __spark_entry__ as contract
+from seasongrid.plans import silver
 from seasongrid.session import fresh_dir
+from workload.standins import Standins, race_folder
 
 
 @pytest.fixture(scope="module")
@@ -41,3 +43,34 @@ def test_every_team_standing_gets_the_load_stamp(spark, tables):
         ("Team CHINA", None, stamp), ("Team CHINA", 199701, stamp),  # no points, no place in March
         ("Team PERU", 199701, stamp), ("Team PERU", 199703, stamp),
     ]
+
+
+def test_results_have_one_key_for_the_month(spark, tables):
+    s = Standins(spark, tables)
+    found = rows(s.raw_results, "driver_number", "year", "meeting_key", "pts", "pen", "cp")
+    assert found == [
+        (1, 1997, 199701, 5.0, 0.0, 5.0), (1, 1997, 199703, 4.0, 4.0, 9.0),
+        (2, None, None, 2.0, 0.0, 2.0), (2, 1997, 199701, 7.0, 0.0, 7.0), (2, 1997, 199703, None, 0.0, 7.0),
+    ]
+
+
+def test_folder_names_are_made_once_for_a_race(spark, tables):
+    s = Standins(spark, tables)
+    placed = s.in_folder(s.driver_records)
+    assert "format_string" not in placed._jdf.queryExecution().optimizedPlan().toString()
+    records = s.driver_records.withColumn("race_folder", race_folder(s.driver_records["meeting_key"]))
+    assert rows(placed, *records.columns) == rows(records)
+    assert placed.where("race_folder IS NULL").count() == 0  # nor is a record without a date lost
+
+
+def test_rows_of_a_race_are_ordered_without_its_folder(make):
+    schema = "driver_number int, full_name string, name_acronym string, team_name string, country_code string, headshot_url string, team_colour string, year int, race_folder_name string"
+    roster = make(
+        schema,
+        (1, "Ann", "A", "Beta", "AA", "u", "c", 2024, "02_R2"), (1, "Ann", "A", "Alpha", "AA", "u", "c", 2024, "02_R2"),
+        (1, "Ann", "A", "Gamma", "AA", "u", "c", 2024, "10_R10"),
+    )
+    by_race = silver.entrants_by_race(roster)
+    assert rows(by_race, "race_folder_name", "team_name") == [("02_R2", "Alpha"), ("10_R10", "Gamma")]
+    assert "regexp_extract" not in by_race._jdf.queryExecution().optimizedPlan().toString()
+    assert rows(silver.entrants(by_race), "team_name") == [("Gamma",)]

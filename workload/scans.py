@@ -17,7 +17,7 @@ from seasongrid.session import fresh_dir
 from seasongrid.sources import landing, sinks
 from seasongrid.sources.tables import create_tables, read_table, register_star
 from workload.registry import query
-from workload.standins import ASSETS, Standins, loaded_at, race_folder
+from workload.standins import ASSETS, Standins, loaded_at
 
 ORDER_SCHEMA = T.StructType(
     [
@@ -273,15 +273,14 @@ def sort_before_write(s: Standins) -> DataFrame:
 def _landed(s: Standins, entity: str, records: DataFrame, folder: bool = True) -> DataFrame:
     """Land records of one entity and scan them back."""
     root = f"{fresh_dir(s.spark, entity)}/bronze"
-    _land(root, entity, records, folder)
+    _land(s, root, entity, records, folder)
     return landing.accepted(landing.scan_entity(s.spark, root, entity))
 
 
-def _land(root: str, entity: str, records: DataFrame, folder: bool = True) -> None:
+def _land(s: Standins, root: str, entity: str, records: DataFrame, folder: bool = True) -> None:
     placed = records.withColumn("season", F.col("year"))
     if folder:
-        placed = placed.withColumn("race_folder", race_folder(F.col("meeting_key")))
-        sinks.land_json(placed.drop("year"), root, entity, FOLDERS)
+        sinks.land_json(s.in_folder(placed.drop("year")), root, entity, FOLDERS)
     else:
         sinks.land_json(placed, root, entity, ["season"])
 
@@ -332,10 +331,10 @@ def silver_teams(s: Standins) -> DataFrame:
 
 def _land_all(s: Standins, bronze: str, driver_records: DataFrame | None = None) -> list[int]:
     """Every season's records in its folders; the seasons."""
-    _land(bronze, "drivers_standings", s.driver_records if driver_records is None else driver_records)
-    _land(bronze, "teams_standings", s.team_records)
-    _land(bronze, "drivers", s.listed(s.roster_records).drop("pts", "pen"))
-    _land(bronze, "circuits", _meeting_records(s), folder=False)
+    _land(s, bronze, "drivers_standings", s.driver_records if driver_records is None else driver_records)
+    _land(s, bronze, "teams_standings", s.team_records)
+    _land(s, bronze, "drivers", s.listed(s.roster_records).drop("pts", "pen"))
+    _land(s, bronze, "circuits", _meeting_records(s), folder=False)
     # one number for each season of the calendar
     return sorted(r[0] for r in _meeting_records(s).select("year").distinct().collect())
 
@@ -370,8 +369,7 @@ def incremental_season_load(s: Standins) -> DataFrame:
     job.run(s.spark, seasons, root, "season={year}", ASSETS, loaded_at())
 
     def corrected(records: DataFrame) -> DataFrame:
-        season = records.where(F.col("year") == last).drop("year")
-        return season.withColumn("race_folder", race_folder(F.col("meeting_key")))
+        return s.in_folder(records.where(F.col("year") == last).drop("year"))
 
     sinks.replace_season(
         {
@@ -396,8 +394,7 @@ def season_reload_failed(s: Standins) -> DataFrame:
     job.run(s.spark, seasons, root, "season={year}", ASSETS, loaded_at(), catalog=names)
 
     def gone(records: DataFrame) -> DataFrame:
-        season = records.where(F.col("year") == last).drop("year")
-        return season.withColumn("race_folder", race_folder(F.col("meeting_key")))
+        return s.in_folder(records.where(F.col("year") == last).drop("year"))
 
     sinks.replace_season(
         {
@@ -430,9 +427,9 @@ def season_switch(s: Standins) -> DataFrame:
     season = f"{bronze}/season={last}"
     sinks.replace_season(
         {
-            "drivers_standings": records.withColumn("race_folder", race_folder(F.col("meeting_key"))),
+            "drivers_standings": s.in_folder(records),
             **{
-                entity: table.where(F.col("year") == last).drop("year").withColumn("race_folder", race_folder(F.col("meeting_key")))
+                entity: s.in_folder(table.where(F.col("year") == last).drop("year"))
                 for entity, table in (("teams_standings", s.team_records), ("drivers", s.listed(s.roster_records).drop("pts", "pen")))
             },
             "circuits": _meeting_records(s).where(F.col("year") == last),
@@ -487,18 +484,18 @@ def catalog_driven_load(s: Standins) -> DataFrame:
     sessions = s.session_records.withColumns({"session_type": F.lit("Race"), "year": (F.col("meeting_key") / 100).cast("int")})
     months = s.meetings.select("meeting_key")
     sessions = sessions.withColumnRenamed("session_start", "date_start")
-    _land(bronze, "sessions", sessions.join(months, "meeting_key"))
-    _land(bronze, "drivers_standings", s.driver_records)
-    _land(bronze, "teams_standings", s.team_records)
+    _land(s, bronze, "sessions", sessions.join(months, "meeting_key"))
+    _land(s, bronze, "drivers_standings", s.driver_records)
+    _land(s, bronze, "teams_standings", s.team_records)
     roster = s.listed(s.roster_records).drop("pts", "pen")
-    _land(bronze, "drivers", roster.where(~held_back))
-    _land(bronze, "circuits", _meeting_records(s), folder=False)
+    _land(s, bronze, "drivers", roster.where(~held_back))
+    _land(s, bronze, "circuits", _meeting_records(s), folder=False)
 
     def due() -> list[int]:
         return job.run(s.spark, None, root, "season={year}", ASSETS, loaded_at()).seasons
 
     first = due()
-    _land(bronze, "drivers", roster.where(held_back))
+    _land(s, bronze, "drivers", roster.where(held_back))
     second, third = due(), due()
     assert third == []
     typed, star = job.stores(s.spark, root)
