@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from seasongrid.llm.common import crc, trim_memory
-from seasongrid.llm.tokens import encoder, groups, tokenizer_path, with_end
+from seasongrid.llm.tokens import ENCODED, encoder, groups, tokenizer_path, with_end
 
 #: Rows of one id that a task can take.
 HOT_ID = 100_000
@@ -31,7 +31,7 @@ def encode(docs: DataFrame, tokenizer: str, end_id: int | None, text: str = "tex
         trim_memory()
         encode_ = encoder(tokenizer).encode
         for batch in batches:
-            for a, b in groups(batch["t"]):
+            for a, b in groups(batch["t"], ENCODED):
                 part = batch.slice(a, b - a)
                 offsets, ids = with_end(*encode_(part["t"]), end_id)
                 lists = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(ids.view(np.int32)))

@@ -20,8 +20,10 @@ import pyarrow.compute as pc
 
 VOCABULARY = "word_bpe_49k.json"
 #: Stretches remembered for each worker: those of late use stay. Bounds memory, not results.
-REMEMBERED = 320_000
+REMEMBERED = 1_000_000
 _SEPARATOR = "\x00"
+#: Stretches that the library gets in one text, and in one call.
+_JOINED, _ASKED = 256, 1 << 16
 #: What the look-up could get wrong: case, accents, punctuation, digits, white space, joined letters.
 _PROBES = (
     "Hello, World. It's don't ÉTÉ été", "a b  c\td\ne", " lead and trail ", "x1y2 3.14, 1,000. e-mail_a@b.c", "Σσ İi ßµ ½²",
@@ -31,6 +33,8 @@ _PROBES = (
 
 
 class Encoder:
+    """Stretches are remembered as columns, and looked up many at a time: no Python string is made of a known one."""
+
     def __init__(self, path: str, remembered: int = REMEMBERED) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer, normalizers
@@ -43,44 +47,63 @@ class Encoder:
         self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
         separator = self.library.encode(_SEPARATOR, add_special_tokens=False).ids
         self.separator = separator[0] if len(separator) == 1 else None
-        self.known: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
+        self._forget_all()
         if self.separator is not None and not self._by_stretches():
             self.separator = None
-        self.older, self.known = {}, {}
-        self._forget()
+        self._forget_all()
 
     def _by_stretches(self) -> bool:
         """Whether the look-up gives the library's ids for texts that would tell."""
         try:
-            self._forget()
             offsets, ids = self.encode(pa.array(_PROBES, pa.string()))
         except ValueError:
             return False
         found = [ids[a:b].tobytes() for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)]
         return found == [self._whole(text) for text in _PROBES]
 
-    def _forget(self) -> None:
-        self.older, self.known = self.known, {"": b""}
+    def _forget_all(self) -> None:
+        """Remember nothing but the empty stretch and the tails, whose places are their numbers in :func:`_shape`."""
+        self.forms, self.sizes, self.ids = pa.array([""], pa.string()), np.zeros(1, np.int64), np.zeros(0, "<u4")
+        self.used, self.calls = np.zeros(1, np.int64), 0
         if self.separator is not None:
-            self._ask(self.library, [",", "."])
+            self._remember(pa.array([",", "."], pa.string()))
+
+    def _forget(self) -> None:
+        """Keep the half that was used last."""
+        self.used[:3] = self.calls
+        kept = np.sort(np.argsort(-self.used, kind="stable")[: max(3, self.remembered // 2)])
+        self.forms = self.forms.take(pa.array(kept))
+        self.sizes, self.ids = _gather(self.sizes, self.ids, kept)
+        self.used = self.used[kept]
+
+    def _remember(self, forms: pa.Array) -> None:
+        """Ask the library for the ids of forms, and keep them at the end of what is known."""
+        latin, _ = _shape(forms)
+        parts = [(self.normal, np.flatnonzero(latin)), (self.library, np.flatnonzero(~latin))]
+        asked = [self._ask(library, forms.take(pa.array(at)).to_pylist()) for library, at in parts]
+        sizes, ids = (np.concatenate(x) for x in zip(*asked, strict=True))
+        sizes, ids = _gather(sizes, ids, np.argsort(np.concatenate([at for _, at in parts])))
+        self.forms = pa.concat_arrays([self.forms, forms])
+        self.sizes, self.ids = np.concatenate([self.sizes, sizes]), np.concatenate([self.ids, ids])
+        self.used = np.concatenate([self.used, np.full(len(forms), self.calls)])
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def _ask(self, library, stretches: list[str]) -> None:
-        """Remember the ids of stretches: many in one text, with a separator that has one id of its own."""
-        texts = [f" {_SEPARATOR} ".join(stretches[i : i + 256]) for i in range(0, len(stretches), 256)]
-        for at, found in zip(range(0, len(stretches), 256), library.encode_batch_fast(texts, add_special_tokens=False), strict=True):
-            ids = np.array(found.ids, "<u4")
-            ends = np.flatnonzero(ids == self.separator)
-            parts = stretches[at : at + 256]
-            if len(ends) != len(parts) - 1:
-                raise ValueError("the tokenizer joined stretches across its separator")
-            data, start = ids.tobytes(), 0
-            for stretch, end in zip(parts, [*ends.tolist(), len(ids)], strict=True):
-                self.known[stretch] = data[4 * start : 4 * end]
-                start = end + 1
+    def _ask(self, library, stretches: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Sizes and ids of stretches: many in one text, with a separator that has one id of its own."""
+        found = [np.zeros(0, "<u4")]
+        for at in range(0, len(stretches), _ASKED):
+            parts = [stretches[i : i + _JOINED] for i in range(at, min(at + _ASKED, len(stretches)), _JOINED)]
+            texts = [f" {_SEPARATOR} ".join(part) for part in parts]
+            for part, encoding in zip(parts, library.encode_batch_fast(texts, add_special_tokens=False), strict=True):
+                ids = np.array([*encoding.ids, self.separator], "<u4")
+                if np.count_nonzero(ids == self.separator) != len(part):
+                    raise ValueError("the tokenizer joined stretches across its separator")
+                found.append(ids)
+        ids = np.concatenate(found)
+        ends = ids == self.separator
+        return np.diff(np.flatnonzero(ends), prepend=-1) - 1, ids[~ends]
 
     def _ids_of(self, stretches: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Number of ids of each stretch, and all ids one after the other.
@@ -92,32 +115,22 @@ class Encoder:
         latin, tail = _shape(stretches)
         core = pc.if_else(pa.array(latin), pc.utf8_lower(stretches), stretches)
         core = pc.if_else(pa.array(tail > 0), pc.utf8_slice_codeunits(core, 0, -1), core).dictionary_encode()
-        known, forms = self.known, core.dictionary.to_pylist()
-        new = [form for form in forms if form not in known]
-        if self.older and new:
-            known.update((form, self.older[form]) for form in new if form in self.older)
-            new = [form for form in new if form not in self.older]
-        if new:
-            easy = {form for form in new if form.isascii() or max(form) <= "\xff"}
-            for library, part in ((self.normal, [f for f in new if f in easy]), (self.library, [f for f in new if f not in easy])):
-                if part:
-                    self._ask(library, part)
-        parts = [known[form] for form in forms]
-        sizes, ids = _flat(parts)
-        tails = [known[","], known["."]] if self.separator is not None else [b"", b""]
-        own = core.indices.to_numpy()
-        lengths, data = _gather(sizes, ids, own)
-        if tail.any():
-            tail_sizes, tail_ids = _flat([b"", *tails])
-            mixed = np.empty(2 * len(own), np.int64)
-            mixed[0::2], mixed[1::2] = own, len(sizes) + tail
-            lengths, data = _gather(np.concatenate([sizes, tail_sizes]), np.concatenate([ids, tail_ids]), mixed)
-            lengths = lengths[0::2] + lengths[1::2]
-        return lengths, data
+        found = pc.index_in(core.dictionary, value_set=self.forms)
+        at = pc.fill_null(found, -1).to_numpy().astype(np.int64)
+        new = np.flatnonzero(at < 0)
+        if len(new):
+            at[new] = len(self.forms) + np.arange(len(new))
+            self._remember(core.dictionary.take(pa.array(new)))
+        self.used[at] = self.calls
+        both = np.empty(2 * len(stretches), np.int64)
+        both[0::2], both[1::2] = at[core.indices.to_numpy()], tail
+        lengths, ids = _gather(self.sizes, self.ids, both)
+        return lengths[0::2] + lengths[1::2], ids
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of whole texts: their offsets in one array of all ids, and that array; a null text has none."""
-        if len(self.known) > self.remembered // 2:
+        self.calls += 1
+        if len(self.forms) > self.remembered:
             self._forget()
         texts = pc.fill_null(texts, "")
         hard = np.full(len(texts), self.separator is None)
@@ -156,10 +169,6 @@ def _shape(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return latin, np.where(latin & long & (plain | accented), tail, 0)
 
 
-def _flat(parts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    return np.array([len(p) // 4 for p in parts], np.int64), np.frombuffer(b"".join(parts), "<u4")
-
-
 def _gather(sizes: np.ndarray, data: np.ndarray, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Chosen rows of ragged rows: their sizes, and their values one after the other."""
     starts = np.cumsum(sizes) - sizes
@@ -181,6 +190,10 @@ def tokenizer_path(name: str = VOCABULARY) -> str:
     return public_tokenizers.path(name)
 
 
+#: Bytes of text to encode at once: many stretches share a look-up.
+ENCODED = 8 << 20
+
+
 def groups(texts: pa.Array, size: int = 4 << 20) -> Iterator[tuple[int, int]]:
     """Ranges of rows whose texts have about ``size`` bytes: bounds what is held beside them."""
     lengths = pc.fill_null(pc.binary_length(texts), 0).to_numpy()

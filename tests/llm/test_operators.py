@@ -436,6 +436,22 @@ def test_other_tokenizers_give_their_own_ids(name):
         assert ids[offsets[i] : offsets[i + 1]].tolist() == own.library.encode(t, add_special_tokens=False).ids
 
 
+def test_remembered_stretches_are_not_asked_for_again(monkeypatch):
+    own, asked, ask = Encoder(tokenizer_path(), remembered=1000), [], Encoder._ask
+    monkeypatch.setattr(Encoder, "_ask", lambda self, library, stretches: asked.extend(stretches) or ask(self, library, stretches))
+    texts = [" ".join(f"w{'abcdefghij'[part]}{'abcdefghij'[i // 100]}x{'abcdefghij'[i // 10 % 10]}{'abcdefghij'[i % 10]}" for i in range(300)) for part in range(3)]
+    for text in texts * 3:
+        _, ids = own.encode(pa.array([text + ", WORLD."], pa.string()))
+        assert ids.tolist() == own.library.encode(text + ", WORLD.", add_special_tokens=False).ids
+    assert sorted(asked) == sorted({*" ".join(texts).split(), "world"})
+    monkeypatch.undo()
+    for size in (1, 5, 2000, 3):  # more than are remembered, then few
+        many = " ".join(f"{'ab' * (i % 7)}{i}é{i}." for i in range(size))
+        _, ids = own.encode(pa.array([many], pa.string()))
+        assert ids.tolist() == own.library.encode(many, add_special_tokens=False).ids
+        assert len(own.forms) <= 1000 + size
+
+
 def test_spans_are_cut_from_tables_with_any_columns(spark):
     item = "one two three four five six seven eight nine ten"
     schema = "doc_id long, text string, _of int, _key int, _found string, _hits string, hits int"
