@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from seasongrid.llm.common import crc, stored, trim_memory
-from seasongrid.llm.tokens import encoder, groups, tokenizer_path, with_end
+from seasongrid.llm.tokens import ENCODED, encoder, groups, tokenizer_path, with_end
 
 TIERS = (256, 512, 1024, 2048, 4096)
 #: Tokens of one step: a step group holds as many windows of one tier as fit.
@@ -160,14 +160,16 @@ def pack(
             yield pa.RecordBatch.from_arrays(arrays, [f.split()[0] for f in SCHEMA.split(",")])
 
         for batch in batches:
-            for a, b in groups(batch["t"], 2 << 20):
+            for a, b in groups(batch["t"], ENCODED):
                 part = batch.slice(a, b - a)
                 offsets, ids = with_end(*encode(part["t"]), end_id)
-                data, at = ids.tobytes(), offsets.tolist()
-                for doc, x, y in zip(part["d"].to_pylist(), at[:-1], at[1:], strict=True):
-                    packer.add((doc, data[4 * x : 4 * y], y - x), y - x)
-                packer.pack(4 * packer.tiers[-1])
-                yield from rows()
+                docs = part["d"].to_pylist()
+                for c, d in groups(part["t"], 2 << 20):
+                    data, at = ids[offsets[c] : offsets[d]].tobytes(), (offsets[c : d + 1] - offsets[c]).tolist()
+                    for doc, x, y in zip(docs[c:d], at[:-1], at[1:], strict=True):
+                        packer.add((doc, data[4 * x : 4 * y], y - x), y - x)
+                    packer.pack(4 * packer.tiers[-1])
+                    yield from rows()
         packer.finish()
         yield from rows()
         trim_memory()
