@@ -6,6 +6,8 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from seasongrid.llm import phrases
@@ -99,3 +101,19 @@ def test_long_texts_in_parts(spark, monkeypatch):
 def test_no_rows(spark):
     empty = _frame(spark, [(None, None)])
     assert phrases.collocations(empty).collect() == [] and phrases.collocations(empty.where("false")).collect() == []
+
+
+def test_places_are_found_for_many_phrases_at_once(monkeypatch):
+    calls, mix = [], phrases.mix
+    monkeypatch.setattr(phrases, "mix", lambda *a: calls.append(len(a[0])) or mix(*a))
+    rng = random.Random(3)
+    rows = [(rng.choice(["en", "", "und"]), [rng.choice(["a", "bé", "of", "日"]) for _ in range(rng.choice([1, 2, 3]))]) for _ in range(500)]
+    whole = pa.array(["x y", *(" ".join(words) for _, words in rows)], pa.string())
+    found = phrases._places(pa.array([lang for lang, _ in rows]), whole.slice(1))
+    assert len(calls) == 3
+    assert len(phrases._places(pa.array([], pa.string()), pa.array([], pa.string()))) == 0
+    for at, (lang, words) in zip(found.tolist(), rows, strict=True):
+        table = np.zeros(phrases.PLACES, np.uint8)
+        table[at] = 7
+        times = phrases._Times(lang, words, {len(words): table})
+        assert times.of([np.array([i]) for i in range(len(words))]).tolist() == [7]
