@@ -10,6 +10,7 @@ from conftest import rows
 import __spark_entry__ as contract
 from seasongrid.plans import silver
 from seasongrid.session import fresh_dir
+from workload.scans import _last_season
 from workload.standins import Standins, race_folder
 
 
@@ -74,3 +75,14 @@ def test_rows_of_a_race_are_ordered_without_its_folder(make):
     assert rows(by_race, "race_folder_name", "team_name") == [("02_R2", "Alpha"), ("10_R10", "Gamma")]
     assert "regexp_extract" not in by_race._jdf.queryExecution().optimizedPlan().toString()
     assert rows(silver.entrants(by_race), "team_name") == [("Gamma",)]
+
+
+def test_lines_are_read_once_for_results_and_calendar(spark, tables, monkeypatch):
+    plain = rows(Standins(spark, tables).meetings)
+    names, table = [], Standins.table
+    monkeypatch.setattr(Standins, "table", lambda self, name: names.append(name) or table(self, name))
+    s = Standins(spark, tables)
+    assert _last_season(s) == 1997
+    assert rows(s.meetings) == plain and len(plain) == 3  # also the month that is not known
+    assert rows(s.raw_results)
+    assert names.count("lineitem") == 1

@@ -346,7 +346,7 @@ def _doubled(s: Standins, season: int) -> DataFrame:
 
 
 def _last_season(s: Standins) -> int:
-    return s.meetings.agg(F.max("year")).first()[0]
+    return s.raw_results.agg(F.max("year")).first()[0]
 
 
 def _both_facts(drivers: DataFrame, teams: DataFrame) -> DataFrame:
