@@ -16,9 +16,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from seasongrid.llm.common import crc, trim_memory
+from seasongrid.llm.common import batches_of, crc, trim_memory
 from seasongrid.llm.tokens import ENCODED, encoder, groups, tokenizer_path, with_end
 
+#: Bytes of a batch for the encoder: with its offsets it is encoded at once, not in a large and a tiny part.
+BATCH = ENCODED * 3 // 4
 #: Rows of one id that a task can take.
 HOT_ID = 100_000
 SCHEMA = "doc_id long, n_tokens int, ids array<int>"
@@ -77,7 +79,8 @@ def write(
         "parquet.page.row.count.limit": page_rows,
         "compression": "zstd",
     }
-    encode(rows, tokenizer or tokenizer_path(), end_id).write.options(**options).parquet(path)
+    with batches_of(docs.sparkSession, BATCH):
+        encode(rows, tokenizer or tokenizer_path(), end_id).write.options(**options).parquet(path)
 
 
 def read(spark: SparkSession, path: str, columns: list[str] | None = None, first: int | None = None, last: int | None = None) -> DataFrame:

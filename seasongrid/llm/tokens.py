@@ -23,7 +23,9 @@ VOCABULARY = "word_bpe_49k.json"
 REMEMBERED = 1_000_000
 _SEPARATOR = "\x00"
 #: Stretches that the library gets in one text, and in one call.
-_JOINED, _ASKED = 256, 1 << 16
+_JOINED, _ASKED = 256, 1 << 13
+#: Rows gathered at once: the places of their values take several times the values' own room.
+_GATHERED = 1 << 16
 #: What the look-up could get wrong: case, accents, punctuation, digits, white space, joined letters.
 _PROBES = (
     "Hello, World. It's don't ÉTÉ été", "a b  c\td\ne", " lead and trail ", "x1y2 3.14, 1,000. e-mail_a@b.c", "Σσ İi ßµ ½²",
@@ -137,14 +139,10 @@ class Encoder:
         if self.separator is not None:
             for mark in (_SEPARATOR, *self.special):
                 hard |= pc.match_substring(texts, mark).to_numpy(zero_copy_only=False)
-        easy = pc.if_else(pa.array(hard), "", texts) if hard.any() else texts
-        for white in "\n\t\r":
-            easy = pc.replace_substring(easy, white, " ")
-        split = pc.split_pattern(easy, " ")
-        words = split.flatten().dictionary_encode()
+        places, words = _split(pc.if_else(pa.array(hard), "", texts) if hard.any() else texts)
         sizes, data = self._ids_of(words.dictionary)
         lengths, ids = _gather(sizes, data, words.indices.to_numpy())
-        ends = np.concatenate([[0], np.cumsum(lengths)])[split.offsets.to_numpy() - split.offsets[0].as_py()]
+        ends = np.concatenate([[0], np.cumsum(lengths)])[places]
         if not hard.any():
             return ends, ids
         parts = [ids[a:b] for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
@@ -153,6 +151,14 @@ class Encoder:
         return np.concatenate([[0], np.cumsum([len(p) for p in parts])]), np.concatenate(parts)
 
 
+def _split(texts: pa.Array) -> tuple[np.ndarray, pa.DictionaryArray]:
+    """Where the stretches of each text begin and end among all, and the stretches; no copy of the texts stays."""
+    for white in "\n\t\r":
+        texts = pc.replace_substring(texts, white, " ")
+    split = pc.split_pattern(texts, " ")
+    return split.offsets.to_numpy() - split.offsets[0].as_py(), split.flatten().dictionary_encode()
+
+
 def _shape(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Which texts are all Latin-1; which of them end in a letter and a comma (1) or stop (2)."""
     ends = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset : texts.offset + len(texts) + 1].astype(np.int64)
@@ -173,9 +179,15 @@ def _gather(sizes: np.ndarray, data: np.ndarray, chosen: np.ndarray) -> tuple[np
     """Chosen rows of ragged rows: their sizes, and their values one after the other."""
     starts = np.cumsum(sizes) - sizes
     lengths = sizes[chosen]
-    ends = np.cumsum(lengths)
-    shift = np.repeat(starts[chosen] - (ends - lengths), lengths)
-    return lengths, data[shift + np.arange(len(shift))]
+    found, end = np.empty(int(lengths.sum()), data.dtype), 0
+    for at in range(0, len(chosen), _GATHERED):
+        some = lengths[at : at + _GATHERED]
+        ends = np.cumsum(some)
+        places = np.repeat(starts[chosen[at : at + _GATHERED]] - (ends - some), some)
+        places += np.arange(len(places))
+        found[end : end + len(places)] = data[places]
+        end += len(places)
+    return lengths, found
 
 
 @lru_cache(maxsize=4)

@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import tracemalloc
 import zlib
 from collections import defaultdict
 
@@ -14,7 +15,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from seasongrid.llm import chat, decontaminate, language_id, lattice, lm_score, packing, simhash, suffixes, token_counts, token_files
+from seasongrid.llm import chat, decontaminate, language_id, lattice, lm_score, packing, simhash, suffixes, token_counts, token_files, tokens
 from seasongrid.llm.common import whole_runs
 from seasongrid.llm.tokens import Encoder, encoder, tokenizer_path
 from seasongrid.session import fresh_dir
@@ -463,6 +464,36 @@ def test_spans_are_cut_from_tables_with_any_columns(spark):
     assert [tuple(r) for r in decontaminate.remove(docs, bench).collect()] == [(None, "clean", 4, 5, None, None, 6)]
 
 
+def test_token_files_are_written_from_small_batches(spark, monkeypatch):
+    setting, sizes, encode = "spark.sql.execution.arrow.maxBytesPerBatch", [], token_files.encode
+    monkeypatch.setattr(token_files, "encode", lambda *a: sizes.append(spark.conf.get(setting)) or encode(*a))
+    docs, before = spark.createDataFrame([(1, "some words")], "doc_id long, text string"), spark.conf.get(setting, None)
+    try:
+        for own in (None, "1000000"):
+            spark.conf.unset(setting) if own is None else spark.conf.set(setting, own)
+            token_files.write(docs, fresh_dir(spark, "small"))
+            assert spark.conf.get(setting, None) == own
+    finally:
+        spark.conf.unset(setting) if before is None else spark.conf.set(setting, before)
+    assert sizes == [str(token_files.BATCH)] * 2 and token_files.BATCH < tokens.ENCODED
+
+
+def test_places_of_many_ids_take_little_room():
+    rng = np.random.default_rng(1)
+    sizes, chosen = rng.integers(0, 5, 1000), rng.integers(0, 1000, 500_000)
+    data = np.arange(sizes.sum(), dtype="<u4")
+    tracemalloc.start()
+    try:
+        lengths, found = tokens._gather(sizes, data, chosen)
+        room = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    rows = np.split(data, np.cumsum(sizes)[:-1])
+    assert np.array_equal(lengths, sizes[chosen]) and np.array_equal(found, np.concatenate([rows[i] for i in chosen]))
+    assert room < 1.5 * (found.nbytes + lengths.nbytes)  # the values, their numbers, and a block of places
+    assert [len(x) for x in tokens._gather(sizes, data, chosen[:0])] == [0, 0]
+
+
 @pytest.mark.parametrize("hot", [token_files.HOT_ID, 1])
 def test_token_files_of_limited_length_and_one_id(spark, monkeypatch, hot):
     monkeypatch.setattr(token_files, "HOT_ID", hot)
