@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from seasongrid.llm.common import release_memory, unique_name
+from seasongrid.llm.common import release_memory, stored, unique_name
 from seasongrid.llm.tokens import groups
 
 UNDETERMINED = "und"
@@ -97,7 +97,8 @@ def fit(
 
     Document frequencies are those of the same bounded sample.  Rows without a
     label, a text or a letter teach nothing; without any other row the model
-    has no language and every text is undetermined.
+    has no language and every text is undetermined.  Texts are counted and each
+    language clustered in tasks; the driver gets document frequencies and centroids.
     """
     known = labelled.select(F.col(lang).cast("string").alias("l"), F.col(text).cast("string").alias("t"), F.xxhash64(by).alias("h"))
     known = known.where(F.col("l").isNotNull() & F.col("t").rlike(_SOME_LETTER))
@@ -116,33 +117,37 @@ def fit(
         for batch in batches:
             for a, b in groups(batch["t"]):
                 part = batch.slice(a, b - a)
-                found = [(x, t) for x, t in zip(part["l"].to_pylist(), part["t"].to_pylist(), strict=True) if _LETTER.search(t)]
+                found = [x for x in zip(*(part[c].to_pylist() for c in ("l", "place", "t")), strict=True) if _LETTER.search(x[2])]
                 if not found:
                     continue
-                rows = [(np.flatnonzero(r), r) for r in counts([t for _, t in found], width)]
+                rows = [(np.flatnonzero(r), r) for r in counts([t for _, _, t in found], width)]
                 yield pa.RecordBatch.from_pydict(
-                    {"l": [x for x, _ in found], "slots": [np.asarray(s, np.int32) for s, _ in rows], "n": [r[s] for s, r in rows]},
-                    schema=pa.schema([("l", pa.string()), ("slots", pa.list_(pa.int32())), ("n", pa.list_(pa.float32()))]),
+                    {"l": [x for x, _, _ in found], "place": [p for _, p, _ in found], "slots": [np.asarray(s, np.int32) for s, _ in rows], "n": [r[s] for s, r in rows]},
+                    schema=pa.schema([("l", pa.string()), ("place", pa.int32()), ("slots", pa.list_(pa.int32())), ("n", pa.list_(pa.float32()))]),
                 )
 
-    sample = ranked.select("l", "t").mapInArrow(features, "l string, slots array<int>, n array<float>").toArrow()
-    names = sorted(set(sample["l"].to_pylist()))
-    raw = np.zeros((sample.num_rows, width), np.float32)
-    for i, (s, n) in enumerate(zip(sample["slots"], sample["n"], strict=True)):
-        raw[i, s.values.to_numpy()] = n.values.to_numpy()
-    labels = np.array(sample["l"].to_pylist(), object)
-    order = np.argsort(labels.astype(str), kind="stable")
-    raw, labels = raw[order], labels[order]
-    idf = (np.log((1 + len(raw)) / (1 + (raw > 0).sum(axis=0))) + 1).astype(np.float32)
-    v = vectors(raw, idf)
-    centroids, owner, floor = [], [], []
-    for i, name in enumerate(names):
-        own = v[labels == name]
+    sample = stored(ranked.select("l", "place", "t").mapInArrow(features, "l string, place int, slots array<int>, n array<float>"), "language-sample")
+    texts_with = np.zeros(width, np.int64)
+    for slot, texts in sample.select(F.explode("slots").alias("slot")).groupBy("slot").count().collect():  # a row for each slot at most
+        texts_with[slot] = texts
+    idf = (np.log((1 + sample.count()) / (1 + texts_with)) + 1).astype(np.float32)
+
+    def cluster(language: pa.Table) -> pa.Table:
+        release_memory()
+        language = language.sort_by("place")
+        raw = np.zeros((language.num_rows, width), np.float32)
+        for i, (s, n) in enumerate(zip(language["slots"], language["n"], strict=True)):
+            raw[i, s.values.to_numpy()] = n.values.to_numpy()
+        own = vectors(raw, idf)
         c = _clusters(own, clusters)
-        centroids.append(c)
-        owner += [i] * len(c)
-        floor.append(slack * float((own @ c.T).max(axis=1).min()))
-    return Model(names, idf, np.concatenate(centroids) if centroids else np.zeros((0, width)), np.array(owner, int), np.array(floor), width)
+        floor = slack * float((own @ c.T).max(axis=1).min())
+        return pa.table({"l": language["l"].slice(0, 1), "centroids": pa.array([c.ravel()], pa.list_(pa.float32())), "floor": [floor]})
+
+    found = sample.groupBy("l").applyInArrow(cluster, "l string, centroids array<float>, floor double").toArrow().sort_by("l")
+    centroids = [c.values.to_numpy().reshape(-1, width) for c in found["centroids"]]
+    owner = [i for i, c in enumerate(centroids) for _ in c]
+    floor = np.array(found["floor"].to_pylist(), float)
+    return Model(found["l"].to_pylist(), idf, np.concatenate(centroids) if centroids else np.zeros((0, width)), np.array(owner, int), floor, width)
 
 
 def classify(model: Model, texts: list[str | None]) -> tuple[list[str], list[float], list[bool]]:

@@ -389,6 +389,30 @@ def test_language_labels_without_a_letter(spark, monkeypatch):
     assert np.array_equal(few.idf, all_.idf)
 
 
+def test_language_model_is_made_outside_the_driver(spark):
+    """The counts of a sample's texts, 16 MB a language, do not reach the driver; the model is that of all texts at once."""
+    rng = random.Random(9)
+    texts = [(i, "".join(rng.choice(f"{l}{l}{l}abcdefgh ") for _ in range(60)), l) for i, l in enumerate("xyzw" * 300)]
+    rows = spark.createDataFrame(texts, "doc_id long, text string, lang string").repartition(3)
+    tracemalloc.start()
+    try:
+        model = language_id.fit(rows)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 8 << 20
+    places = {r["doc_id"]: r["h"] for r in rows.select("doc_id", F.xxhash64("doc_id").alias("h")).collect()}
+    order = sorted(texts, key=lambda r: (r[2], places[r[0]]))
+    raw = language_id.counts([t for _, t, _ in order], model.width)
+    idf = (np.log((1 + len(raw)) / (1 + (raw > 0).sum(axis=0))) + 1).astype(np.float32)
+    assert model.languages == ["w", "x", "y", "z"] and np.array_equal(model.idf, idf)
+    for i in range(4):
+        own = language_id.vectors(raw[300 * i : 300 * (i + 1)], idf)
+        c = language_id._clusters(own, 3)
+        assert np.allclose(model.centroids[model.language_of == i], c, atol=1e-6)
+        assert np.isclose(model.floor[i], 0.5 * (own @ c.T).max(axis=1).min(), atol=1e-6)
+
+
 def test_periodic_texts_do_not_meet_in_one_task(spark, monkeypatch):
     """Rulers and padding have one least string all along: their contexts are long, and of one key."""
     rng = random.Random(8)
